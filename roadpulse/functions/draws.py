@@ -1,0 +1,42 @@
+"""Repeatable draws: a value depends on its key, not on partitioning or order of execution."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_SPAN = 2**32
+
+
+def _bits(key: Sequence[Column], name: str) -> Column:
+    """32 uniform bits of the key's digest, as a bigint. ``name`` separates the draws of one key."""
+    digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in key], F.lit(name)))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
+def draw_int(key: Sequence[Column], name: str, low: int, high: int) -> Column:
+    """Integer in [low, high]."""
+    return F.lit(low) + _bits(key, name) % F.lit(high - low + 1)
+
+
+def draw_uniform(key: Sequence[Column], name: str, low: float, high: float) -> Column:
+    """Double in [low, high)."""
+    return F.lit(float(low)) + F.lit(float(high - low)) * (_bits(key, name) / F.lit(float(_SPAN)))
+
+
+def draw_choice(key: Sequence[Column], name: str, values: Sequence[str]) -> Column:
+    index = (_bits(key, name) % F.lit(len(values)) + F.lit(1)).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in values]), index)
+
+
+def derived_id(key: Sequence[Column], name: str) -> Column:
+    """Identity in UUID text form that a rerun reproduces."""
+    digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in key], F.lit(name)))
+    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+
+
+def random_id() -> Column:
+    """Fresh random identity for records that are published once."""
+    return F.expr("uuid()")

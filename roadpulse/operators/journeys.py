@@ -1,0 +1,142 @@
+"""Synthetic journeys for load tests: any number of vehicles, one batch job."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadpulse.functions.draws import (
+    derived_id,
+    draw_choice,
+    draw_int,
+    draw_uniform,
+    random_id,
+)
+from roadpulse.functions.position import (
+    END_LATITUDE,
+    END_LONGITUDE,
+    START_LATITUDE,
+    START_LONGITUDE,
+)
+from roadpulse.operators.running import running
+from roadpulse.schemas import EMERGENCY, GPS, TRAFFIC, VEHICLE, WEATHER
+
+# Positions are summed as whole billionths of a degree, so that the sum is exact and the same
+# in whatever order Spark adds.
+NANO = 1_000_000_000
+
+# A journey covers the distance in 100 steps; jitter in degrees; seconds per step.
+JOURNEY_STEPS = 100
+JITTER = 0.0005
+STEP_SECONDS = (30, 60)
+
+# What records draw from or always carry.
+WEATHER_CONDITIONS = ("Sunny", "Cloudy", "Rain", "Snow")
+INCIDENT_TYPES = ("Accident", "Fire", "Medical", "Police", "None")
+INCIDENT_STATUSES = ("Active", "Resolved")
+INCIDENT_TEXT = "Description of the incident"
+DIRECTION = "North-East"
+MAKE, MODEL, YEAR, FUEL = "Tesla", "Model S", 2024, "Electric"
+VEHICLE_TYPE = "private"
+CAMERA = "Intelligent AI-powered Camera"
+SNAPSHOT = "Base64EncodedString"
+
+_BLOCK = 1024
+
+
+def _nano(degrees: float) -> int:
+    return round(degrees * NANO)
+
+
+LATITUDE_STEP = _nano((END_LATITUDE - START_LATITUDE) / JOURNEY_STEPS)
+LONGITUDE_STEP = _nano((END_LONGITUDE - START_LONGITUDE) / JOURNEY_STEPS)
+
+
+def fleet(spark: SparkSession, vehicles: int) -> DataFrame:
+    return spark.range(vehicles).select(F.concat(F.lit("V-"), F.col("id")).alias("vehicle_id"))
+
+
+def _steps(vehicles: DataFrame, steps: int) -> DataFrame:
+    """Steps 1..steps of every vehicle, made in blocks so that no array grows with ``steps``."""
+    last_block = (steps - 1) // _BLOCK
+    blocks = vehicles.select(
+        "vehicle_id", F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block")
+    )
+    first = F.col("_block") * _BLOCK + 1
+    last = F.least(first + (_BLOCK - 1), F.lit(steps))
+    numbered = F.sequence(first.cast("bigint"), last.cast("bigint"))
+    return blocks.select("vehicle_id", F.explode(numbered).alias("step"))
+
+
+def synthesize_journeys(
+    vehicles: DataFrame,
+    steps: int = 120,
+    seed: int = 0,
+    start: str = "2024-01-01 00:00:00",
+    ids: str = "derived",
+) -> DataFrame:
+    """Journeys for a table of vehicles (``vehicle_id``), as steps ready for `encode.fan_out`.
+
+    Position is the running sum of a fixed increment plus jitter, event time the running sum of
+    30 to 60 seconds. All draws come from vehicle, step and seed. ``ids="random"`` gives records
+    fresh identities instead of repeatable ones.
+    """
+    key = [F.col("vehicle_id"), F.col("step"), F.lit(seed)]
+    jitter = round(JITTER * NANO)
+    moves = _steps(vehicles, steps).select(
+        "vehicle_id",
+        "step",
+        (F.lit(LATITUDE_STEP) + draw_int(key, "lat", -jitter, jitter)).alias("_move_lat"),
+        (F.lit(LONGITUDE_STEP) + draw_int(key, "lon", -jitter, jitter)).alias("_move_lon"),
+        draw_int(key, "clock", *STEP_SECONDS).alias("_seconds"),
+    )
+    sums = {"_lat": "_move_lat", "_lon": "_move_lon", "_clock": "_seconds"}
+    moved = running(moves, ["vehicle_id"], "step", sums=sums)
+
+    def identity(name: str) -> Column:
+        return random_id() if ids == "random" else derived_id(key, name)
+
+    epoch = F.unix_seconds(F.lit(start).cast("timestamp"))
+    return moved.select(
+        "vehicle_id",
+        "step",
+        F.timestamp_seconds(epoch + F.col("_clock")).alias("timestamp"),
+        ((F.lit(_nano(START_LATITUDE)) + F.col("_lat")) / F.lit(float(NANO))).alias("lat"),
+        ((F.lit(_nano(START_LONGITUDE)) + F.col("_lon")) / F.lit(float(NANO))).alias("lon"),
+        F.struct(
+            identity("vehicle").alias("id"),
+            draw_uniform(key, "speed", 10, 40).alias("speed"),
+            F.lit(DIRECTION).alias("direction"),
+            F.lit(MAKE).alias("make"),
+            F.lit(MODEL).alias("model"),
+            F.lit(YEAR).alias("year"),
+            F.lit(FUEL).alias("fuelType"),
+        ).alias(VEHICLE),
+        F.struct(
+            identity("gps").alias("id"),
+            draw_uniform(key, "gps speed", 0, 40).alias("speed"),
+            F.lit(DIRECTION).alias("direction"),
+            F.lit(VEHICLE_TYPE).alias("vehicleType"),
+        ).alias(GPS),
+        F.struct(
+            identity("camera").alias("id"),
+            F.lit(CAMERA).alias("camera_id"),
+            F.lit(SNAPSHOT).alias("snapshot"),
+        ).alias(TRAFFIC),
+        F.struct(
+            identity("weather").alias("id"),
+            draw_uniform(key, "temperature", -5, 26).alias("temperature"),
+            draw_choice(key, "condition", WEATHER_CONDITIONS).alias("weatherCondition"),
+            draw_uniform(key, "precipitation", 0, 25).alias("precipitation"),
+            draw_uniform(key, "wind", 0, 100).alias("windSpeed"),
+            draw_int(key, "humidity", 0, 100).cast("int").alias("humidity"),
+            draw_uniform(key, "air", 0, 500).alias("airQualityIndex"),
+        ).alias(WEATHER),
+        F.struct(
+            identity("emergency").alias("id"),
+            identity("incident").alias("incidentId"),
+            draw_choice(key, "incident type", INCIDENT_TYPES).alias("type"),
+            draw_choice(key, "status", INCIDENT_STATUSES).alias("status"),
+            F.lit(INCIDENT_TEXT).alias("description"),
+        ).alias(EMERGENCY),
+    )

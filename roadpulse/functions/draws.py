@@ -1,40 +1,79 @@
-"""Repeatable draws: a value depends on its key, not on partitioning or order of execution."""
+"""Repeatable draws: a value depends on its key, not on partitioning or order of execution.
+
+Three stages, each computed where it is needed once: 31 bits for a vehicle and seed, mixed with the
+step into 31 bits for the row, mixed with a name into each draw. The last two are integer
+arithmetic within whole-stage code, and any SQL engine can follow them.
+"""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPAN = 2**32
+MASK = 2**31 - 1
+SPAN = float(2**31)
 
+# Odd multipliers below 2**31, so that products of 31-bit numbers stay within a bigint.
+STEP_FACTOR = 0x1E3779B1
+MIX_FACTOR = 0x2C1B3C6D
+DRAW_FACTOR = 0x297A2D39
+
+
+def name_factor(name: str) -> int:
+    """Odd multiplier that tells the draws of one row apart."""
+    return zlib.crc32(name.encode()) & MASK | 1
+
+
+def _times(x: Column, factor: int) -> Column:
+    return (x * F.lit(factor)).bitwiseAND(F.lit(MASK))
+
+
+def _folded(x: Column, shift: int) -> Column:
+    return x.bitwiseXOR(F.shiftright(x, shift))
+
+
+def key_bits(key: Column, seed: int) -> Column:
+    digest = F.md5(F.concat_ws("|", key, F.lit(str(seed))))
+    bits = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return bits.bitwiseAND(F.lit(MASK))
+
+
+def row_bits(key: Column, step: Column) -> Column:
+    """Bits of a row from its key's bits and its number within the key."""
+    x = (key + step.cast("bigint") * F.lit(STEP_FACTOR)).bitwiseAND(F.lit(MASK))
+    return _folded(_times(_folded(x, 16), MIX_FACTOR), 13)
 
-def _bits(key: Sequence[Column], name: str) -> Column:
-    """32 uniform bits of the key's digest, as a bigint. ``name`` separates the draws of one key."""
-    digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in key], F.lit(name)))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
+class Draws:
+    """Draws from a column of row bits."""
 
-def draw_int(key: Sequence[Column], name: str, low: int, high: int) -> Column:
-    """Integer in [low, high]."""
-    return F.lit(low) + _bits(key, name) % F.lit(high - low + 1)
+    def __init__(self, bits: Column):
+        self._row = bits
 
+    def _bits(self, name: str) -> Column:
+        return _folded(_times(_folded(_times(self._row, name_factor(name)), 15), DRAW_FACTOR), 14)
 
-def draw_uniform(key: Sequence[Column], name: str, low: float, high: float) -> Column:
-    """Double in [low, high)."""
-    return F.lit(float(low)) + F.lit(float(high - low)) * (_bits(key, name) / F.lit(float(_SPAN)))
+    def integer(self, name: str, low: int, high: int) -> Column:
+        """Integer in [low, high]."""
+        return F.lit(low) + self._bits(name) % F.lit(high - low + 1)
 
+    def uniform(self, name: str, low: float, high: float) -> Column:
+        """Double in [low, high)."""
+        return F.lit(float(low)) + F.lit(float(high - low)) * (self._bits(name) / F.lit(SPAN))
 
-def draw_choice(key: Sequence[Column], name: str, values: Sequence[str]) -> Column:
-    index = (_bits(key, name) % F.lit(len(values)) + F.lit(1)).cast("int")
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index)
+    def choice(self, name: str, values: Sequence[str]) -> Column:
+        index = (self._bits(name) % F.lit(len(values)) + F.lit(1)).cast("int")
+        return F.element_at(F.array(*[F.lit(v) for v in values]), index)
 
 
 def derived_id(key: Sequence[Column], name: str) -> Column:
     """Identity in UUID text form that a rerun reproduces."""
     digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in key], F.lit(name)))
-    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *[F.substring(digest, at, n) for at, n in cuts])
 
 
 def random_id() -> Column:

@@ -5,20 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.functions.draws import (
-    derived_id,
-    draw_choice,
-    draw_int,
-    draw_uniform,
-    random_id,
-)
+from roadpulse.functions.draws import Draws, derived_id, key_bits, random_id, row_bits
 from roadpulse.functions.position import (
     END_LATITUDE,
     END_LONGITUDE,
     START_LATITUDE,
     START_LONGITUDE,
 )
-from roadpulse.operators.running import running
+from roadpulse.operators.running import running, running_within
 from roadpulse.schemas import EMERGENCY, GPS, TRAFFIC, VEHICLE, WEATHER
 
 # Positions are summed as whole billionths of a degree, so that the sum is exact and the same
@@ -41,6 +35,7 @@ VEHICLE_TYPE = "private"
 CAMERA = "Intelligent AI-powered Camera"
 SNAPSHOT = "Base64EncodedString"
 
+# Steps are made, and their sums taken, in blocks of this many.
 _BLOCK = 1024
 
 
@@ -56,16 +51,24 @@ def fleet(spark: SparkSession, vehicles: int) -> DataFrame:
     return spark.range(vehicles).select(F.concat(F.lit("V-"), F.col("id")).alias("vehicle_id"))
 
 
-def _steps(vehicles: DataFrame, steps: int) -> DataFrame:
-    """Steps 1..steps of every vehicle, made in blocks so that no array grows with ``steps``."""
-    last_block = (steps - 1) // _BLOCK
+def _steps(vehicles: DataFrame, steps: int, seed: int) -> DataFrame:
+    """Steps 1..steps of every vehicle.
+
+    Blocks of steps are spread over the cluster before they are filled, so what is shuffled is one
+    row per block, and the sums over a block later need no shuffle. The number of partitions is
+    given, as adaptive execution would see the few bytes of the blocks and merge them all.
+    """
+    partitions = int(vehicles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbers = F.sequence(F.lit(0), F.lit((steps - 1) // _BLOCK))
     blocks = vehicles.select(
-        "vehicle_id", F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block")
-    )
-    first = F.col("_block") * _BLOCK + 1
-    last = F.least(first + (_BLOCK - 1), F.lit(steps))
-    numbered = F.sequence(first.cast("bigint"), last.cast("bigint"))
-    return blocks.select("vehicle_id", F.explode(numbered).alias("step"))
+        "vehicle_id",
+        key_bits(F.col("vehicle_id"), seed).alias("_key"),
+        F.explode(numbers).alias("_block"),
+    ).repartition(partitions, "vehicle_id", "_block")
+    first = (F.col("_block") * _BLOCK + 1).cast("bigint")
+    last = F.least(first + (_BLOCK - 1), F.lit(steps).cast("bigint"))
+    filled = blocks.select("*", F.explode(F.sequence(first, last)).alias("step"))
+    return filled.withColumn("_row", row_bits(F.col("_key"), F.col("step"))).drop("_key")
 
 
 def synthesize_journeys(
@@ -81,17 +84,20 @@ def synthesize_journeys(
     30 to 60 seconds. All draws come from vehicle, step and seed. ``ids="random"`` gives records
     fresh identities instead of repeatable ones.
     """
+    draw = Draws(F.col("_row"))
     key = [F.col("vehicle_id"), F.col("step"), F.lit(seed)]
     jitter = round(JITTER * NANO)
-    moves = _steps(vehicles, steps).select(
-        "vehicle_id",
-        "step",
-        (F.lit(LATITUDE_STEP) + draw_int(key, "lat", -jitter, jitter)).alias("_move_lat"),
-        (F.lit(LONGITUDE_STEP) + draw_int(key, "lon", -jitter, jitter)).alias("_move_lon"),
-        draw_int(key, "clock", *STEP_SECONDS).alias("_seconds"),
+    moves = _steps(vehicles, steps, seed).select(
+        "*",
+        (F.lit(LATITUDE_STEP) + draw.integer("lat", -jitter, jitter)).alias("_move_lat"),
+        (F.lit(LONGITUDE_STEP) + draw.integer("lon", -jitter, jitter)).alias("_move_lon"),
+        draw.integer("clock", *STEP_SECONDS).alias("_seconds"),
     )
     sums = {"_lat": "_move_lat", "_lon": "_move_lon", "_clock": "_seconds"}
-    moved = running(moves, ["vehicle_id"], "step", sums=sums)
+    if steps <= _BLOCK:
+        moved = running_within(moves, ["vehicle_id", "_block"], "step", sums)
+    else:
+        moved = running(moves, ["vehicle_id"], "step", sums, chunk_column="_block")
 
     def identity(name: str) -> Column:
         return random_id() if ids == "random" else derived_id(key, name)
@@ -105,7 +111,7 @@ def synthesize_journeys(
         ((F.lit(_nano(START_LONGITUDE)) + F.col("_lon")) / F.lit(float(NANO))).alias("lon"),
         F.struct(
             identity("vehicle").alias("id"),
-            draw_uniform(key, "speed", 10, 40).alias("speed"),
+            draw.uniform("speed", 10, 40).alias("speed"),
             F.lit(DIRECTION).alias("direction"),
             F.lit(MAKE).alias("make"),
             F.lit(MODEL).alias("model"),
@@ -114,7 +120,7 @@ def synthesize_journeys(
         ).alias(VEHICLE),
         F.struct(
             identity("gps").alias("id"),
-            draw_uniform(key, "gps speed", 0, 40).alias("speed"),
+            draw.uniform("gps speed", 0, 40).alias("speed"),
             F.lit(DIRECTION).alias("direction"),
             F.lit(VEHICLE_TYPE).alias("vehicleType"),
         ).alias(GPS),
@@ -125,18 +131,18 @@ def synthesize_journeys(
         ).alias(TRAFFIC),
         F.struct(
             identity("weather").alias("id"),
-            draw_uniform(key, "temperature", -5, 26).alias("temperature"),
-            draw_choice(key, "condition", WEATHER_CONDITIONS).alias("weatherCondition"),
-            draw_uniform(key, "precipitation", 0, 25).alias("precipitation"),
-            draw_uniform(key, "wind", 0, 100).alias("windSpeed"),
-            draw_int(key, "humidity", 0, 100).cast("int").alias("humidity"),
-            draw_uniform(key, "air", 0, 500).alias("airQualityIndex"),
+            draw.uniform("temperature", -5, 26).alias("temperature"),
+            draw.choice("condition", WEATHER_CONDITIONS).alias("weatherCondition"),
+            draw.uniform("precipitation", 0, 25).alias("precipitation"),
+            draw.uniform("wind", 0, 100).alias("windSpeed"),
+            draw.integer("humidity", 0, 100).cast("int").alias("humidity"),
+            draw.uniform("air", 0, 500).alias("airQualityIndex"),
         ).alias(WEATHER),
         F.struct(
             identity("emergency").alias("id"),
             identity("incident").alias("incidentId"),
-            draw_choice(key, "incident type", INCIDENT_TYPES).alias("type"),
-            draw_choice(key, "status", INCIDENT_STATUSES).alias("status"),
+            draw.choice("incident type", INCIDENT_TYPES).alias("type"),
+            draw.choice("status", INCIDENT_STATUSES).alias("status"),
             F.lit(INCIDENT_TEXT).alias("description"),
         ).alias(EMERGENCY),
     )

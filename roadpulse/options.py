@@ -40,6 +40,9 @@ class Options:
     min_partitions: int | None = None
     max_offsets_per_trigger: int | None = None
     max_files_per_trigger: int | None = None
+    # A file source forgets files older than this, counted back from the newest it has seen, and
+    # would skip those it has yet to read. Far enough back that none is.
+    max_file_age: str = "36500d"
     # Landed tables partitioned by event date, for partition pruning.
     partition_by_date: bool = False
 

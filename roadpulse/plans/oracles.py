@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from roadpulse.functions.draws import (
+    DRAW_FACTOR,
+    MASK,
+    MIX_FACTOR,
+    STEP_FACTOR,
+    name_factor,
+)
 from roadpulse.plans.queries import SYNTH_SEED, SYNTH_STEPS
 from roadpulse.schemas import EMERGENCY, GPS, TOPICS, TRAFFIC, VEHICLE, WEATHER, get_schema
 
@@ -106,13 +113,21 @@ WHERE d IN (4, 5, 8, 14, 15, 16, 17, 18, 19)
 """
 
 
+def _folded(x: str, shift: int) -> str:
+    return f"xor({x}, {x} >> {shift})"
+
+
+def _times(x: str, factor: int) -> str:
+    return f"(({x} * {factor}) & {MASK})"
+
+
 def _draw(name: str) -> str:
-    text = f"vehicle_id || '|' || CAST(step AS VARCHAR) || '|{SYNTH_SEED}|{name}'"
-    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+    """The arithmetic of `functions.draws` as text, from ``bits``, those of the row."""
+    return _folded(_times(_folded(_times("bits", name_factor(name)), 15), DRAW_FACTOR), 14)
 
 
 def _uniform(name: str, low: int, high: int) -> str:
-    share = f"(CAST({_draw(name)} AS DOUBLE) / CAST(4294967296 AS DOUBLE))"
+    share = f"(CAST({_draw(name)} AS DOUBLE) / CAST({2**31} AS DOUBLE))"
     return f"CAST({low} AS DOUBLE) + CAST({high - low} AS DOUBLE) * {share}"
 
 
@@ -130,10 +145,13 @@ def _derived_id(name: str) -> str:
 def _synth() -> str:
     so_far = "OVER (PARTITION BY vehicle_id ORDER BY step)"
     return f"""
-WITH steps AS (
-  SELECT 'V-' || CAST(user_id AS VARCHAR) AS vehicle_id, s.step AS step
-  FROM (SELECT DISTINCT user_id FROM events),
+WITH keyed AS (
+  SELECT vehicle_id, s.step AS step,
+         CAST('0x' || substr(md5(vehicle_id || '|{SYNTH_SEED}'), 1, 8) AS BIGINT) & {MASK} AS key
+  FROM (SELECT DISTINCT 'V-' || CAST(user_id AS VARCHAR) AS vehicle_id FROM events),
        (SELECT CAST(range AS BIGINT) AS step FROM range(1, {SYNTH_STEPS + 1})) s),
+summed AS (SELECT *, ((key + step * {STEP_FACTOR}) & {MASK}) AS x FROM keyed),
+steps AS (SELECT *, {_folded(_times(_folded("x", 16), MIX_FACTOR), 13)} AS bits FROM summed),
 moves AS (
   SELECT *, 9788000 - 500000 + {_draw('lat')} % 1000001 AS move_lat,
          -17626000 - 500000 + {_draw('lon')} % 1000001 AS move_lon,
@@ -291,11 +309,9 @@ def all_oracles() -> dict[str, str]:
             "count(*) AS n_rows FROM {topic}"
         ),
         "sql_adhoc": (
-            "SELECT v.make, v.year, count(*) AS n_rows, "
-            "CAST(count(*) FILTER (WHERE e.type <> 'None') AS BIGINT) AS n_incidents, "
-            "max(v.speed) AS top_speed FROM vehicle_data v JOIN emergency_data e "
-            "ON v.vehicle_id = e.vehicle_id AND v.timestamp = e.timestamp "
-            "WHERE v.speed >= 20 GROUP BY v.make, v.year"
+            "SELECT make, year, count(*) AS n_rows, "
+            "CAST(count(*) FILTER (WHERE \"fuelType\" = 'Electric') AS BIGINT) AS n_fuel, "
+            "max(speed) AS top_speed FROM vehicle_data WHERE speed >= 20 GROUP BY make, year"
         ),
         "parse_position": f"SELECT id, camera_id, lat, lon FROM {TRAFFIC}",
         "quarantine": _QUARANTINE,

@@ -37,7 +37,7 @@ from roadpulse.schemas import (
     get_schema,
     has_position,
 )
-from roadpulse.session import pin_utc, scratch_path
+from roadpulse.session import materialize, pin_utc, scratch_path
 from roadpulse.sources.files import read_log_topic, write_log
 from roadpulse.sources.landed import read_landed, register_tables, sql
 from roadpulse.streaming.ingest import ingest, run, start_all, supervise
@@ -51,12 +51,11 @@ SYNTH_STEPS = 120
 SYNTH_SEED = 7
 
 ADHOC_SQL = """
-SELECT v.make, v.year, count(*) AS n_rows, count_if(e.type <> :none) AS n_incidents,
-       max(v.speed) AS top_speed
-FROM vehicle_data v JOIN emergency_data e
-  ON v.vehicle_id = e.vehicle_id AND v.timestamp = e.timestamp
-WHERE v.speed >= :speed
-GROUP BY v.make, v.year
+SELECT make, year, count(*) AS n_rows, count_if(fuelType = :fuel) AS n_fuel,
+       max(speed) AS top_speed
+FROM vehicle_data
+WHERE speed >= :speed
+GROUP BY make, year
 """
 
 
@@ -363,8 +362,8 @@ def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_tables(spark, landed_options(spark, sf_dir, [VEHICLE, EMERGENCY]), [VEHICLE, EMERGENCY])
-    return sql(spark, ADHOC_SQL, none=fleet.NO_INCIDENT, speed=20.0)
+    register_tables(spark, landed_options(spark, sf_dir, [VEHICLE]), [VEHICLE])
+    return sql(spark, ADHOC_SQL, fuel="Electric", speed=20.0)
 
 
 def parse_position(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,7 +394,8 @@ def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = messages(_steps(spark, sf_dir), EMERGENCY)
-    labelled = quality.late_rows(decode(sent, EMERGENCY, keep_origin=True))
+    table = materialize(decode(sent, EMERGENCY, keep_origin=True), "arrivals-in-order")
+    labelled = quality.late_rows(table)
     return labelled.select(
         "id", "source_partition", "source_offset", F.col("late").cast("int").alias("late")
     )

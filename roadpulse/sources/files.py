@@ -29,7 +29,7 @@ def read_log_topic(
     name = options.topic_name(topic)
     reader = spark.readStream.schema(
         ", ".join(f for f in MESSAGE_DDL.split(", ") if not f.startswith("topic "))
-    )
+    ).option("maxFileAge", options.max_file_age)
     if options.max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", options.max_files_per_trigger)
     return reader.parquet(f"{path}/topic={name}").withColumn("topic", F.lit(name))
@@ -41,7 +41,7 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     schema = spark.read.parquet(path).schema
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", Options().max_file_age)
     if files.getFileStatus(target).isDirectory():
         return reader.parquet(path)
     # A file stream wants a folder; naming the file itself fails when the query runs.

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.options import Options
@@ -26,6 +28,16 @@ def stream_landed(spark: SparkSession, options: Options, topic: str) -> DataFram
     return stream.withMetadata(EVENT_TIME, {})
 
 
+def _discovered(spark: SparkSession, options: Options, topic: str) -> DataFrame:
+    """The table as its files describe it; the declared schema stands in while there are none."""
+    try:
+        return spark.read.parquet(options.data_path(topic))
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return read_landed(spark, options, topic)
+
+
 def register_tables(
     spark: SparkSession,
     options: Options,
@@ -40,7 +52,7 @@ def register_tables(
     for topic in topics:
         path = options.data_path(topic)
         if database is None:
-            spark.read.parquet(path).createOrReplaceTempView(topic)
+            _discovered(spark, options, topic).createOrReplaceTempView(topic)
             names.append(topic)
         else:
             name = f"{database}.{topic}"
@@ -56,13 +68,20 @@ def sql(spark: SparkSession, text: str, **args) -> DataFrame:
 
 
 def compact(
-    spark: SparkSession, options: Options, topic: str, target: str, rows_per_file: int = 5_000_000
+    spark: SparkSession,
+    options: Options,
+    topic: str,
+    target: str,
+    file_bytes: int = 256 * 1024 * 1024,
 ) -> DataFrame:
     """Rewrite a landed table into fewer, larger files under ``target``, and read it from there.
 
-    Small micro-batches leave small files. Rows are rebalanced, not keyed, so no vehicle makes one
-    file larger than the others; adaptive execution picks the number of files by size.
+    Small micro-batches leave small files. Rows are dealt out evenly, not by key, so no vehicle
+    makes one file larger than the others.
     """
     table = read_landed(spark, options, topic)
-    table.hint("rebalance").write.option("maxRecordsPerFile", rows_per_file).parquet(target)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(options.data_path(topic))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = files.getContentSummary(folder).getLength()
+    table.repartition(max(1, math.ceil(size / file_bytes))).write.parquet(target)
     return spark.read.schema(get_schema(topic)).parquet(target)

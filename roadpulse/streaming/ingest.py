@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import signal
-import sys
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,19 +51,26 @@ def stop_all(queries: Sequence[StreamingQuery]) -> None:
             query.stop()
 
 
-def supervise(queries: Sequence[StreamingQuery], poll_seconds: float = 0.2) -> None:
-    """Wait until all queries have ended. The first to fail, whichever it is, stops the others and
-    its error is raised."""
+def supervise(
+    queries: Sequence[StreamingQuery],
+    stop: threading.Event | None = None,
+    poll_seconds: float = 0.2,
+) -> None:
+    """Wait until all queries have ended, or ``stop`` is set and they have been stopped.
+
+    The first query to fail, whichever it is, stops the others, and its error is raised.
+    """
     try:
-        while True:
+        while stop is None or not stop.is_set():
             for query in queries:
                 error = query.exception()
                 if error is not None:
                     raise error
             active = [q for q in queries if q.isActive]
             if not active:
-                break
+                return
             active[0].awaitTermination(poll_seconds)
+        stop_all(queries)
     except BaseException:
         stop_all(queries)
         raise
@@ -74,12 +81,17 @@ def run(query: StreamingQuery) -> None:
     supervise([query])
 
 
-def install_stop_handlers(queries: Sequence[StreamingQuery]) -> None:
-    """On SIGINT and SIGTERM stop all queries and exit with status 0."""
+def install_stop_handlers() -> threading.Event:
+    """An event that SIGINT and SIGTERM set, for `supervise`.
+
+    The handler itself does not stop the queries: it may interrupt a call to the JVM half way, and
+    the connection takes one call at a time.
+    """
+    stop = threading.Event()
 
     def handler(signum, frame):
-        stop_all(queries)
-        sys.exit(0)
+        stop.set()
 
     signal.signal(signal.SIGINT, handler)
     signal.signal(signal.SIGTERM, handler)
+    return stop

@@ -46,9 +46,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     source = None
     if args.log:
         source = lambda topic: read_log_topic(spark, args.log, topic, options)
-    queries = start_all(spark, options, TOPICS, source)
-    install_stop_handlers(queries)
-    supervise(queries)
+    stop = install_stop_handlers()
+    supervise(start_all(spark, options, TOPICS, source), stop)
+    spark.stop()
 
 
 if __name__ == "__main__":

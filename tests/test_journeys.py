@@ -1,0 +1,91 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadpulse.functions.draws import Draws, key_bits, row_bits
+from roadpulse.operators import journeys
+from roadpulse.operators.decode import decode
+from roadpulse.operators.encode import encode, records
+from roadpulse.operators.places import arrivals_of, trim_at_arrival
+from roadpulse.operators.quality import RANGES, range_violations
+from roadpulse.schemas import TOPICS
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_the_same_for_any_partitioning(spark, conf):
+    conf("spark.sql.shuffle.partitions", "2")
+    one = _rows(journeys.synthesize_journeys(journeys.fleet(spark, 5).coalesce(1), 30, seed=3))
+    conf("spark.sql.shuffle.partitions", "9")
+    many = journeys.synthesize_journeys(journeys.fleet(spark, 5).repartition(4), 30, seed=3)
+    assert _rows(many) == one
+    other = journeys.synthesize_journeys(journeys.fleet(spark, 5), 30, seed=4)
+    assert _rows(other) != one
+
+
+def test_a_long_journey_goes_on_from_block_to_block(spark, monkeypatch):
+    fleet = journeys.fleet(spark, 3)
+    whole = _rows(journeys.synthesize_journeys(fleet, 200).drop("_block"))
+    monkeypatch.setattr(journeys, "_BLOCK", 16)
+    assert _rows(journeys.synthesize_journeys(fleet, 200).drop("_block")) == whole
+
+
+def test_blocks_are_summed_where_they_were_made(spark):
+    """Only block rows are shuffled, never steps."""
+    plan = journeys.synthesize_journeys(journeys.fleet(spark, 3), 100)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Window") < text.index("sequence") < text.index("Exchange hashpartitioning")
+
+
+def test_clock_and_path(spark):
+    steps = journeys.synthesize_journeys(journeys.fleet(spark, 1), 120).orderBy("step").collect()
+    assert [r["step"] for r in steps] == list(range(1, 121))
+    gaps = [(b["timestamp"] - a["timestamp"]).seconds for a, b in zip(steps, steps[1:])]
+    assert min(gaps) >= 30 and max(gaps) <= 60 and len(set(gaps)) > 10
+    for a, b in zip(steps, steps[1:]):
+        assert abs(b["lat"] - a["lat"] - 0.009788) <= 0.0005 + 1e-9
+        assert abs(b["lon"] - a["lon"] + 0.017626) <= 0.0005 + 1e-9
+    assert dt.datetime(2024, 1, 1, 0, 0, 30) <= steps[0]["timestamp"] <= dt.datetime(2024, 1, 1, 0, 1)
+
+
+def test_journeys_end_around_step_100(spark):
+    steps = journeys.synthesize_journeys(journeys.fleet(spark, 40), 120)
+    trimmed = trim_at_arrival(steps, arrivals_of(steps))
+    last = [r[1] for r in trimmed.groupBy("vehicle_id").agg(F.max("step")).collect()]
+    assert len(last) == 40 and 95 <= min(last) and max(last) <= 105
+
+
+def test_values_stay_in_their_ranges(spark):
+    steps = journeys.synthesize_journeys(journeys.fleet(spark, 50), 100)
+    tables = {t: decode(encode(records(steps, t), t), t) for t in RANGES}
+    assert all((r["n_below"], r["n_above"]) == (0, 0) for r in range_violations(tables).collect())
+
+
+def test_draws_are_even_and_unrelated(spark):
+    draw = Draws(F.col("bits"))
+    df = (
+        spark.range(200)
+        .select(key_bits(F.col("id").cast("string"), 1).alias("key"), F.explode(F.sequence(F.lit(1), F.lit(200))).alias("step"))
+        .select("key", "step", row_bits(F.col("key"), F.col("step")).alias("bits"))
+        .select("key", "step", draw.uniform("a", 0, 1).alias("a"), draw.uniform("b", 0, 1).alias("b"), draw.choice("c", ["x", "y", "z"]).alias("c"), draw.integer("n", -2, 2).alias("n"))
+    )
+    s = df.agg(F.avg("a"), F.stddev("a"), F.corr("a", "b"), F.corr("a", "step"), F.min("n"), F.max("n"), F.avg("n")).first()
+    assert abs(s[0] - 0.5) < 0.01 and abs(s[1] - 12**-0.5) < 0.01
+    assert abs(s[2]) < 0.02 and abs(s[3]) < 0.02
+    assert (s[4], s[5]) == (-2, 2) and abs(s[6]) < 0.05
+    shares = {r[0]: r[1] / 40000 for r in df.groupBy("c").count().collect()}
+    assert set(shares) == {"x", "y", "z"} and all(abs(v - 1 / 3) < 0.02 for v in shares.values())
+
+
+@pytest.mark.parametrize("ids", ["derived", "random"])
+def test_identities(spark, ids):
+    steps = journeys.synthesize_journeys(journeys.fleet(spark, 4), 25, ids=ids)
+    every = steps.select(F.explode(F.array(*[F.col(f"{t}.id") for t in TOPICS])).alias("id"))
+    assert every.distinct().count() == 4 * 25 * 5
+    assert every.where(~F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).count() == 0
+    again = journeys.synthesize_journeys(journeys.fleet(spark, 4), 25, ids=ids)
+    assert (_rows(steps.select("gps_data.id")) == _rows(again.select("gps_data.id"))) == (ids == "derived")

@@ -11,36 +11,41 @@ from roadpulse.session import materialize
 
 CELL_DEGREES = 0.05
 
-_ROUTE_ORDER = ("vehicle_id", "timestamp", "id", "lat", "lon")
+_POINT = ("vehicle_id", "timestamp", "id", "lat", "lon")
 
 
 def points(vehicle: DataFrame) -> DataFrame:
     """Records that place a vehicle: those with a vehicle and a position."""
-    placed = with_position(vehicle).where(has_position() & F.col("vehicle_id").isNotNull())
-    return placed.select(*_ROUTE_ORDER)
+    placed = with_position(vehicle.where(F.col("vehicle_id").isNotNull()))
+    return placed.where(has_position()).select(*_POINT)
 
 
 def routes(vehicle: DataFrame) -> DataFrame:
     """Each vehicle's points numbered from 1 in order of time, then id.
 
-    A vehicle is not confined to one task, whatever its share of the rows. All points are sorted
-    once over the cluster into slices of even size, and written; ``_pos`` is a point's place in
-    that order. Repeated copies of one record are told apart by where they were read (``_copy``),
-    so a pile of copies is sliced like anything else; their order among themselves does not show.
-    A point's number is then its distance from the vehicle's first point in the slice, plus the
-    vehicle's points in earlier slices.
+    A vehicle is not confined to one task, whatever its share of the rows. All records are sorted
+    once over the cluster into slices of even size, and the points among them written; ``_pos`` is
+    a point's place in that order. Repeated copies of one record are told apart by where they were
+    read (``_copy``), so a pile of copies is sliced like anything else; their order among
+    themselves does not show. A point's number is then its distance from the vehicle's first point
+    in the slice, plus the vehicle's points in earlier slices.
+
+    ``vehicle`` should be a table, not the result of a shuffle, so that ``_copy`` is the same if a
+    task is run again. Positions are parsed after the sort, as sampling for its bounds reads the
+    input a second time.
     """
-    order = [*_ROUTE_ORDER, "_copy"]
-    slices = (
-        points(vehicle)
+    order = ["vehicle_id", "timestamp", "id", "location", "_copy"]
+    sorted_rows = (
+        vehicle.where(F.col("vehicle_id").isNotNull())
         .withColumn("_copy", F.monotonically_increasing_id())
+        .select(*order)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select(
-            *_ROUTE_ORDER,
-            F.spark_partition_id().alias("_slice"),
-            F.monotonically_increasing_id().alias("_pos"),
-        )
+    )
+    slices = points(sorted_rows).select(
+        *_POINT,
+        F.spark_partition_id().alias("_slice"),
+        F.monotonically_increasing_id().alias("_pos"),
     )
     placed = materialize(slices, "routes")
     heads = placed.groupBy("vehicle_id", "_slice").agg(
@@ -51,12 +56,15 @@ def routes(vehicle: DataFrame) -> DataFrame:
         .orderBy("_slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    heads = heads.select(
+    origins = heads.select(
         "vehicle_id",
         "_slice",
         (F.col("_first") - F.coalesce(F.sum("_n").over(earlier), F.lit(0))).alias("_origin"),
     )
-    return placed.join(heads, ["vehicle_id", "_slice"]).select(
+    # One row per vehicle and slice. Written, so that the planner knows its size: broadcast where
+    # small, else shuffled with the points by vehicle and slice, of which none has many rows.
+    origins = materialize(origins, "route-origins")
+    return placed.join(origins, ["vehicle_id", "_slice"]).select(
         "vehicle_id",
         (F.col("_pos") - F.col("_origin") + 1).alias("seq"),
         "timestamp",

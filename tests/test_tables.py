@@ -84,6 +84,8 @@ def test_routes_slices_are_even_whatever_the_skew(spark, conf):
 
     def watched(df, name):
         table = original(df, name)
+        if name != "routes":
+            return table
         seen.extend(r["count"] for r in table.groupBy("_slice").count().collect())
         return table
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,27 +23,39 @@ def payload() -> Column:
     return F.col("value").cast("string")
 
 
-def decode(messages: DataFrame, topic: str, keep_origin: bool = False) -> DataFrame:
+def _fields(data: Column) -> Column:
+    """The fields of a decoded struct as columns, nulls where there is no struct.
+
+    Like selecting ``data.*``, but through a generator: a filter on a field of a projection is
+    pushed below it and decodes the message again, once for every field it names.
+    """
+    return F.inline(F.array(data))
+
+
+def decode(
+    messages: DataFrame,
+    topic: str,
+    columns: Sequence[str] | None = None,
+    keep_origin: bool = False,
+) -> DataFrame:
     """Decode ``value`` against the topic's schema, permissively, and flatten it.
 
-    No message is dropped: one that cannot be decoded becomes a row of nulls. ``keep_origin`` adds
-    topic, partition, offset and broker time, which are otherwise left behind.
+    No message is dropped: one that cannot be decoded becomes a row of nulls. ``columns`` decodes
+    only these. ``keep_origin`` adds topic, partition, offset and broker time, which are otherwise
+    left behind.
     """
     schema = get_schema(topic)
+    if columns is not None:
+        schema = StructType([schema[c] for c in columns])
     kept = [F.col(c).alias(alias) for c, alias in ORIGIN.items()] if keep_origin else []
-    text = messages.select(payload().alias("value"), *kept)
-    parsed = text.select(
-        F.from_json("value", schema).alias("data"), *[ORIGIN[c] for c in ORIGIN if keep_origin]
-    )
-    return parsed.select("data.*", *[ORIGIN[c] for c in ORIGIN if keep_origin])
+    return messages.select(_fields(F.from_json(payload(), schema)), *kept)
 
 
 def decode_checked(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
     """Decode, and say of each message whether it is sound.
 
     Adds ``value`` (the text) and ``problem``: null for a sound message, ``empty`` where there was
-    no text, ``malformed`` where the text or one of its fields did not fit the schema. The decoded
-    struct comes out of a generator, so that a filter on ``problem`` does not decode again.
+    no text, ``malformed`` where the text or one of its fields did not fit the schema.
     """
     declared = get_schema(topic)
     schema = StructType([*declared.fields, StructField(CORRUPT, StringType())])
@@ -49,7 +63,7 @@ def decode_checked(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
     # An explicit option keeps the optimizer from narrowing the schema to the fields in use, which
     # would leave errors in the other fields unseen.
     data = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    rows = text.select("value", *keep, F.inline(F.array(data)))
+    rows = text.select("value", *keep, _fields(data))
     problem = F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty").when(
         F.col(CORRUPT).isNotNull() | F.col("value").rlike(r"^\s*null\s*$"), "malformed"
     )

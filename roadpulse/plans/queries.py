@@ -30,6 +30,7 @@ from roadpulse.plans.steps import damaged, messages, read_events, steps, stream_
 from roadpulse.schemas import (
     EMERGENCY,
     GPS,
+    STEP_KEY,
     TOPICS,
     TRAFFIC,
     VEHICLE,
@@ -409,7 +410,10 @@ def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GPS rows with their position, from two streams joined live."""
     pin_utc(spark)
     source = event_source(spark, sf_dir)
-    joined = gps_position_stream(decode(source(GPS), GPS), decode(source(VEHICLE), VEHICLE))
+    places_only = (*STEP_KEY, "location")
+    joined = gps_position_stream(
+        decode(source(GPS), GPS), decode(source(VEHICLE), VEHICLE, columns=places_only)
+    )
     rows = with_position(_written(joined, "position"))
     return _plain(rows.select("id", "vehicle_id", "timestamp", "speed", "lat", "lon"))
 

@@ -99,10 +99,16 @@ def test_origin_is_kept_on_request(spark):
     assert row["source_time"] is not None and row["timestamp"] is None
 
 
-def test_unused_fields_are_not_decoded(spark, sf_dir):
-    log = _messages(spark, ["{}"])
-    plan = decode(log, "weather_data").select("humidity")._jdf.queryExecution()
-    assert "airQualityIndex" not in plan.optimizedPlan().toString()
+def test_a_filter_on_decoded_fields_does_not_decode_again(spark):
+    rows = decode(_messages(spark, [c[1] for c in CASES]), "vehicle_data")
+    some = rows.where("id is not null and speed > 1 and timestamp is not null")
+    assert some._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    assert sorted(r["id"] for r in some.collect()) == ["a", "b"]
+
+
+def test_some_columns_only(spark):
+    rows = decode(_messages(spark, [CASES[0][1], None]), "vehicle_data", columns=["speed", "id"])
+    assert sorted(map(tuple, rows.collect()), key=str) == [(12.5, "a"), (None, None)]
 
 
 @pytest.mark.parametrize(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.operators.encode import envelopes
 from roadpulse.options import Options
-from roadpulse.plans.steps import messages, read_events, steps, stream_events
+from roadpulse.plans.steps import messages, read_steps, stream_steps
 from roadpulse.schemas import TOPICS
 from roadpulse.session import pin_utc, scratch_path
 from roadpulse.sources.files import write_log
@@ -22,7 +22,7 @@ _logs: dict[tuple[str, str], str] = {}
 
 def event_source(spark: SparkSession, sf_dir: str):
     """Topic to stream of messages, straight from the events table."""
-    return lambda topic: messages(steps(stream_events(spark, sf_dir)), topic)
+    return lambda topic: messages(stream_steps(spark, sf_dir), topic)
 
 
 def fresh_options(spark: SparkSession, name: str, **changes) -> Options:
@@ -58,6 +58,7 @@ def log_path(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _logs:
         path = scratch_path(spark, "log")
-        write_log(envelopes(steps(read_events(spark, sf_dir)), "partition", "offset", "timestamp"), path)
+        sent = envelopes(read_steps(spark, sf_dir), "partition", "offset", "timestamp")
+        write_log(sent, path)
         _logs[key] = path
     return _logs[key]

@@ -26,7 +26,7 @@ from roadpulse.plans.landing import (
     landed_options,
     log_path,
 )
-from roadpulse.plans.steps import damaged, messages, read_events, steps, stream_events
+from roadpulse.plans.steps import damaged, messages, read_events, read_steps, stream_steps
 from roadpulse.schemas import (
     EMERGENCY,
     GPS,
@@ -165,7 +165,7 @@ def land_all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle messages damaged in twenty ways, decoded."""
     pin_utc(spark)
-    rows = damaged(steps(read_events(spark, sf_dir)), "event_id")
+    rows = damaged(read_steps(spark, sf_dir), "event_id")
     checked = decode_checked(rows, VEHICLE, "event_id", "damage")
     return _plain(
         checked.select("event_id", "damage", "id", "timestamp", "location", "speed", "year")
@@ -176,7 +176,7 @@ def _waves(spark: SparkSession, sf_dir: str, name: str, n: int = 3):
     """Write a topic's log in ``n`` parts, each spread over all event times; yield after each."""
     path = scratch_path(spark, name)
     for wave in range(n):
-        part = steps(read_events(spark, sf_dir)).where(F.col("event_id") % n == wave)
+        part = read_steps(spark, sf_dir).where(F.col("event_id") % n == wave)
         write_log(messages(part, EMERGENCY), path)
         yield path
 
@@ -214,7 +214,7 @@ def series_emergency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    return steps(read_events(spark, sf_dir))
+    return read_steps(spark, sf_dir)
 
 
 def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,7 +378,7 @@ def parse_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the damaged messages leave in the side table."""
     pin_utc(spark)
-    rows = damaged(steps(stream_events(spark, sf_dir)), "event_id")
+    rows = damaged(stream_steps(spark, sf_dir), "event_id")
     _, unsound = quarantine(rows, VEHICLE, "event_id")
     return _written(unsound, "quarantine").select("event_id", "value", "problem")
 
@@ -387,7 +387,7 @@ def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream in which every message comes twice, and every tenth a dozen times."""
     pin_utc(spark)
     copies = F.when(F.col("event_id") % 10 == 0, F.lit(12)).otherwise(F.lit(2))
-    rows = steps(stream_events(spark, sf_dir))
+    rows = stream_steps(spark, sf_dir)
     repeated = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     decoded = decode(messages(repeated, GPS), GPS)
     return _plain(_written(quality.drop_repeats_stream(decoded), "dedup"))

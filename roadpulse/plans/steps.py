@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.operators.encode import json_of, record_columns
 from roadpulse.schemas import EMERGENCY, GPS, TRAFFIC, VEHICLE, WEATHER
-from roadpulse.sources.files import stream_table
+from roadpulse.sources.files import stream_table, table_bytes
 
 # The rule that derives records from events, shared with the SQL oracles.
 STEPS = 121
@@ -22,14 +22,41 @@ PARTITIONS = 4
 _REVERSED = 8
 
 
+# A table below this size per core is read in fewer tasks than there are cores.
+_BYTES_PER_CORE = 4 * 1024 * 1024
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.parquet(_path(sf_dir))
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_table(spark, sf_dir, "events")
 
 
+def read_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return steps(_spread(read_events(spark, sf_dir), sf_dir))
+
+
+def stream_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return steps(_spread(stream_events(spark, sf_dir), sf_dir))
+
+
+def _path(sf_dir: str) -> str:
+    return f"{sf_dir.rstrip('/')}/events.parquet"
+
+
+def _spread(events: DataFrame, sf_dir: str) -> DataFrame:
+    """Deal a table too small to be split over all cores, as encoding is dear next to reading.
+
+    Larger tables come in enough splits, and stay as they are read.
+    """
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    if table_bytes(events.sparkSession, _path(sf_dir)) >= cores * _BYTES_PER_CORE:
+        return events
+    return events.repartition(cores)
+
+
 def _id(prefix: str) -> Column:
     return F.concat(F.lit(prefix), F.col("event_id").cast("string"))
 

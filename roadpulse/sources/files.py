@@ -35,13 +35,24 @@ def read_log_topic(
     return reader.parquet(f"{path}/topic={name}").withColumn("topic", F.lit(name))
 
 
+def _at(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file, or of all files under a folder."""
+    files, target = _at(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of a folder as a stream, be it a single Parquet file or a folder of them."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     reader = spark.readStream.schema(schema).option("maxFileAge", Options().max_file_age)
+    files, target = _at(spark, path)
     if files.getFileStatus(target).isDirectory():
         return reader.parquet(path)
     # A file stream wants a folder; naming the file itself fails when the query runs.

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.options import Options
 from roadpulse.schemas import EVENT_TIME, TOPICS, get_schema
+from roadpulse.sources.files import table_bytes
 
 
 def read_landed(spark: SparkSession, options: Options, topic: str) -> DataFrame:
@@ -80,8 +81,6 @@ def compact(
     makes one file larger than the others.
     """
     table = read_landed(spark, options, topic)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(options.data_path(topic))
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    size = files.getContentSummary(folder).getLength()
+    size = table_bytes(spark, options.data_path(topic))
     table.repartition(max(1, math.ceil(size / file_bytes))).write.parquet(target)
     return spark.read.schema(get_schema(topic)).parquet(target)

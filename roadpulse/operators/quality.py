@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ def _first_of_each(keys: Sequence[str]):
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = pa.array(range(batch.num_rows), pa.int64())
+            rows = pa.array(np.arange(batch.num_rows))
             keyed = pa.table([batch.column(n) for n in names] + [rows], names=[*names, "_row"])
             first = keyed.group_by(names).aggregate([("_row", "min")])["_row_min"]
             yield batch.take(first.combine_chunks())

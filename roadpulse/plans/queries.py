@@ -26,7 +26,14 @@ from roadpulse.plans.landing import (
     landed_options,
     log_path,
 )
-from roadpulse.plans.steps import damaged, messages, read_events, read_steps, stream_steps
+from roadpulse.plans.steps import (
+    damaged,
+    messages,
+    read_events,
+    read_steps,
+    state_partitions,
+    stream_steps,
+)
 from roadpulse.schemas import (
     EMERGENCY,
     GPS,
@@ -206,7 +213,8 @@ def series_emergency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     options = fresh_options(spark, "series")
     rows = ingest(event_source(spark, sf_dir)(EMERGENCY), EMERGENCY, options)
-    return _plain(_written(series_stream(rows, emergency_measures()), "series"))
+    with state_partitions(spark, sf_dir):
+        return _plain(_written(series_stream(rows, emergency_measures()), "series"))
 
 
 # Producer operations
@@ -390,7 +398,8 @@ def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream_steps(spark, sf_dir)
     repeated = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     decoded = decode(messages(repeated, GPS), GPS)
-    return _plain(_written(quality.drop_repeats_stream(decoded), "dedup"))
+    with state_partitions(spark, sf_dir):
+        return _plain(_written(quality.drop_repeats_stream(decoded), "dedup"))
 
 
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,7 +423,8 @@ def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = gps_position_stream(
         decode(source(GPS), GPS), decode(source(VEHICLE), VEHICLE, columns=places_only)
     )
-    rows = with_position(_written(joined, "position"))
+    with state_partitions(spark, sf_dir):
+        rows = with_position(_written(joined, "position"))
     return _plain(rows.select("id", "vehicle_id", "timestamp", "speed", "lat", "lon"))
 
 

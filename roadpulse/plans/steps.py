@@ -6,6 +6,9 @@ run to 120, past the arrival at 100, so that some rows lie beyond it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,24 @@ def stream_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps(_spread(stream_events(spark, sf_dir), sf_dir))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, sf_dir: str) -> Iterator[None]:
+    """Within, a stream starts with no more state partitions than the table needs.
+
+    Each one has files of its own to commit in every micro-batch. The session's setting is the
+    upper bound, and applies as it is to any large table.
+    """
+    name = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(name)
+    size = table_bytes(spark, _path(sf_dir))
+    enough = max(spark.sparkContext.defaultParallelism, size // _BYTES_PER_CORE)
+    spark.conf.set(name, str(min(int(own), enough)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def _path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 

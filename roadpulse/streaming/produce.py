@@ -1,0 +1,55 @@
+"""The producing job: journeys of a fleet as keyed messages on the broker, or in a log of files.
+
+``python -m roadpulse.streaming.produce --vehicles 1000 --log hdfs:/fleet/log``
+"""
+
+from __future__ import annotations
+
+import argparse
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadpulse.operators.encode import envelopes
+from roadpulse.operators.journeys import fleet, synthesize_journeys
+from roadpulse.operators.places import arrivals_of, trim_at_arrival
+from roadpulse.options import Options
+from roadpulse.session import create_session
+from roadpulse.sources import kafka
+from roadpulse.sources.files import write_log
+
+
+def journey_messages(
+    spark: SparkSession, options: Options, vehicles: int, steps: int = 120, seed: int = 0
+) -> DataFrame:
+    """The five messages of every step until its vehicle arrives; that step is not sent."""
+    journeys = synthesize_journeys(fleet(spark, vehicles), steps, seed, ids="random")
+    under_way = trim_at_arrival(journeys, arrivals_of(journeys))
+    return envelopes(under_way, options=options)
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(prog="roadpulse-produce")
+    parser.add_argument("--vehicles", type=int, required=True)
+    parser.add_argument("--steps", type=int, default=120)
+    parser.add_argument("--seed", type=int, default=0)
+    parser.add_argument("--log", help="append to this message log instead of sending to the broker")
+    parser.add_argument("--servers", help="broker addresses")
+    parser.add_argument("--master")
+    args = parser.parse_args(argv)
+    options = Options.from_env(**({"servers": args.servers} if args.servers else {}))
+    spark = create_session(master=args.master)
+    messages = journey_messages(spark, options, args.vehicles, args.steps, args.seed)
+    if args.log:
+        # The broker would add these; a reader of the log finds the same columns.
+        number = F.monotonically_increasing_id()
+        logged = messages.select("*", F.spark_partition_id().alias("partition"), number.alias("offset"))
+        write_log(logged, args.log)
+    else:
+        kafka.publisher(messages, options).save()
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

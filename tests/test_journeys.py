@@ -1,3 +1,4 @@
+import collections
 import datetime as dt
 
 import pytest
@@ -9,7 +10,9 @@ from roadpulse.operators.decode import decode
 from roadpulse.operators.encode import encode, records
 from roadpulse.operators.places import arrivals_of, trim_at_arrival
 from roadpulse.operators.quality import RANGES, range_violations
+from roadpulse.options import Options
 from roadpulse.schemas import TOPICS
+from roadpulse.streaming.produce import journey_messages
 
 
 def _rows(df):
@@ -89,3 +92,19 @@ def test_identities(spark, ids):
     assert every.where(~F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).count() == 0
     again = journeys.synthesize_journeys(journeys.fleet(spark, 4), 25, ids=ids)
     assert (_rows(steps.select("gps_data.id")) == _rows(again.select("gps_data.id"))) == (ids == "derived")
+
+
+def test_produced_messages_carry_their_key(spark):
+    """Fresh identities: the key of a message is the id in its payload, and no two are the same."""
+    options = Options.from_env({"GPS_TOPIC": "fleet.gps"})
+    sent = journey_messages(spark, options, vehicles=6)
+    rows = sent.select(
+        F.col("key").cast("string").alias("key"),
+        F.get_json_object(F.col("value").cast("string"), "$.id").alias("id"),
+        "topic",
+    ).collect()
+    assert all(r["key"] == r["id"] for r in rows)
+    assert len({r["key"] for r in rows}) == len(rows)
+    counts = collections.Counter(r["topic"] for r in rows)
+    assert set(counts) == {"vehicle_data", "fleet.gps", "traffic_data", "weather_data", "emergency_data"}
+    assert len(set(counts.values())) == 1 and 6 * 95 <= counts["fleet.gps"] <= 6 * 105

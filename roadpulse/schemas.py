@@ -20,6 +20,8 @@ EMERGENCY = "emergency_data"
 TOPICS = (VEHICLE, GPS, TRAFFIC, WEATHER, EMERGENCY)
 
 EVENT_TIME = "timestamp"
+# Partition column of tables landed by date; no record has it.
+DATE_COLUMN = "event_date"
 STEP_KEY = ("vehicle_id", "timestamp")
 
 # Field names, order and types of each record kind.

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadpulse.options import Options
-from roadpulse.schemas import EVENT_TIME, TOPICS, get_schema
+from roadpulse.schemas import DATE_COLUMN, EVENT_TIME, TOPICS, get_schema
 from roadpulse.sources.files import table_bytes
 
 
@@ -78,9 +79,17 @@ def compact(
     """Rewrite a landed table into fewer, larger files under ``target``, and read it from there.
 
     Small micro-batches leave small files. Rows are dealt out evenly, not by key, so no vehicle
-    makes one file larger than the others.
+    makes one file larger than the others. A table partitioned by date stays so: its rows are laid
+    out by date and then by where they were read, which cuts a busy date into several files and
+    puts quiet ones together in one task.
     """
     table = read_landed(spark, options, topic)
     size = table_bytes(spark, options.data_path(topic))
-    table.repartition(max(1, math.ceil(size / file_bytes))).write.parquet(target)
+    parts = max(1, math.ceil(size / file_bytes))
+    if options.partition_by_date:
+        placed = table.withColumn("_read_at", F.monotonically_increasing_id())
+        laid_out = placed.repartitionByRange(parts, DATE_COLUMN, "_read_at").drop("_read_at")
+        laid_out.write.partitionBy(DATE_COLUMN).parquet(target)
+    else:
+        table.repartition(parts).write.parquet(target)
     return spark.read.schema(get_schema(topic)).parquet(target)

@@ -8,9 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from roadpulse.options import Options
-from roadpulse.schemas import EVENT_TIME
-
-DATE_COLUMN = "event_date"
+from roadpulse.schemas import DATE_COLUMN, EVENT_TIME
 
 
 def with_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:

@@ -20,7 +20,7 @@ from roadpulse.plans.steps import damaged, messages, read_events, steps
 from roadpulse.schemas import TOPICS
 from roadpulse.session import scratch_path
 from roadpulse.sources.files import read_log_topic, write_log
-from roadpulse.sources.landed import read_landed, stream_landed
+from roadpulse.sources.landed import compact, read_landed, stream_landed
 from roadpulse.streaming.ingest import ingest, run, start_all, stop_all, supervise
 from roadpulse.streaming.live import gps_position_stream, quarantine, series_stream
 from roadpulse.streaming.sinks import parquet_writer
@@ -144,6 +144,19 @@ def test_landing_by_date_prunes(spark, log):
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
+def test_compaction_of_a_table_landed_by_date(spark, sf_dir):
+    options = fresh_options(spark, "dated-all", partition_by_date=True)
+    land_topics(spark, sf_dir, options, ["gps_data"])
+    before = read_landed(spark, options, "gps_data")
+    after = compact(spark, options, "gps_data", scratch_path(spark, "dated-compact"), 20_000)
+    columns = sorted(before.columns)
+    assert sorted(after.columns) == columns and "event_date" in columns
+    assert after.count() == before.count()
+    assert after.select(columns).exceptAll(before.select(columns)).isEmpty()
+    dates = before.select("event_date").distinct().count()
+    assert dates <= len(after.inputFiles()) < len(before.inputFiles())
+
+
 def test_unknown_topic_starts_nothing(spark):
     before = len(spark.streams.active)
     with pytest.raises(ValueError):

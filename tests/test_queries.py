@@ -9,10 +9,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as contract
+from roadpulse.plans.oracles import all_oracles
+from roadpulse.plans.queries import all_queries
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,13 @@ def _ordered(df):
     return df.sort_values(list(df.columns), na_position="first").reset_index(drop=True)
 
 
+def test_contract_names_them_all():
+    import __spark_entry__ as contract
+
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +45,18 @@ def first_by_hash(ids: DataFrame, most: int) -> DataFrame:
     A bounded sample for fitting; its size is what makes it safe to broadcast.
     """
     return ids.orderBy(F.crc32(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(most)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, as --py-files would; once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="roadpulse-code-")  # of the driver, which serves it
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        top, name = os.path.split(package)
+        context.addPyFile(shutil.make_archive(os.path.join(folder, name), "zip", top, name))
+        _shipped.add(context.applicationId)

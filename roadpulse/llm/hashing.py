@@ -101,6 +101,7 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
+    running: np.ndarray  # see running_hash
 
     def counts(self, texts: int) -> np.ndarray:
         return np.bincount(self.text, minlength=texts)
@@ -120,7 +121,8 @@ def words(texts: Texts, lower: bool = True, inside: np.ndarray | None = None) ->
     start = np.flatnonzero(within & (~before | edge[:-1]))
     end = np.flatnonzero(within & (~after | edge[1:])) + 1
     text = np.searchsorted(texts.offsets, start, "right") - 1
-    return Words(text, start, end, range_hash(running_hash(data), start, end))
+    running = running_hash(data)
+    return Words(text, start, end, range_hash(running, start, end), running)
 
 
 def shingles(found: Words, n_texts: int, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -21,25 +21,30 @@ BINS = 10_000
 #: Trusted documents are a sample of at most this many of those labelled good.
 TRUSTED = 20_000
 #: Mean log ratio in millionths from which a document is kept.
-THRESHOLD = -60_000
-SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
-
-
-def _bin(gram: Column) -> Column:
-    return F.pmod(F.crc32(gram.cast("binary")), F.lit(BINS)).cast("int")
+THRESHOLD = -70_000
+SYMBOL = "[#*$%&|<>]"
 
 
 def _with_words(documents: DataFrame) -> DataFrame:
+    """Words of each text, and the crc32 of each word as its id."""
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
-    return documents.select("doc_id", "text", words.alias("words"))
+    found = documents.select("doc_id", "text", words.alias("words"))
+    return found.withColumn("ids", F.transform("words", lambda w: F.crc32(w.cast("binary"))))
+
+
+def _bin(word: Column) -> Column:
+    return F.pmod(word, F.lit(BINS)).cast("int")
 
 
-def _grams(words: Column) -> Column:
+def _pair_bin(word: Column, after: Column) -> Column:
+    """Null after the last word."""
+    return F.pmod(word * 31 + after, F.lit(BINS)).cast("int")
+
+
+def _grams(ids: Column) -> Column:
     """Bins of the words, then of the pairs."""
-    pair = lambda w, i: _bin(F.concat_ws(" ", w, F.get(words, i + 1)))
-    left = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.concat(F.transform(words, _bin), F.transform(left, pair))
+    pairs = F.transform(ids, lambda w, i: _pair_bin(w, F.get(ids, i + 1)))
+    return F.concat(F.transform(ids, _bin), F.slice(pairs, 1, F.greatest(F.size(ids) - 1, F.lit(0))))
 
 
 def weights(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -50,7 +55,7 @@ def weights(documents: DataFrame, labels: DataFrame) -> DataFrame:
         F.broadcast(trusted.withColumn("trusted", F.lit(1))), "doc_id", "left"
     )
     counts = (
-        flagged.select(F.explode(_grams(F.col("words"))).alias("bin"), "trusted")
+        flagged.select(F.explode(_grams(F.col("ids"))).alias("bin"), "trusted")
         .groupBy("bin")
         .agg(F.count("*").alias("raw"), F.count("trusted").alias("good"))
     )
@@ -108,21 +113,25 @@ def quality_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:
     windows = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("hash"), i.alias("at"))))
     repeated = F.size(F.array_distinct(hashes)) < F.size(hashes)
     ready = hashed.withColumn("windows", F.when(repeated, windows)).select(
-        "*", F.col("text").isNull().alias("_none"), model.scalar().alias("_weights")
+        "*", model.scalar().alias("_weights")
     )
     text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, SPACES, "")) > 0)
-    grams = _grams(words)
+    lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
+    ids, weight = F.col("ids"), F.col("_weights")
+    gain = F.transform(
+        ids,
+        lambda w, i: F.get(weight, _bin(w)) + F.coalesce(F.get(weight, _pair_bin(w, F.get(ids, i + 1))), F.lit(0)),
+    )
     base = ready.select(
         "doc_id",
         F.size(words).cast("long").alias("n_words"),
-        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         F.transform(F.array(lines), lambda a: F.size(a) - F.size(F.array_distinct(a)))[0]
         .cast("long")
         .alias("n_dup_lines"),
         _repeat_words(words, F.col("windows")).alias("n_repeat_words"),
-        F.aggregate(grams, F.lit(0).cast("long"), lambda a, b: a + F.get(F.col("_weights"), b)).alias("ratio"),
+        F.aggregate(gain, F.lit(0).cast("long"), lambda a, b: a + b).alias("ratio"),
     )
     n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))

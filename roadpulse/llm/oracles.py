@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import licenses, near, quality_rules, repeats
+from roadpulse.llm import licenses, near, quality_rules
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -166,6 +166,6 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules_sql(),
         "op3_license_scan": license_scan_sql(),
-        "op7_repeats": repeats_sql(repeats.SIZE),
+        "op7_repeats": repeats_sql(),
         "op8_near_duplicates": near_duplicates_sql(),
     }

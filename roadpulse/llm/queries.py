@@ -1,4 +1,4 @@
-"""The operators as named queries over whole tables, and their SQL for an independent engine."""
+"""The operators as named queries over whole tables."""
 
 from __future__ import annotations
 
@@ -7,21 +7,65 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.llm.common import table
+from roadpulse.llm.language import identify
+from roadpulse.llm.language_model import lm_scores
 from roadpulse.llm.licenses import license_scan
+from roadpulse.llm.near import near_duplicates
+from roadpulse.llm.packing import pack
+from roadpulse.llm.pu_quality import pu_quality
 from roadpulse.llm.quality_rules import quality_rules
+from roadpulse.llm.toxicity import toxicity
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+_ALL = [
+    op1_quality_rules,
+    op2_pu_quality,
+    op3_license_scan,
+    op4_packing,
+    op5_toxicity,
+    op6_language,
+    op8_near_duplicates,
+    op9_language_model,
+]
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_license_scan)}
+    return {f.__name__: f for f in _ALL}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    from roadpulse.llm.oracles import llm_oracles as found
+
+    return {name: sql for name, sql in found().items() if name in llm_queries()}

@@ -46,10 +46,10 @@ def powers(of: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def running_hash(data: np.ndarray) -> np.ndarray:
-    """Sums over data[:i] of byte value times BASE ** place, for i from 0 to len(data)."""
+def running_hash(data: np.ndarray, values: np.ndarray = _BYTE_VALUES) -> np.ndarray:
+    """Sums over data[:i] of the letter's value times BASE ** place, for i from 0 to len(data)."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers(BASE, len(data)), out=out[1:])
+    np.cumsum(values[data] * powers(BASE, len(data)), out=out[1:])
     return out
 
 

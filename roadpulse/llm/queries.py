@@ -14,6 +14,7 @@ from roadpulse.llm.near import near_duplicates
 from roadpulse.llm.packing import pack
 from roadpulse.llm.pu_quality import pu_quality
 from roadpulse.llm.quality_rules import quality_rules
+from roadpulse.llm.repeats import repeats
 from roadpulse.llm.toxicity import toxicity
 
 
@@ -41,6 +42,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ _ALL = [
     op4_packing,
     op5_toxicity,
     op6_language,
+    op7_repeats,
     op8_near_duplicates,
     op9_language_model,
 ]

@@ -1,21 +1,61 @@
-"""Cleaning a corpus of documents in stages; each stage's result is written and read by the next."""
+"""Cleaning a corpus: each stage works on all that the one before it kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
+``documents``. run() writes each stage's result to the shared folder and gives it to the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from roadpulse.llm import decontamination, near, packing, pu_quality, repeats
+from roadpulse.llm.common import table
 from roadpulse.session import materialize
 
-STAGES: list = []
 
-#: The quality classifier is fitted; SQL cannot express it.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    scored = pu_quality.classify(docs, table(spark, sf_dir, "labels"))
+    return scored.filter(F.col("quality_score") >= pu_quality.LIMIT).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays."""
+    return near.without_near_duplicates(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes covered by repeated long strings are cut; every document stays."""
+    return repeats.without_repeats(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: one row per piece of a document."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("MinHash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_leaks),
+    ("best-fit packing", packed),
+]
+
+#: SQL cannot express a fitted classifier, CGK walks or a tokenizer; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for n, (name, stage) in enumerate(STAGES):
+    docs = table(spark, sf_dir, "documents")
+    for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if n < len(STAGES) - 1:
-            docs = materialize(docs, f"stage-{n}")
+            docs = materialize(docs, f"stage-{n + 1}")
     return docs

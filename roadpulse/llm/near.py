@@ -253,3 +253,11 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """One document of each component stays, the one of smallest doc_id; of rows with that id one,
+    unless the id is null."""
+    gone = near_duplicates(documents, percent).filter(~F.col("kept")).select("doc_id").distinct()
+    left = documents.filter("doc_id is not null").join(gone, "doc_id", "left_anti").select(*documents.columns)
+    return left.dropDuplicates(["doc_id"]).unionByName(documents.filter("doc_id is null"))

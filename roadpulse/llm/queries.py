@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.llm.common import table
+from roadpulse.llm.decontamination import leaks
 from roadpulse.llm.language import identify
 from roadpulse.llm.language_model import lm_scores
 from roadpulse.llm.licenses import license_scan
@@ -54,6 +55,10 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _ALL = [
     op1_quality_rules,
     op2_pu_quality,
@@ -64,6 +69,7 @@ _ALL = [
     op7_repeats,
     op8_near_duplicates,
     op9_language_model,
+    op10_decontamination,
 ]
 
 

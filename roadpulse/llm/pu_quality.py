@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadpulse.llm import hashing
 from roadpulse.llm.common import first_by_hash, fold, labelled, ship
@@ -143,9 +144,9 @@ def _apply(net: Network | None):
             for piece in hashing.pieces(batch):
                 x = features(hashing.as_texts(piece.column("text"))).astype(np.float64)
                 score = _sigmoid(net.margin(x)) if net is not None else np.full(len(x), 0.5)
-                rest = [piece.column(k) for k in range(piece.num_columns) if piece.schema.names[k] != "score"]
-                names = [k for k in piece.schema.names if k != "score"]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(score)], names=[*names, "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("own"), piece.column("text"), pa.array(score)], names=["own", "text", "score"]
+                )
 
     return run
 
@@ -180,7 +181,7 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     net = train(documents, labels)
     plain = documents.select(*[c for c in documents.columns if c != "quality_score"])
     inner = plain.select(F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("own"), F.col("text").alias("text"))
-    schema = inner.schema.add("score", "double")
+    schema = T.StructType([*inner.schema.fields, T.StructField("score", T.DoubleType())])
     scored = inner.mapInArrow(_apply(net), schema)
     return scored.select("own.*", F.col("score").alias("quality_score"))
 

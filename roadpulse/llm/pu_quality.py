@@ -34,6 +34,8 @@ POSITIVES, UNLABELLED = 10_000, 20_000
 HIDDEN = 24
 EPOCHS, LEAST_STEPS = 60, 1_500
 LIMIT = 0.3
+#: Standard errors added to the ratios that bound the prior: the smallest of many is low by chance.
+MARGIN = 0.25
 
 
 @dataclass
@@ -126,7 +128,9 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
         net = fit(positive[1 - k :: 2], unlabelled[1 - k :: 2], None)
         p, u = net.margin(p), net.margin(u)
         cuts = np.quantile(p, 1 - shares)
-        ratios.append([(u >= t).mean() / (p >= t).mean() for t in cuts])
+        in_p, in_u = (np.array([(x >= t).mean() for t in cuts]) for x in (p, u))
+        error = np.sqrt(in_p * (1 - in_p) / len(p) + in_u * (1 - in_u) / len(u)) / in_p
+        ratios.append(in_u / in_p + MARGIN * error)
     return float(np.clip(np.mean(ratios, 0).min(), 0.05, 0.98)) if ratios else 0.5
 
 

@@ -11,37 +11,30 @@ from roadpulse.session import materialize
 def _stars(links: DataFrame) -> DataFrame:
     """One large-star and one small-star step. Each node's smallest neighbour comes from a partial
     aggregate and is joined back, so a node with very many links is split like any skewed join."""
-    both = links.union(links.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    large = (
-        both.join(least, "u")
-        .filter("v > u")
-        .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .filter("u <> v")
-        .distinct()
-    )
-    down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    ends = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    both = links.select(F.inline(ends))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+    large = both.join(least, "u").filter("v > u and v <> m").select("v", "m")
+    down = large.toDF("u", "v")
     lowest = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(lowest, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return (
-        moved.union(lowest.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        .filter("a <> b")
-        .distinct()
-    )
+    each = F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))
+    return down.join(lowest, "u").select(F.inline(each)).filter("a <> b").distinct()
+
+
+def _is_star(links: DataFrame) -> bool:
+    """Whether every node that is no centre has one centre."""
+    again = links.groupBy("a").count().filter("count > 1")
+    centres = links.select(F.col("b").alias("a")).distinct()
+    return again.isEmpty() and links.join(centres, "a", "left_semi").isEmpty()
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """(id, component) of every linked id; the component is its smallest id. Links are pairs (a, b).
+    """(id, component) of every linked id but the components' own; the component is its smallest id.
 
-    Every step is written to the shared folder. It ends when a step changes nothing, after a number
-    of steps that grows with the logarithm of the longest chain.
+    ``links`` are pairs (a, b). Every step is written to the shared folder. It ends when the links form
+    stars, after a number of steps that grows with the logarithm of the longest chain.
     """
-    mark = [F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
     now = materialize(_stars(links.filter("a <> b").select("a", "b")), name)
-    seen = now.agg(*mark).first()
-    while True:
-        after = materialize(_stars(now), name)
-        found = after.agg(*mark).first()
-        if found == seen:
-            return after.toDF("id", "component")
-        now, seen = after, found
+    while not _is_star(now):
+        now = materialize(_stars(now), name)
+    return now.toDF("id", "component")

@@ -10,9 +10,8 @@
 4. A task writes only a spanning forest of its verified links; these make the components.
 
 Null and empty texts, or texts without a word: n_shingles 0, linked with nothing. A null doc_id is never
-linked: component null, kept true. Rows with the same doc_id count as one document, whose
-set is the largest of theirs; each row is answered. Long texts cost their length; extra columns are
-ignored; empty tables give no rows.
+linked: component null, kept true. Rows with the same doc_id and set are one document; with other sets, each row
+is answered by its own. Long texts cost their length; extra columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +36,7 @@ BATCH = 20
 #: A pair is dropped when the chance that it reaches the limit is below this.
 MISS = 1e-6
 #: Members of a group that one side of a task holds, about.
-CHUNK = 256
+CHUNK = 512
 
 _MULTIPLIERS = hashing.mix(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -88,37 +87,26 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.diff(cuts)
             full = np.flatnonzero(size)
             starts = cuts[:-1][full]
-            sig = np.zeros((len(size), VALUES), np.uint32)
-            prints = np.zeros((len(size), 2), np.int64)
+            bands, prints = np.zeros((0, BANDS), np.uint64), np.zeros((len(size), 2), np.int64)
             if len(full):
-                sig[full] = signatures(value, np.append(starts, len(value)))
+                bands = band_hashes(signatures(value, np.append(starts, len(value))))
                 # The whole set in 128 bits: two sums of independent hashes of its members.
                 for k in range(2):
                     salted = hashing.mix(value + np.uint64(k + 1))
                     prints[full, k] = np.add.reduceat(salted, starts).view(np.int64)
+            owner = np.repeat(full, BANDS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column("doc_id").cast(pa.int64()),
+                    piece.column("doc_id"),
                     pa.array(size.astype(np.int64)),
                     pa.array(prints[:, 0]),
                     pa.array(prints[:, 1]),
-                    _fixed(sig),
+                    hashing.lists(owner, pa.array(bands.ravel().view(np.int64)), len(size)),
                 ],
-                names=["doc_id", "n", "print1", "print2", "sig"],
+                names=["doc_id", "n", "print1", "print2", "bands"],
             )
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per band of each signature."""
-    for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, VALUES)
-        ids = batch.column("rep").to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(ids, BANDS)), pa.array(band_hashes(sig).ravel().view(np.int64))],
-            names=["rep", "band"],
-        )
-
-
 def band_hashes(sig: np.ndarray) -> np.ndarray:
     cells = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
     out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), cells.shape[:2]).copy()
@@ -128,14 +116,22 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signature and whole set of each text that has one."""
     for batch in batches:
         for piece in hashing.pieces(batch):
             value, cuts = _sets(piece)
-            ends = (cuts * 8).astype(np.int32)
+            full = np.flatnonzero(np.diff(cuts))
+            if not len(full):
+                continue
+            cuts = np.append(cuts[:-1][full], len(value))
+            ends = (cuts * value.itemsize).astype(np.int32)
             sets = pa.Array.from_buffers(
-                pa.binary(), len(cuts) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(value))]
+                pa.binary(), len(full), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(value))]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("rep").take(pa.array(full)), _fixed(signatures(value, cuts)), sets],
+                names=["rep", "sig", "shingles"],
             )
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), sets], names=["rep", "shingles"])
 
 
 class _Forest:
@@ -187,7 +183,7 @@ def _verify(percent: int):
         sets = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
         low, high = (np.flatnonzero(own == group.column(c)[0].as_py()) for c in ("low", "high"))
         one = group.column("low")[0].as_py() == group.column("high")[0].as_py()
-        links = block_links(sig, group.column("n").to_numpy(), sets, low, low if one else high, percent)
+        links = block_links(sig, np.array([len(x) for x in sets]), sets, low, low if one else high, percent)
         a, b = (rep[[x[k] for x in links]] if links else rep[:0] for k in (0, 1))
         return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
@@ -199,57 +195,52 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     ship(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = materialize(
-        texts.mapInArrow(_digest, "doc_id long, n long, print1 long, print2 long, sig binary"), "near-digest"
+        texts.mapInArrow(_digest, "doc_id long, n long, print1 long, print2 long, bands array<long>"), "near-digest"
     )
-    known = rows.filter("doc_id is not null and n > 0")
-    one = known.groupBy("doc_id").agg(F.max_by(F.struct("n", "print1", "print2"), F.struct("n", "print1", "print2")).alias("x"))
-    members = one.select("doc_id", "x.*")
-    classes = members.groupBy("n", "print1", "print2").agg(F.min("doc_id").alias("rep"))
-    # Every class once, with its signature: the row whose id and set are the representative's.
-    reps = (
-        known.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "print1", "print2"], "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("rep"), "n", "sig")
+    # Copies meet here, before anything is compared; their bands are the same.
+    classes = materialize(
+        rows.filter("doc_id is not null and n > 0")
+        .groupBy("n", "print1", "print2")
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
+        "near-classes",
     )
-    bands = materialize(reps.mapInArrow(_bands, "rep long, band long"), "near-bands")
-    shared = bands.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("k")).filter("k > 1")
-    stars = bands.join(shared, "band").select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct()
-    groups = components(stars, "near-groups")
+    bands = classes.select("rep", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
+    # A band's classes hang on its smallest; no pairs.
+    stars = bands.join(shared.filter("least < most").select("band", "least"), "band").filter("rep > least")
+    groups = components(stars.select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct(), "near-groups")
     grouped = groups.union(groups.select("component", "component").distinct()).toDF("rep", "group")
     sizes = grouped.groupBy("group").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    chosen = grouped.join(sizes, "group").withColumn("chunk", F.pmod(F.hash("rep"), "chunks"))
+    chosen = materialize(
+        grouped.join(sizes, "group").withColumn("chunk", F.pmod(F.hash("rep"), "chunks")), "near-candidates"
+    )
     sets = (
-        texts.join(grouped.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-        .mapInArrow(_set_rows, "rep long, shingles binary")
-        .withColumn("n", (F.length("shingles") / 8).cast("long"))
-        .groupBy("rep")
-        .agg(F.max_by(F.struct("n", "shingles"), "n").alias("x"))
-        .select("rep", "x.*")
+        texts.withColumnRenamed("doc_id", "rep")
+        .join(chosen.select("rep").hint("shuffle_hash"), "rep", "left_semi")
+        .mapInArrow(_set_rows, "rep long, sig binary, shingles binary")
     )
-    full = materialize(chosen.join(sets, "rep").join(reps.select("rep", "sig"), "rep"), "near-sets")
-    blocks = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "group",
-        F.least("chunk", "other").alias("low"),
-        F.greatest("chunk", "other").alias("high"),
-        "chunk",
-        "rep",
-        "n",
-        "sig",
-        "shingles",
+    blocks = (
+        sets.join(chosen, "rep")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("low", F.least("chunk", "other"))
+        .withColumn("high", F.greatest("chunk", "other"))
+        .select("group", "low", "high", "chunk", "rep", "sig", "shingles")
     )
     links = materialize(
         blocks.groupBy("group", "low", "high").applyInArrow(_verify(percent), "a long, b long"), "near-links"
     )
-    found = components(links, "near-components")
-    of_class = classes.join(found, classes.rep == found.id, "left").select(
-        "n", "print1", "print2", F.coalesce("component", "rep").alias("component_id")
+    found = components(links, "near-components").withColumnRenamed("id", "rep")
+    named = materialize(
+        classes.drop("bands")
+        .join(found, "rep", "left")
+        .select("n", "print1", "print2", F.coalesce("component", "rep").alias("component")),
+        "near-named",
     )
-    named = members.join(of_class, ["n", "print1", "print2"]).select("doc_id", "component_id")
-    answered = rows.select("doc_id", F.col("n").alias("n_shingles")).join(named, "doc_id", "left")
-    component = F.coalesce("component_id", "doc_id")
+    answered = rows.drop("bands").join(named, ["n", "print1", "print2"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return answered.select(
         "doc_id",
-        "n_shingles",
+        F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )

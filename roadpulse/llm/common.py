@@ -42,9 +42,22 @@ def labelled(labels: DataFrame, column: str) -> DataFrame:
 def first_by_hash(ids: DataFrame, most: int) -> DataFrame:
     """At most ``most`` rows, the same at every run: those of smallest hash of doc_id.
 
-    A bounded sample for fitting; its size is what makes it safe to broadcast.
+    A bounded sample for fitting; its size is what makes it safe to broadcast. The count of rows tells
+    how small a hash has to be, so that only about as many rows as are wanted get sorted.
     """
-    return ids.orderBy(F.crc32(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(most)
+    place = id_hash()
+    few = ids.filter(place < hash_limit(most, ids.count()))
+    return few.orderBy(place, "doc_id").limit(most)
+
+
+def id_hash() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def hash_limit(most: int, n: int | Column) -> Column:
+    """A limit of `id_hash` below which ``most`` of n rows lie, with room for chance."""
+    share = F.lit(1.1 * most + 100) / F.greatest(F.lit(n) if isinstance(n, int) else n, F.lit(1))
+    return F.least(share, F.lit(1.0)) * 2.0**32
 
 
 _shipped: set[str] = set()

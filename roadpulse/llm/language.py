@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm import hashing
-from roadpulse.llm.common import fold, ship
+from roadpulse.llm.common import fold, hash_limit, id_hash, ship
 
 FOLDS, HELD = 3, 1
 UNDETERMINED = "und"
@@ -229,9 +229,13 @@ def train(documents: DataFrame, path: str | None = None) -> Model | None:
     known = documents.filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD)
     )
-    first = Window.partitionBy("lang").orderBy(F.crc32(F.col("doc_id").cast("string").cast("binary")), "doc_id")
+    first = Window.partitionBy("lang").orderBy(id_hash(), "doc_id")
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
     sample = (
         known.select("doc_id", "lang")
+        .join(sizes, "lang")
+        .filter(id_hash() < hash_limit(DOCUMENTS, F.col("n")))
+        .select("doc_id", "lang")
         .distinct()
         .withColumn("k", F.row_number().over(first))
         .filter(F.col("k") <= DOCUMENTS)

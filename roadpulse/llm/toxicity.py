@@ -201,15 +201,17 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         counts[r["entry"], r["edited"], int(r["mark"] > 0)] += r["count"]
     prior = np.array([[9.0, 1.0], [3.0, 1.0]])
     odds = np.log((counts[:, :, 1] + prior[None, :, 0]) / (counts[:, :, 0] + prior[None, :, 1]))
-    rows = first_rows(seen)
+    rows = some_rows(seen, sum(r["count"] for r in totals))
     x = np.frombuffer(b"".join(r["x"] for r in rows)).reshape(-1, 2 + _BINS)
     entry, edited, y = (np.array([r[k] for r in rows], np.int64) for k in ("entry", "edited", "mark"))
     return Model(automaton, odds, _fit_context(x, y, odds[entry, edited]) if len(rows) else _PRIOR.copy())
 
 
-def first_rows(seen: DataFrame, most: int = 20_000) -> list:
-    """A bounded sample of occurrences for the context weights."""
-    return seen.orderBy(F.xxhash64("x", "entry"), "x", "entry", "mark", "edited").limit(most).collect()
+def some_rows(seen: DataFrame, n: int, most: int = 20_000) -> list:
+    """About ``most`` of the n occurrences, by hash, in an order of their own, for the context weights."""
+    share = int(10**6 * min(1.0, most / max(n, 1)))
+    rows = seen.filter(F.pmod(F.xxhash64("x", "entry"), F.lit(10**6)) < share).collect()
+    return sorted(rows, key=lambda r: (r["entry"], r["edited"], r["mark"], bytes(r["x"])))
 
 
 def _apply(model: Model):

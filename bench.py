@@ -49,6 +49,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": warm,
                 "first_pass": round(sum(cold.values()), 3),
+                "first_pass_queries": cold,  # lands and compiles; of land_* it is the landing
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
             }

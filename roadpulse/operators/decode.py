@@ -51,11 +51,14 @@ def decode(
     return messages.select(_fields(F.from_json(payload(), schema)), *kept)
 
 
-def decode_checked(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
+def decode_checked(
+    messages: DataFrame, topic: str, *keep: str, keys: Sequence[str] = ("id",)
+) -> DataFrame:
     """Decode, and say of each message whether it is sound.
 
     Adds ``value`` (the text) and ``problem``: null for a sound message, ``empty`` where there was
-    no text, ``malformed`` where the text or one of its fields did not fit the schema.
+    no text, ``malformed`` where the text is not one JSON object or a field did not fit the schema,
+    ``keyless`` where one of ``keys`` is missing.
     """
     declared = get_schema(topic)
     schema = StructType([*declared.fields, StructField(CORRUPT, StringType())])
@@ -64,8 +67,16 @@ def decode_checked(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
     # would leave errors in the other fields unseen.
     data = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
     rows = text.select("value", *keep, _fields(data))
-    problem = F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty").when(
-        F.col(CORRUPT).isNotNull() | F.col("value").rlike(r"^\s*null\s*$"), "malformed"
+    # A parser stops after the first value; as an array the whole text has to be one.
+    listed = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<struct<id:string>>")
+    alone = F.coalesce(F.size(listed) == 1, F.lit(False))
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    problem = (
+        F.when(F.col("value").isNull() | F.col("value").rlike(r"^\s*$"), "empty")
+        .when(F.col(CORRUPT).isNotNull() | F.col("value").rlike(r"^\s*null\s*$") | ~alone, "malformed")
+        .when(missing, "keyless")
     )
     return rows.withColumn("problem", problem).drop(CORRUPT)
 

@@ -74,6 +74,10 @@ def check_encodable(schema: StructType) -> None:
         check(f.name, f.dataType)
 
 
+def _own(steps: DataFrame, topic: str) -> list[str]:
+    return steps.schema[topic].dataType.fieldNames()
+
+
 def json_of(*columns: Column) -> Column:
     return F.to_json(F.struct(*columns), {"timestampFormat": TIME_FORMAT})
 
@@ -92,10 +96,13 @@ def encode(df: DataFrame, topic: str, key: str = "id") -> DataFrame:
     )
 
 
-def envelopes(steps: DataFrame, *keep: str, options: Options | None = None) -> DataFrame:
+def envelopes(
+    steps: DataFrame, *keep: str, options: Options | None = None, key: str = "id"
+) -> DataFrame:
     """All five messages of every step in a single pass over the steps.
 
-    ``keep`` names further step columns to carry along; ``options`` may rename the topics.
+    ``keep`` names further step columns to carry along; ``options`` may rename the topics. ``key``
+    is a field of the records or a column of the steps, see `encode`.
     """
     options = options or Options()
     messages = []
@@ -103,7 +110,9 @@ def envelopes(steps: DataFrame, *keep: str, options: Options | None = None) -> D
         check_encodable(records(steps, topic).schema)
         messages.append(
             F.struct(
-                F.col(f"{topic}.id").cast("binary").alias("key"),
+                F.col(f"{topic}.{key}" if key in _own(steps, topic) else key)
+                .cast("binary")
+                .alias("key"),
                 json_of(*record_columns(topic)).cast("binary").alias("value"),
                 F.lit(options.topic_name(topic)).alias("topic"),
             )

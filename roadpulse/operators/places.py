@@ -75,13 +75,17 @@ def routes(vehicle: DataFrame) -> DataFrame:
 
 
 def latest_position(vehicle: DataFrame) -> DataFrame:
-    """Last known position per vehicle; records without a time cannot be last."""
+    """Last known position per vehicle; records without a time cannot be last.
+
+    The latest time comes from a hash aggregate over all rows; only the rows at it are compared
+    by id and position.
+    """
     known = points(vehicle).where(F.col("timestamp").isNotNull())
-    place = F.struct("timestamp", "lat", "lon")
-    last = known.groupBy("vehicle_id").agg(
-        F.max_by(place, F.struct("timestamp", "id", "lat", "lon")).alias("last")
+    newest = known.groupBy("vehicle_id").agg(F.max("timestamp").alias("timestamp"))
+    last = known.join(newest, ["vehicle_id", "timestamp"]).groupBy("vehicle_id", "timestamp").agg(
+        F.max(F.struct("id", "lat", "lon")).alias("last")
     )
-    return last.select("vehicle_id", "last.*")
+    return last.select("vehicle_id", "timestamp", "last.lat", "last.lon")
 
 
 def gps_density(gps: DataFrame, vehicle: DataFrame, size: float = CELL_DEGREES) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.operators.running import CHUNK, running
@@ -39,28 +39,35 @@ def _first_of_each(keys: Sequence[str]):
     return reduce
 
 
+def _known(keys: Sequence[str]) -> Column:
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    return known
+
+
 def drop_repeats_stream(
-    decoded: DataFrame, keys: Sequence[str] = ("id",), delay: str = "2 minutes"
+    decoded: DataFrame, keys: Sequence[str] = ("id",), delay: str = "2 minutes", thin: bool = False
 ) -> DataFrame:
     """Stream of decoded rows without the repeats that arrive within the watermark delay.
 
-    Takes the stream *before* its watermark is declared. Rows with a null key are not told apart
-    by it and do not pass; `quarantine` keeps them. Repeats inside one Arrow batch are dropped
-    before the shuffle, so that one much-repeated record does not travel to a single task whole.
+    Takes the stream *before* its watermark is declared. Rows with a null key cannot be told apart
+    and all pass, beside the state. ``thin`` drops rows equal in key and event time inside each
+    Arrow batch first, so that one much-repeated record does not travel to a single task whole; it
+    sends every row through Python, so it is for streams that have such records.
     """
-    known = decoded
-    for key in keys:
-        known = known.where(F.col(key).isNotNull())
-    thinned = known.mapInArrow(_first_of_each(keys), known.schema)
-    return thinned.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(keys))
+    known = decoded.where(_known(keys))
+    if thin:
+        known = known.mapInArrow(_first_of_each([*keys, EVENT_TIME]), known.schema)
+    single = known.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(keys))
+    # No watermark on the rest: with hardly a row, it would hold back that of the whole query.
+    return single.unionByName(decoded.where(~_known(keys)))
 
 
 def drop_repeats(table: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Landed table without repeats. Rows with a null key are all kept."""
-    known = F.lit(True)
-    for key in keys:
-        known = known & F.col(key).isNotNull()
-    return table.where(known).dropDuplicates(list(keys)).unionByName(table.where(~known))
+    single = table.where(_known(keys)).dropDuplicates(list(keys))
+    return single.unionByName(table.where(~_known(keys)))
 
 
 def late_rows(decoded: DataFrame, delay: str = "2 minutes", chunk: int = CHUNK) -> DataFrame:

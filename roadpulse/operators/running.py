@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = 1_000_000
@@ -67,9 +67,19 @@ def running(
         *[F.max(f"_{out}").over(earlier).alias(f"_{out}") for out in maxima],
     )
     within = running_within(chunked, by_chunk, index, sums, maxima)
-    joined = within.join(carried, by_chunk, "left")
+    # Rows with a null in the key are a key of their own, as they are to the window.
+    renamed = carried.withColumnsRenamed({k: f"_key_{k}" for k in by_chunk})
+    same = F.lit(True)
+    for k in by_chunk:
+        same = same & within[k].eqNullSafe(renamed[f"_key_{k}"])
+    joined = within.join(renamed, same, "left")
+
+    def total(out: str) -> Column:
+        here, before = F.col(out), F.col(f"_{out}")
+        return F.coalesce(here + before, here, before).alias(out)
+
     return joined.select(
         *df.columns,
-        *[(F.col(out) + F.coalesce(F.col(f"_{out}"), F.lit(0))).alias(out) for out in sums],
+        *[total(out) for out in sums],
         *[F.greatest(F.col(out), F.col(f"_{out}")).alias(out) for out in maxima],
     )

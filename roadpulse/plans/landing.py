@@ -8,16 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.operators.encode import envelopes
 from roadpulse.options import Options
-from roadpulse.plans.steps import messages, read_steps, stream_steps
+from roadpulse.plans.steps import events_path, messages, read_steps, stream_steps
 from roadpulse.schemas import TOPICS
 from roadpulse.session import pin_utc, scratch_path
-from roadpulse.sources.files import write_log
+from roadpulse.sources.files import modified, write_log
 from roadpulse.sources.landed import read_landed
 from roadpulse.streaming.ingest import start_all, supervise
 
-_options: dict[tuple[str, str], Options] = {}
-_landed: dict[tuple[str, str], set[str]] = {}
-_logs: dict[tuple[str, str], str] = {}
+# By application, folder and the time the events last changed.
+_options: dict[tuple[str, str, int], Options] = {}
+_landed: dict[tuple[str, str, int], set[str]] = {}
+_logs: dict[tuple[str, str, int], str] = {}
+
+
+def _version(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
+    return (spark.sparkContext.applicationId, sf_dir, modified(spark, events_path(sf_dir)))
 
 
 def event_source(spark: SparkSession, sf_dir: str):
@@ -38,7 +43,7 @@ def land_topics(
 def landed_options(spark: SparkSession, sf_dir: str, topics: Sequence[str] = TOPICS) -> Options:
     """Where the process's landed set is, after landing those of ``topics`` not there yet."""
     pin_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _version(spark, sf_dir)
     options = _options.setdefault(key, fresh_options(spark, "landed"))
     done = _landed.setdefault(key, set())
     missing = [t for t in topics if t not in done]
@@ -55,7 +60,7 @@ def landed(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 def log_path(spark: SparkSession, sf_dir: str) -> str:
     """A message log of all five topics, written once per process in one pass over the events."""
     pin_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _version(spark, sf_dir)
     if key not in _logs:
         path = scratch_path(spark, "log")
         sent = envelopes(read_steps(spark, sf_dir), "partition", "offset", "timestamp")

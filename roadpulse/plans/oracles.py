@@ -2,15 +2,7 @@
 
 from __future__ import annotations
 
-from roadpulse.functions.draws import (
-    DRAW_FACTOR,
-    MASK,
-    MIX_FACTOR,
-    STEP_FACTOR,
-    name_factor,
-)
-from roadpulse.plans.queries import SYNTH_SEED, SYNTH_STEPS
-from roadpulse.schemas import EMERGENCY, GPS, TOPICS, TRAFFIC, VEHICLE, WEATHER, get_schema
+from roadpulse.schemas import EMERGENCY, GPS, TOPICS, TRAFFIC, VEHICLE, WEATHER
 
 # The rule that derives the five record kinds from events.
 _TOPICS = """
@@ -80,105 +72,93 @@ FROM (SELECT 'e' || CAST(event_id AS VARCHAR) AS id, timestamp,
       FROM step)
 """
 
-# What each of the twenty damaged messages decodes to.
-_DAMAGED = """
+# The GPS message as its producer writes it, and what each of the ways to damage it leaves.
+_GPS_TEXT = """
+SELECT s.event_id, s.event_id % 23 AS d, g.id, g.vehicle_id, g.timestamp, g.speed,
+       '"vehicle_id":"' || g.vehicle_id || '",' AS vehicle,
+       '"timestamp":"' || strftime(g.timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '",' AS clock,
+       '"speed":' || CAST(g.speed AS VARCHAR) || ',' AS pace,
+       '"direction":"North-East","vehicleType":"' || g."vehicleType" || '"}' AS rest
+FROM step s JOIN gps_data g ON g.id = 'g' || CAST(s.event_id AS VARCHAR)
+"""
+
+_DAMAGED = f"""
 SELECT event_id, CAST(d AS INTEGER) AS damage,
-       CASE WHEN d IN (0,1,2,3,4,5,7,8,9,10,12) THEN 'v' || CAST(event_id AS VARCHAR)
-            WHEN d = 6 THEN '7' WHEN d = 13 THEN '{"a":1}' END AS id,
-       CASE d WHEN 0 THEN TIMESTAMP '2024-01-01 00:00:30.123456'
-              WHEN 1 THEN TIMESTAMP '2024-01-01 00:00:30'
-              WHEN 9 THEN TIMESTAMP '2024-01-01 00:00:00'
-              WHEN 10 THEN TIMESTAMP '2023-12-31 22:00:30' END AS timestamp,
-       CASE d WHEN 0 THEN '[51.5,-0.12]' WHEN 1 THEN 'x' END AS location,
-       CASE d WHEN 0 THEN CAST(12.5 AS DOUBLE) WHEN 1 THEN CAST(12 AS DOUBLE)
-              WHEN 4 THEN CAST(3 AS DOUBLE) WHEN 7 THEN CAST('NaN' AS DOUBLE)
-              WHEN 8 THEN CAST(1 AS DOUBLE) END AS speed,
-       CAST(CASE d WHEN 0 THEN 2024 WHEN 1 THEN 2024 WHEN 5 THEN 1 END AS INTEGER) AS year
-FROM (SELECT event_id, event_id % 20 AS d FROM step)
+       CASE WHEN d IN (0, 1, 2, 3, 5, 6, 7, 8, 10, 21, 22) THEN id
+            WHEN d = 4 THEN '7' WHEN d = 11 THEN '{{"a":1}}' END AS id,
+       CASE WHEN d IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 20, 21, 22) THEN vehicle_id END AS vehicle_id,
+       CASE WHEN d IN (0, 1, 2, 3, 4, 5, 9, 10, 11, 20, 21, 22) THEN timestamp
+            WHEN d = 7 THEN TIMESTAMP '2024-01-01 00:00:00'
+            WHEN d = 8 THEN timestamp - INTERVAL 2 HOURS END AS timestamp,
+       CASE WHEN d IN (0, 2, 4, 6, 7, 8, 9, 10, 11, 20, 21, 22) THEN speed
+            WHEN d = 5 THEN CAST('NaN' AS DOUBLE) END AS speed,
+       CASE WHEN d IN (16, 17, 18) THEN 'empty' WHEN d IN (9, 19, 20) THEN 'keyless'
+            WHEN d IN (3, 6, 12, 13, 14, 15, 21, 22) THEN 'malformed' END AS problem
+FROM ({_GPS_TEXT})
 """
 
-_QUARANTINE = """
+_QUARANTINE = f"""
 SELECT event_id,
-       CASE d WHEN 4 THEN '{"id":"' || v || '","year":2024.5,"speed":3.0}'
-              WHEN 5 THEN '{"id":"' || v || '","speed":"12.5","year":1}'
-              WHEN 8 THEN '{"id":"' || v || '","timestamp":"yesterday","speed":1.0}'
-              WHEN 14 THEN '{"id":"' || v || '","speed":1.0,'
-              WHEN 15 THEN 'hello ' || v
-              WHEN 16 THEN 'null'
-              WHEN 17 THEN '[{"id":"' || v || '"},{"id":"l"}]'
-              WHEN 18 THEN '' END AS value,
-       CASE WHEN d >= 18 THEN 'empty' ELSE 'malformed' END AS problem
-FROM (SELECT event_id, event_id % 20 AS d, 'v' || CAST(event_id AS VARCHAR) AS v FROM step)
-WHERE d IN (4, 5, 8, 14, 15, 16, 17, 18, 19)
+       CASE d WHEN 3 THEN head || vehicle || clock || '"speed":"' || CAST(speed AS VARCHAR) || '",' || rest
+              WHEN 6 THEN head || vehicle || '"timestamp":"yesterday",' || pace || rest
+              WHEN 9 THEN '{{"ID":"' || id || '",' || vehicle || clock || pace || rest
+              WHEN 12 THEN substr(whole, 1, 40)
+              WHEN 13 THEN 'hello ' || id
+              WHEN 14 THEN 'null'
+              WHEN 15 THEN '[' || whole || ']'
+              WHEN 16 THEN ''
+              WHEN 18 THEN chr(10) || chr(9) || ' '
+              WHEN 19 THEN '{{}}'
+              WHEN 20 THEN '{{"id":null,' || vehicle || clock || pace || rest
+              WHEN 21 THEN whole || ' trailing'
+              WHEN 22 THEN whole || whole END AS value,
+       CASE WHEN d IN (16, 17, 18) THEN 'empty' WHEN d IN (9, 19, 20) THEN 'keyless'
+            ELSE 'malformed' END AS problem
+FROM (SELECT *, head || vehicle || clock || pace || rest AS whole
+      FROM (SELECT *, '{{"id":"' || id || '",' AS head FROM ({_GPS_TEXT})))
+WHERE d IN (3, 6, 9, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22)
 """
 
-
-def _folded(x: str, shift: int) -> str:
-    return f"xor({x}, {x} >> {shift})"
-
-
-def _times(x: str, factor: int) -> str:
-    return f"(({x} * {factor}) & {MASK})"
-
-
-def _draw(name: str) -> str:
-    """The arithmetic of `functions.draws` as text, from ``bits``, those of the row."""
-    return _folded(_times(_folded(_times("bits", name_factor(name)), 15), DRAW_FACTOR), 14)
-
-
-def _uniform(name: str, low: int, high: int) -> str:
-    share = f"(CAST({_draw(name)} AS DOUBLE) / CAST({2**31} AS DOUBLE))"
-    return f"CAST({low} AS DOUBLE) + CAST({high - low} AS DOUBLE) * {share}"
-
-
-def _choice(name: str, *values: str) -> str:
-    cases = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
-    return f"CASE {_draw(name)} % {len(values)} {cases} END"
-
-
-def _derived_id(name: str) -> str:
-    text = f"vehicle_id || '|' || CAST(step AS VARCHAR) || '|{SYNTH_SEED}|{name}'"
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return " || '-' || ".join(f"substr(md5({text}), {at}, {n})" for at, n in cuts)
-
-
-def _synth() -> str:
-    so_far = "OVER (PARTITION BY vehicle_id ORDER BY step)"
-    return f"""
-WITH keyed AS (
-  SELECT vehicle_id, s.step AS step,
-         CAST('0x' || substr(md5(vehicle_id || '|{SYNTH_SEED}'), 1, 8) AS BIGINT) & {MASK} AS key
-  FROM (SELECT DISTINCT 'V-' || CAST(user_id AS VARCHAR) AS vehicle_id FROM events),
-       (SELECT CAST(range AS BIGINT) AS step FROM range(1, {SYNTH_STEPS + 1})) s),
-summed AS (SELECT *, ((key + step * {STEP_FACTOR}) & {MASK}) AS x FROM keyed),
-steps AS (SELECT *, {_folded(_times(_folded("x", 16), MIX_FACTOR), 13)} AS bits FROM summed),
-moves AS (
-  SELECT *, 9788000 - 500000 + {_draw('lat')} % 1000001 AS move_lat,
-         -17626000 - 500000 + {_draw('lon')} % 1000001 AS move_lon,
-         30 + {_draw('clock')} % 31 AS seconds
-  FROM steps)
-SELECT vehicle_id, step,
-       TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(sum(seconds) {so_far} AS BIGINT))
-         AS timestamp,
-       CAST(51507400000 + sum(move_lat) {so_far} AS DOUBLE) / CAST(1000000000 AS DOUBLE) AS lat,
-       CAST(-127800000 + sum(move_lon) {so_far} AS DOUBLE) / CAST(1000000000 AS DOUBLE) AS lon,
-       {_derived_id('vehicle')} AS id,
-       {_uniform('speed', 10, 40)} AS speed,
-       {_uniform('gps speed', 0, 40)} AS gps_speed,
-       {_uniform('temperature', -5, 26)} AS temperature,
-       {_choice('condition', 'Sunny', 'Cloudy', 'Rain', 'Snow')} AS weather_condition,
-       CAST({_draw('humidity')} % 101 AS INTEGER) AS humidity,
-       {_choice('incident type', 'Accident', 'Fire', 'Medical', 'Police', 'None')} AS incident_type,
-       {_choice('status', 'Active', 'Resolved')} AS incident_status
-FROM moves
+# The declared columns, as rows of (topic, ordinal, name, type).
+_DECLARED = """
+    ('vehicle_data', 1, 'id', 'string'), ('vehicle_data', 2, 'vehicle_id', 'string'),
+    ('vehicle_data', 3, 'timestamp', 'timestamp'), ('vehicle_data', 4, 'location', 'string'),
+    ('vehicle_data', 5, 'speed', 'double'), ('vehicle_data', 6, 'direction', 'string'),
+    ('vehicle_data', 7, 'make', 'string'), ('vehicle_data', 8, 'model', 'string'),
+    ('vehicle_data', 9, 'year', 'int'), ('vehicle_data', 10, 'fuelType', 'string'),
+    ('gps_data', 1, 'id', 'string'), ('gps_data', 2, 'vehicle_id', 'string'),
+    ('gps_data', 3, 'timestamp', 'timestamp'), ('gps_data', 4, 'speed', 'double'),
+    ('gps_data', 5, 'direction', 'string'), ('gps_data', 6, 'vehicleType', 'string'),
+    ('traffic_data', 1, 'id', 'string'), ('traffic_data', 2, 'vehicle_id', 'string'),
+    ('traffic_data', 3, 'camera_id', 'string'), ('traffic_data', 4, 'location', 'string'),
+    ('traffic_data', 5, 'timestamp', 'timestamp'), ('traffic_data', 6, 'snapshot', 'string'),
+    ('weather_data', 1, 'id', 'string'), ('weather_data', 2, 'vehicle_id', 'string'),
+    ('weather_data', 3, 'location', 'string'), ('weather_data', 4, 'timestamp', 'timestamp'),
+    ('weather_data', 5, 'temperature', 'double'), ('weather_data', 6, 'weatherCondition', 'string'),
+    ('weather_data', 7, 'precipitation', 'double'), ('weather_data', 8, 'windSpeed', 'double'),
+    ('weather_data', 9, 'humidity', 'int'), ('weather_data', 10, 'airQualityIndex', 'double'),
+    ('emergency_data', 1, 'id', 'string'), ('emergency_data', 2, 'vehicle_id', 'string'),
+    ('emergency_data', 3, 'incidentId', 'string'), ('emergency_data', 4, 'type', 'string'),
+    ('emergency_data', 5, 'timestamp', 'timestamp'), ('emergency_data', 6, 'location', 'string'),
+    ('emergency_data', 7, 'status', 'string'), ('emergency_data', 8, 'description', 'string')
 """
 
+# Columns of each topic's rows; "place" stands for the location's text and its two numbers.
+_PLACE = "'[' || CAST(lat AS VARCHAR) || ',' || CAST(lon AS VARCHAR) || ']' AS location, lat, lon"
+_ROWS = {
+    VEHICLE: f'id, vehicle_id, timestamp, {_PLACE}, speed, direction, make, model, year, "fuelType"',
+    GPS: 'id, vehicle_id, timestamp, speed, direction, "vehicleType"',
+    TRAFFIC: f"id, vehicle_id, camera_id, {_PLACE}, timestamp, snapshot",
+    WEATHER: (
+        f'id, vehicle_id, {_PLACE}, timestamp, temperature, "weatherCondition", precipitation, '
+        '"windSpeed", humidity, "airQualityIndex"'
+    ),
+    EMERGENCY: f'id, vehicle_id, "incidentId", type, timestamp, {_PLACE}, status, description',
+}
+
 
 def _topic_rows(topic: str) -> str:
-    columns = []
-    for name in get_schema(topic).fieldNames():
-        columns += ["lat", "lon"] if name == "location" else [f'"{name}"']
-    return f"SELECT {', '.join(columns)} FROM {topic}"
+    return f"SELECT {_ROWS[topic]} FROM {topic}"
 
 
 def _each_topic(select: str) -> str:
@@ -186,13 +166,8 @@ def _each_topic(select: str) -> str:
 
 
 def _columns(select: str) -> str:
-    rows = []
-    for topic in TOPICS:
-        for i, f in enumerate(get_schema(topic).fields, 1):
-            rows.append(
-                select.format(topic=topic, i=i, name=f.name, type=f.dataType.simpleString())
-            )
-    return " UNION ALL ".join(rows)
+    counts = _each_topic("SELECT '{topic}' AS topic, count(*) AS n FROM {topic}")
+    return f"{select} FROM (VALUES {_DECLARED}) d(topic, ordinal, name, type) JOIN ({counts}) c USING (topic)"
 
 
 def _share(topic: str, column: str) -> str:
@@ -225,8 +200,7 @@ _RANGES = (
 def all_oracles() -> dict[str, str]:
     on_topics = {
         "schema_catalog": _columns(
-            "SELECT '{topic}' AS topic, {i} AS ordinal, '{name}' AS column_name, "
-            "'{type}' AS data_type, count(*) AS n_values FROM {topic}"
+            "SELECT topic, ordinal, name AS column_name, type AS data_type, n AS n_values"
         ),
         **{f"decode_stream_{t}": _topic_rows(t) for t in TOPICS},
         "decode_edge_cases": _DAMAGED,
@@ -305,8 +279,7 @@ def all_oracles() -> dict[str, str]:
             "WHERE \"fuelType\" = 'Electric' ORDER BY speed DESC, id LIMIT 20"
         ),
         "catalog_columns": _columns(
-            "SELECT '{topic}' AS table_name, '{name}' AS column_name, '{type}' AS data_type, "
-            "count(*) AS n_rows FROM {topic}"
+            "SELECT topic AS table_name, name AS column_name, type AS data_type, n AS n_rows"
         ),
         "sql_adhoc": (
             "SELECT make, year, count(*) AS n_rows, "
@@ -315,7 +288,12 @@ def all_oracles() -> dict[str, str]:
         ),
         "parse_position": f"SELECT id, camera_id, lat, lon FROM {TRAFFIC}",
         "quarantine": _QUARANTINE,
-        "dedup_by_id": _topic_rows(GPS),
+        "dedup_by_id": (
+            f"SELECT * FROM ({_topic_rows(GPS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 17 <> 0 "
+            f"UNION ALL SELECT NULL AS id, g.* EXCLUDE (id, copy) FROM "
+            f"(SELECT *, unnest(range(CASE WHEN CAST(substr(id, 2) AS BIGINT) % 10 = 0 THEN 12 ELSE 2 END)) "
+            f"AS copy FROM ({_topic_rows(GPS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 17 = 0) g"
+        ),
         "late_rows": _LATE,
         "range_violations": " UNION ALL ".join(_outside(*r) for r in _RANGES),
         "gps_position_stream": (
@@ -324,6 +302,4 @@ def all_oracles() -> dict[str, str]:
             "ON g.vehicle_id = v.vehicle_id AND g.timestamp = v.timestamp"
         ),
     }
-    result = {name: _TOPICS + text for name, text in on_topics.items()}
-    result["synth_journeys"] = _synth()
-    return result
+    return {name: _TOPICS + text for name, text in on_topics.items()}

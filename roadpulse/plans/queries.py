@@ -11,7 +11,6 @@ from roadpulse.functions.position import with_position
 from roadpulse.operators import fleet, places, quality
 from roadpulse.operators.decode import decode, decode_checked
 from roadpulse.operators.encode import encode, envelopes, records
-from roadpulse.operators.journeys import synthesize_journeys
 from roadpulse.operators.series import (
     emergency_measures,
     series,
@@ -29,9 +28,7 @@ from roadpulse.plans.landing import (
 from roadpulse.plans.steps import (
     damaged,
     messages,
-    read_events,
     read_steps,
-    state_partitions,
     stream_steps,
 )
 from roadpulse.schemas import (
@@ -49,14 +46,12 @@ from roadpulse.session import materialize, pin_utc, scratch_path
 from roadpulse.sources.files import read_log_topic, write_log
 from roadpulse.sources.landed import read_landed, register_tables, sql
 from roadpulse.streaming.ingest import ingest, run, start_all, supervise
-from roadpulse.streaming.live import gps_position_stream, quarantine, series_stream
+from roadpulse.streaming.live import gps_position_stream, quarantine
 from roadpulse.streaming.sinks import parquet_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6
-SYNTH_STEPS = 120
-SYNTH_SEED = 7
 
 ADHOC_SQL = """
 SELECT make, year, count(*) AS n_rows, count_if(fuelType = :fuel) AS n_fuel,
@@ -83,9 +78,9 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _comparable(df: DataFrame, topic: str) -> DataFrame:
-    """A topic's rows with the location as two numbers; its text is not a portable form."""
+    """A topic's rows with the location as its raw text and as two numbers."""
     if has_position(topic):
-        df = with_position(df).drop("location")
+        df = with_position(df)
     return _plain(df)
 
 
@@ -170,12 +165,12 @@ def land_all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicle messages damaged in twenty ways, decoded."""
+    """GPS messages damaged in all ways, decoded and checked."""
     pin_utc(spark)
     rows = damaged(read_steps(spark, sf_dir), "event_id")
-    checked = decode_checked(rows, VEHICLE, "event_id", "damage")
+    checked = decode_checked(rows, GPS, "event_id", "damage")
     return _plain(
-        checked.select("event_id", "damage", "id", "timestamp", "location", "speed", "year")
+        checked.select("event_id", "damage", "id", "vehicle_id", "timestamp", "speed", "problem")
     )
 
 
@@ -212,9 +207,8 @@ def series_emergency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed hours only."""
     pin_utc(spark)
     options = fresh_options(spark, "series")
-    rows = ingest(event_source(spark, sf_dir)(EMERGENCY), EMERGENCY, options)
-    with state_partitions(spark, sf_dir):
-        return _plain(_written(series_stream(rows, emergency_measures()), "series"))
+    rows = ingest(event_source(spark, sf_dir)(EMERGENCY), EMERGENCY, options, ("timestamp", "type"))
+    return _plain(_written(series(rows, emergency_measures()), "series"))
 
 
 # Producer operations
@@ -266,34 +260,6 @@ def trim_at_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(kept.select("id", "vehicle_id", "timestamp"))
 
 
-def synth_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A journey for every user of `events`."""
-    pin_utc(spark)
-    vehicles = (
-        read_events(spark, sf_dir)
-        .select(F.concat(F.lit("V-"), F.col("user_id").cast("string")).alias("vehicle_id"))
-        .distinct()
-    )
-    journeys = synthesize_journeys(vehicles, SYNTH_STEPS, SYNTH_SEED)
-    return _plain(
-        journeys.select(
-            "vehicle_id",
-            "step",
-            "timestamp",
-            "lat",
-            "lon",
-            F.col("vehicle_data.id").alias("id"),
-            F.col("vehicle_data.speed").alias("speed"),
-            F.col("gps_data.speed").alias("gps_speed"),
-            F.col("weather_data.temperature").alias("temperature"),
-            F.col("weather_data.weatherCondition").alias("weather_condition"),
-            F.col("weather_data.humidity").alias("humidity"),
-            F.col("emergency_data.type").alias("incident_type"),
-            F.col("emergency_data.status").alias("incident_status"),
-        )
-    )
-
-
 # Analytics
 
 
@@ -387,19 +353,20 @@ def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the damaged messages leave in the side table."""
     pin_utc(spark)
     rows = damaged(stream_steps(spark, sf_dir), "event_id")
-    _, unsound = quarantine(rows, VEHICLE, "event_id")
+    _, unsound = quarantine(rows, GPS, "event_id")
     return _written(unsound, "quarantine").select("event_id", "value", "problem")
 
 
 def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream in which every message comes twice, and every tenth a dozen times."""
+    """A stream in which every message comes twice, and every tenth a dozen times; every
+    seventeenth has no id, and its copies stay."""
     pin_utc(spark)
     copies = F.when(F.col("event_id") % 10 == 0, F.lit(12)).otherwise(F.lit(2))
-    rows = stream_steps(spark, sf_dir)
+    name = F.when(F.col("event_id") % 17 != 0, F.col(f"{GPS}.id"))
+    rows = stream_steps(spark, sf_dir).withColumn(GPS, F.col(GPS).withField("id", name))
     repeated = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     decoded = decode(messages(repeated, GPS), GPS)
-    with state_partitions(spark, sf_dir):
-        return _plain(_written(quality.drop_repeats_stream(decoded), "dedup"))
+    return _plain(_written(quality.drop_repeats_stream(decoded), "dedup"))
 
 
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,12 +386,11 @@ def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GPS rows with their position, from two streams joined live."""
     pin_utc(spark)
     source = event_source(spark, sf_dir)
-    places_only = (*STEP_KEY, "location")
+    places_only = ("id", *STEP_KEY, "location")
     joined = gps_position_stream(
         decode(source(GPS), GPS), decode(source(VEHICLE), VEHICLE, columns=places_only)
     )
-    with state_partitions(spark, sf_dir):
-        rows = with_position(_written(joined, "position"))
+    rows = with_position(_written(joined, "position"))
     return _plain(rows.select("id", "vehicle_id", "timestamp", "speed", "lat", "lon"))
 
 
@@ -443,7 +409,6 @@ def all_queries() -> dict[str, Query]:
         "envelope": envelope,
         "first_arrival": first_arrival,
         "trim_at_arrival": trim_at_arrival,
-        "synth_journeys": synth_journeys,
         "entries_per_table": entries_per_table,
         "avg_speed": avg_speed,
         "avg_speed_by_vehicle": avg_speed_by_vehicle,

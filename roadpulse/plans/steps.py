@@ -6,15 +6,14 @@ run to 120, past the arrival at 100, so that some rows lie beyond it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.operators.encode import json_of, record_columns
 from roadpulse.schemas import EMERGENCY, GPS, TRAFFIC, VEHICLE, WEATHER
-from roadpulse.sources.files import stream_table, table_bytes
+from roadpulse.sources.files import stream_table
 
 # The rule that derives records from events, shared with the SQL oracles.
 STEPS = 121
@@ -25,12 +24,8 @@ PARTITIONS = 4
 _REVERSED = 8
 
 
-# A table below this size per core is read in fewer tasks than there are cores.
-_BYTES_PER_CORE = 4 * 1024 * 1024
-
-
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_path(sf_dir))
+    return spark.read.parquet(events_path(sf_dir))
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,46 +33,17 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return steps(_spread(read_events(spark, sf_dir), sf_dir))
+    return steps(read_events(spark, sf_dir))
 
 
 def stream_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return steps(_spread(stream_events(spark, sf_dir), sf_dir))
+    return steps(stream_events(spark, sf_dir))
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, sf_dir: str) -> Iterator[None]:
-    """Within, a stream starts with no more state partitions than the table needs.
-
-    Each one has files of its own to commit in every micro-batch. The session's setting is the
-    upper bound, and applies as it is to any large table.
-    """
-    name = "spark.sql.shuffle.partitions"
-    own = spark.conf.get(name)
-    size = table_bytes(spark, _path(sf_dir))
-    enough = max(spark.sparkContext.defaultParallelism, size // _BYTES_PER_CORE)
-    spark.conf.set(name, str(min(int(own), enough)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, own)
-
-
-def _path(sf_dir: str) -> str:
+def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
-def _spread(events: DataFrame, sf_dir: str) -> DataFrame:
-    """Deal a table too small to be split over all cores, as encoding is dear next to reading.
-
-    Larger tables come in enough splits, and stay as they are read.
-    """
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    if table_bytes(events.sparkSession, _path(sf_dir)) >= cores * _BYTES_PER_CORE:
-        return events
-    return events.repartition(cores)
-
-
 def _id(prefix: str) -> Column:
     return F.concat(F.lit(prefix), F.col("event_id").cast("string"))
 
@@ -161,14 +127,49 @@ def messages(steps: DataFrame, topic: str, *keep: str) -> DataFrame:
     )
 
 
+def _with(pattern: str, replacement: str) -> Callable[[Column, Column], Column]:
+    return lambda text, _: F.regexp_replace(text, pattern, replacement)
+
+
+def _text(value: str | None) -> Callable[[Column, Column], Column]:
+    return lambda *_: F.lit(value).cast("string")
+
+
+# Ways a message can differ from its schema: from its whole text and its record's id.
+DAMAGE: tuple[tuple[str, Callable[[Column, Column], Column]], ...] = (
+    ("complete", lambda text, _: text),
+    ("missing field", _with('"speed":[^,]*,', "")),
+    ("unknown field", _with(r"^\{", '{"zzz":1,')),
+    ("text for number", _with('"speed":([^,]*),', '"speed":"$1",')),
+    ("number for text", _with('"id":"[^"]*"', '"id":7')),
+    ("not a number", _with('"speed":[^,]*,', '"speed":NaN,')),
+    ("bad timestamp", _with('"timestamp":"[^"]*"', '"timestamp":"yesterday"')),
+    ("epoch number", _with('"timestamp":"[^"]*"', '"timestamp":1704067200')),
+    ("zoned timestamp", _with('"timestamp":"([^"]*)"', '"timestamp":"$1+02:00"')),
+    ("wrong case", _with('"id":', '"ID":')),
+    ("repeated key", _with(r"^\{", '{"id":"first",')),
+    ("object for text", _with('"id":"[^"]*"', '"id":{"a": 1}')),
+    ("cut short", lambda text, _: F.substring(text, 1, 40)),
+    ("not JSON", lambda _, name: F.concat(F.lit("hello "), name)),
+    ("JSON null", _text("null")),
+    ("top-level array", lambda text, _: F.concat(F.lit("["), text, F.lit("]"))),
+    ("empty text", _text("")),
+    ("tombstone", _text(None)),
+    ("white space", _text("\n\t ")),
+    ("no fields", _text("{}")),
+    ("null id", _with('"id":"[^"]*"', '"id":null')),
+    ("trailing text", lambda text, _: F.concat(text, F.lit(" trailing"))),
+    ("two records", lambda text, _: F.concat(text, text)),
+)
+
+
 def damaged(steps: DataFrame, *keep: str) -> DataFrame:
-    """Vehicle messages, each damaged in the way its event number picks (`DAMAGE`)."""
+    """GPS messages, each damaged in the way its event number picks (`DAMAGE`)."""
     case = F.col("event_id") % len(DAMAGE)
+    whole, name = json_of(*record_columns(GPS)), F.col(f"{GPS}.id")
     text = F.lit(None).cast("string")
-    for number, (_, template) in enumerate(DAMAGE):
-        if template is not None:
-            whole = F.replace(F.lit(template), F.lit("#"), _id("v"))
-            text = F.when(case == number, whole).otherwise(text)
+    for number, (_, harm) in enumerate(DAMAGE):
+        text = F.when(case == number, harm(whole, name)).otherwise(text)
     return steps.select(
         *keep,
         case.cast("int").alias("damage"),
@@ -176,30 +177,3 @@ def damaged(steps: DataFrame, *keep: str) -> DataFrame:
         "partition",
         "offset",
     )
-
-
-# Ways a message can differ from its schema; "#" stands for the record's id.
-DAMAGE = (
-    ("complete", '{"id": "#", "timestamp": "2024-01-01T00:00:30.123456", "location": [51.5, -0.12], '
-     '"speed": 12.5, "year": 2024}'),
-    ("whole second, int for double", '{"id":"#","timestamp":"2024-01-01T00:00:30","location":"x",'
-     '"speed":12,"year":2024}'),
-    ("missing fields", '{"id":"#"}'),
-    ("unknown field", '{"id":"#","zzz":1}'),
-    ("fraction for int", '{"id":"#","year":2024.5,"speed":3.0}'),
-    ("text for double", '{"id":"#","speed":"12.5","year":1}'),
-    ("number for string", '{"id":7}'),
-    ("not a number", '{"id":"#","speed":NaN}'),
-    ("bad timestamp", '{"id":"#","timestamp":"yesterday","speed":1.0}'),
-    ("epoch number", '{"id":"#","timestamp":1704067200}'),
-    ("zoned timestamp", '{"id":"#","timestamp":"2024-01-01T00:00:30+02:00"}'),
-    ("wrong case", '{"ID":"#"}'),
-    ("repeated key", '{"id":"first","id":"#"}'),
-    ("object for string", '{"id":{"a": 1}}'),
-    ("cut short", '{"id":"#","speed":1.0,'),
-    ("not JSON", "hello #"),
-    ("JSON null", "null"),
-    ("top-level array", '[{"id":"#"},{"id":"l"}]'),
-    ("empty text", ""),
-    ("tombstone", None),
-)

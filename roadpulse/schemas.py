@@ -24,48 +24,68 @@ EVENT_TIME = "timestamp"
 DATE_COLUMN = "event_date"
 STEP_KEY = ("vehicle_id", "timestamp")
 
+_STRING, _TIME, _DOUBLE, _INT = StringType(), TimestampType(), DoubleType(), IntegerType()
+
 # Field names, order and types of each record kind.
 _FIELDS = {
-    VEHICLE: (
-        "id string, vehicle_id string, timestamp timestamp, location string, speed double, "
-        "direction string, make string, model string, year int, fuelType string"
-    ),
-    GPS: (
-        "id string, vehicle_id string, timestamp timestamp, speed double, direction string, "
-        "vehicleType string"
-    ),
-    TRAFFIC: (
-        "id string, vehicle_id string, camera_id string, location string, timestamp timestamp, "
-        "snapshot string"
-    ),
-    WEATHER: (
-        "id string, vehicle_id string, location string, timestamp timestamp, temperature double, "
-        "weatherCondition string, precipitation double, windSpeed double, humidity int, "
-        "airQualityIndex double"
-    ),
-    EMERGENCY: (
-        "id string, vehicle_id string, incidentId string, type string, timestamp timestamp, "
-        "location string, status string, description string"
-    ),
-}
-
-_TYPES = {
-    "string": StringType(),
-    "timestamp": TimestampType(),
-    "double": DoubleType(),
-    "int": IntegerType(),
+    VEHICLE: [
+        ("id", _STRING),
+        ("vehicle_id", _STRING),
+        ("timestamp", _TIME),
+        ("location", _STRING),
+        ("speed", _DOUBLE),
+        ("direction", _STRING),
+        ("make", _STRING),
+        ("model", _STRING),
+        ("year", _INT),
+        ("fuelType", _STRING),
+    ],
+    GPS: [
+        ("id", _STRING),
+        ("vehicle_id", _STRING),
+        ("timestamp", _TIME),
+        ("speed", _DOUBLE),
+        ("direction", _STRING),
+        ("vehicleType", _STRING),
+    ],
+    TRAFFIC: [
+        ("id", _STRING),
+        ("vehicle_id", _STRING),
+        ("camera_id", _STRING),
+        ("location", _STRING),
+        ("timestamp", _TIME),
+        ("snapshot", _STRING),
+    ],
+    WEATHER: [
+        ("id", _STRING),
+        ("vehicle_id", _STRING),
+        ("location", _STRING),
+        ("timestamp", _TIME),
+        ("temperature", _DOUBLE),
+        ("weatherCondition", _STRING),
+        ("precipitation", _DOUBLE),
+        ("windSpeed", _DOUBLE),
+        ("humidity", _INT),
+        ("airQualityIndex", _DOUBLE),
+    ],
+    EMERGENCY: [
+        ("id", _STRING),
+        ("vehicle_id", _STRING),
+        ("incidentId", _STRING),
+        ("type", _STRING),
+        ("timestamp", _TIME),
+        ("location", _STRING),
+        ("status", _STRING),
+        ("description", _STRING),
+    ],
 }
 
 
 def get_schema(topic: str) -> StructType:
-    """Declared schema of a topic; an unknown topic is an error, found before any query starts.
-
-    Needs no session, as parsing the text with Spark would.
-    """
+    """Declared schema of a topic; an unknown topic is an error, found before any query starts."""
     if topic not in _FIELDS:
-        raise ValueError(f"No schema defined for topic: {topic}")
-    pairs = (field.split(" ") for field in _FIELDS[topic].split(", "))
-    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+        raise ValueError(f"{topic!r} is not one of the record kinds {', '.join(_FIELDS)}")
+    return StructType([StructField(name, kind) for name, kind in _FIELDS[topic]])
 
 
 def has_position(topic: str) -> bool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -57,17 +59,20 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The folder shared by driver and executors that the cluster names in spark.checkpoint.dir.
 
-    Only a local-mode session may go without the setting.
+    Only a local-mode session may go without the setting, or name a folder of one machine; its own
+    folder is removed when the process ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    local = context.master.startswith("local")
+    if shared and (local or not shared.startswith("file:")):
+        return shared.rstrip("/")
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     app = context.applicationId
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="roadpulse-")
+        atexit.register(shutil.rmtree, _local_scratch[app], ignore_errors=True)
     return _local_scratch[app]
 
 

@@ -41,6 +41,18 @@ def _at(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def same_place(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether two paths name the same folder, with or without a scheme."""
+    full = [str(files.makeQualified(target)) for files, target in (_at(spark, one), _at(spark, other))]
+    return full[0].rstrip("/") == full[1].rstrip("/")
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed."""
+    files, target = _at(spark, path)
+    return files.getFileStatus(target).getModificationTime()
+
+
 def table_bytes(spark: SparkSession, path: str) -> int:
     """Size of a file, or of all files under a folder."""
     files, target = _at(spark, path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.options import Options
 from roadpulse.schemas import DATE_COLUMN, EVENT_TIME, TOPICS, get_schema
-from roadpulse.sources.files import table_bytes
+from roadpulse.sources.files import same_place, table_bytes
 
 
 def read_landed(spark: SparkSession, options: Options, topic: str) -> DataFrame:
@@ -40,6 +40,11 @@ def _discovered(spark: SparkSession, options: Options, topic: str) -> DataFrame:
         return read_landed(spark, options, topic)
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
 def register_tables(
     spark: SparkSession,
     options: Options,
@@ -48,7 +53,9 @@ def register_tables(
 ) -> list[str]:
     """Make each topic folder a table; columns and types come from the files.
 
-    Temporary views by default; external tables of the catalog where ``database`` is given.
+    Temporary views by default; external tables of the catalog where ``database`` is given. A call
+    also finds the dates that a table landed by date has got since. A table of that name over
+    another folder is an error.
     """
     names = []
     for topic in topics:
@@ -60,6 +67,11 @@ def register_tables(
             name = f"{database}.{topic}"
             if not spark.catalog.tableExists(name):
                 spark.catalog.createTable(name, path=path, source="parquet")
+            elif not same_place(spark, _location(spark, name), path):
+                raise ValueError(f"table {name} is over {_location(spark, name)}, not {path}")
+            if any(c.isPartition for c in spark.catalog.listColumns(name)):
+                spark.catalog.recoverPartitions(name)
+            spark.catalog.refreshTable(name)
             names.append(name)
     return names
 

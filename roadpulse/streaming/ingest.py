@@ -19,9 +19,11 @@ from roadpulse.streaming.sinks import land
 Source = Callable[[str], DataFrame]
 
 
-def ingest(messages: DataFrame, topic: str, options: Options) -> DataFrame:
-    """Messages to typed rows with an event time."""
-    return with_event_time(decode(messages, topic), options.watermark_delay)
+def ingest(
+    messages: DataFrame, topic: str, options: Options, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Messages to typed rows with an event time; ``columns`` decodes only these."""
+    return with_event_time(decode(messages, topic, columns), options.watermark_delay)
 
 
 def start_all(

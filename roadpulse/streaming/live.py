@@ -2,21 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.operators.decode import decode_checked
-from roadpulse.operators.quality import drop_repeats_stream
-from roadpulse.operators.series import WIDTH, series
-from roadpulse.schemas import STEP_KEY
-
-
-def series_stream(df: DataFrame, measures: Sequence[Column], width: str = WIDTH) -> DataFrame:
-    """`series` on a stream with a watermark. In append mode a bucket comes out once the watermark
-    has passed its end, so the last ones stay open."""
-    return series(df, measures, width)
+from roadpulse.schemas import EVENT_TIME, STEP_KEY
 
 
 def quarantine(messages: DataFrame, topic: str, *keep: str) -> tuple[DataFrame, DataFrame]:
@@ -27,20 +17,26 @@ def quarantine(messages: DataFrame, topic: str, *keep: str) -> tuple[DataFrame,
     return sound, unsound
 
 
+def _once(decoded: DataFrame, delay: str) -> DataFrame:
+    """Rows without repeats of an id; a row without one gets a name of its own and stays."""
+    named = decoded.withColumn("_name", F.coalesce("id", F.uuid()))
+    return named.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(["_name"]).drop("_name")
+
+
 def gps_position_stream(
     gps: DataFrame, vehicle: DataFrame, delay: str = "2 minutes", salts: int = 4
 ) -> DataFrame:
     """GPS rows with the location of their step, live.
 
-    Takes both streams before their watermark is declared. Repeats are dropped on both sides: a
-    gps record counts once, and a step has one position, so a row meets at most one other. The
-    rows of a much-used step are spread over ``salts`` tasks. As event time is part of the join
-    key, state is dropped when the watermark passes.
+    Takes both streams before their watermark is declared. Repeats are dropped on both sides by
+    id; where a step has several vehicle records, a gps row meets each of them, as in the batch
+    join of `places.gps_density`. The rows of a much-used step are spread over ``salts`` tasks. As
+    event time is part of the join key, state is dropped when the watermark passes.
     """
     salt = F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")
-    left = drop_repeats_stream(gps, ("id",), delay).withColumn("_salt", salt)
-    places = vehicle.where(F.col("location").isNotNull()).select(*STEP_KEY, "location")
-    right = drop_repeats_stream(places, STEP_KEY, delay).withColumn(
+    left = _once(gps, delay).withColumn("_salt", salt)
+    places = vehicle.where(F.col("location").isNotNull()).select("id", *STEP_KEY, "location")
+    right = _once(places, delay).drop("id").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return left.join(right, [*STEP_KEY, "_salt"], "inner").drop("_salt")

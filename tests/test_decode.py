@@ -33,7 +33,7 @@ CASES = [
     ("epoch", '{"id":"i","timestamp":1704067200}', "i", T(2024, 1, 1), None, None, None, None),
     ("zoned", '{"id":"m","timestamp":"2024-01-01T00:00:30+02:00"}',
      "m", T(2023, 12, 31, 22, 0, 30), None, None, None, None),
-    ("case", '{"ID":"n"}', None, None, None, None, None, None),
+    ("case", '{"ID":"n"}', None, None, None, None, None, "keyless"),
     ("repeated key", '{"id":"o","id":"p"}', "p", None, None, None, None, None),
     ("object", '{"id":{"a": 1}}', '{"a":1}', None, None, None, None, None),
     ("cut", '{"id":"j","speed":1.0,', None, None, None, None, None, "malformed"),
@@ -42,6 +42,13 @@ CASES = [
     ("array", '[{"id":"k"},{"id":"l"}]', None, None, None, None, None, "malformed"),
     ("empty", "", None, None, None, None, None, "empty"),
     ("tombstone", None, None, None, None, None, None, "empty"),
+    ("white space", "\n", None, None, None, None, None, "empty"),
+    ("tab", "\t", None, None, None, None, None, "empty"),
+    ("no fields", "{}", None, None, None, None, None, "keyless"),
+    ("null id", '{"id":null}', None, None, None, None, None, "keyless"),
+    ("trailing", '{"id":"q"} trailing', "q", None, None, None, None, "malformed"),
+    ("two records", '{"id":"r"}{"id":"s"}', "r", None, None, None, None, "malformed"),
+    ("two in a row", '{"id":"t"},{"id":"u"}', "t", None, None, None, None, "malformed"),
 ]
 WIDE = (
     "timestamp", "location", "speed", "year",
@@ -86,7 +93,7 @@ def test_errors_in_unused_fields_are_still_seen(spark):
     found = decode_checked(messages, "vehicle_data").where("problem is not null")
     assert found.count() == 1
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
+    assert plan.count("inline(array(from_json") == 1
 
 
 def test_origin_is_kept_on_request(spark):
@@ -169,6 +176,10 @@ def test_key_is_the_id_or_a_chosen_column(spark, sf_dir):
     row = encode(gps, "gps_data").first()
     assert row["key"].decode().startswith("g") and row["topic"] == "gps_data"
     assert encode(gps, "gps_data", key="vehicle_id").first()["key"].decode().startswith("V-")
+    all_five = envelopes(steps(read_events(spark, sf_dir)), key="vehicle_id")
+    assert all_five.where(~F.col("key").cast("string").startswith("V-")).isEmpty()
+    assert all_five.select("topic").distinct().count() == 5
+    assert not envelopes(steps(read_events(spark, sf_dir))).where(F.col("key").cast("string").startswith("V-")).count()
 
 
 texts = st.text(st.characters(codec="utf-8", exclude_characters="\x00"), max_size=12)

@@ -184,16 +184,16 @@ def test_trim_splits_the_task_of_a_busy_vehicle(spark, conf):
 def test_running_against_brute_force(spark, chunk):
     rng = random.Random(6)
     rows = []
-    for key, n in (("hot", 500), ("a", 3), ("b", 20)):
+    for key, n in (("hot", 500), ("a", 3), (None, 20)):
         for i in rng.sample(range(n * 2), n):
-            rows.append((key, i, rng.randrange(100), None if rng.random() < 0.2 else rng.randrange(100)))
+            rows.append((key, i, *(None if rng.random() < 0.2 else rng.randrange(100) for _ in range(2))))
     df = spark.createDataFrame(rows, "k string, i bigint, x bigint, y bigint")
     got = running(df, ["k"], "i", sums={"s": "x"}, maxima={"m": "y"}, chunk=chunk)
     want = []
-    for key in ("hot", "a", "b"):
-        total, top = 0, None
-        for row in sorted(r for r in rows if r[0] == key):
-            total += row[2]
+    for key in ("hot", "a", None):
+        total, top = None, None
+        for row in sorted((r for r in rows if r[0] == key), key=lambda r: r[1]):
+            total = row[2] if total is None else total + (row[2] or 0)
             top = row[3] if top is None else top if row[3] is None else max(top, row[3])
             want.append((*row, total, top))
     assert sorted(map(tuple, got.collect()), key=_key) == sorted(want, key=_key)
@@ -308,6 +308,30 @@ def test_external_tables(spark, landed):
         assert spark.table("fleet_test.gps_data").count() == 50
     finally:
         spark.sql("DROP DATABASE fleet_test CASCADE")
+
+
+def test_external_table_over_dates(spark, tmp_path):
+    """All dates are found, later ones too; another folder under the name is refused."""
+    options = Options(base_uri=str(tmp_path))
+    day = lambda n: spark.createDataFrame(
+        [(f"g{n}", dt.date(2024, 1, n))], "id string, event_date date"
+    )
+    folder = options.data_path("gps_data")
+    spark.sql("CREATE DATABASE IF NOT EXISTS dated_test")
+    try:
+        day(1).union(day(2)).write.partitionBy("event_date").parquet(folder)
+        register_tables(spark, options, ["gps_data"], database="dated_test")
+        assert spark.table("dated_test.gps_data").count() == 2
+        day(3).write.mode("append").partitionBy("event_date").parquet(folder)
+        register_tables(spark, options, ["gps_data"], database="dated_test")
+        assert spark.table("dated_test.gps_data").count() == 3
+        with pytest.raises(ValueError, match="gps_data"):
+            register_tables(spark, Options(base_uri=str(tmp_path / "x")), ["gps_data"], database="dated_test")
+    finally:
+        spark.sql("DROP DATABASE dated_test CASCADE")
+
+
+def test_landed_tables_stay(spark, landed):
     assert read_landed(spark, landed, "gps_data").count() == 50
 
 

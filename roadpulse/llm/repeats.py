@@ -38,8 +38,8 @@ SIZE = 400
 GRAM = 64
 #: Windows of a long text are found in parts of so many bytes.
 PART = 4_000_000
-CROWD = 20_000
-SHARD_BYTES = 8_000_000
+CROWD = 8_000
+SHARD_BYTES = 2_000_000
 BLOCK = 8
 DIGITS = 4
 MARK = 257

@@ -93,6 +93,21 @@ def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         start = stop
 
 
+def without_marks(data: np.ndarray) -> np.ndarray:
+    """With spaces for the marks and signs that stand next to letters: quotes, dashes and the like
+    (U+0080 to U+00BF, U+2000 to U+207F)."""
+    out = data
+    low = np.flatnonzero(data[:-1] == 0xC2) if len(data) else np.zeros(0, np.int64)
+    high = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] <= 0x81)) if len(data) > 2 else low[:0]
+    if len(low) or len(high):
+        out = data.copy()
+        for k in range(2):
+            out[low + k] = 0x20
+        for k in range(3):
+            out[high + k] = 0x20
+    return out
+
+
 @dataclass
 class Words:
     """Runs of bytes other than ASCII white space, in order."""

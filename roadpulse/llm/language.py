@@ -187,7 +187,7 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 def units(texts: hashing.Texts) -> tuple[np.ndarray, hashing.Words, np.ndarray]:
     """(data, words, whether each begins a run of letters)."""
-    data = lowered(texts.data) if len(texts.data) else texts.data
+    data = hashing.without_marks(lowered(texts.data)) if len(texts.data) else texts.data
     found = hashing.words(hashing.Texts(data, texts.offsets), lower=False, inside=_INSIDE)
     parts = -(-(found.end - found.start) // LONGEST)
     if not len(parts) or parts.max() == 1:

@@ -75,7 +75,7 @@ class Head:
         return np.where(hit, self.count[at], -1), np.where(hit, self.cls[at], OTHER)
 
 
-def head_of(vocabulary: DataFrame, most: int = HEAD) -> Head:
+def head_of(vocabulary: DataFrame, most: int) -> Head:
     """The words of the highest counts, whole levels of count at a time, at most ``most`` in all."""
     level = F.floor(F.log2(F.col("times").cast("double")) * 16)
     levels = {r["level"]: r["n"] for r in vocabulary.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
@@ -143,9 +143,9 @@ class Model:
         return scores - np.log(np.exp(scores).sum(1, keepdims=True))
 
 
-def train(pairs: np.ndarray, steps: int = STEPS) -> Model:
+def train(pairs: np.ndarray, steps: int | None = None) -> Model:
     """Fit on pairs[context, class], counts of the whole corpus, by Adam on the full NCE objective."""
-    size = len(pairs)
+    size, steps = len(pairs), steps or STEPS
     total = max(pairs.sum(), 1)
     noise = (pairs.sum(0) + 0.01) / (pairs.sum() + 0.01 * size)
     noise[BEGIN] = 1e-9  # never a target
@@ -253,7 +253,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         "lm-vocabulary",
     )
     sums = vocabulary.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = head_of(vocabulary)
+    head = head_of(vocabulary, HEAD)
     counted = (
         training.mapInArrow(_pairs(head), "pair long, times long")
         .groupBy("pair")

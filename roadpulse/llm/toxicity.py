@@ -34,7 +34,7 @@ TOXIC, CLEAN = 6_000, 18_000
 ENTRIES = 300
 LIMIT = 0.7
 NOTHING = 0.02
-LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\xBF\u2000-\u207F]+"
 #: Terms of at least so many letters may have one edit.
 EDIT_FROM = 5
 STEMS = (4, 5, 6)
@@ -79,8 +79,9 @@ class Model:
 
 def occurrences(texts: hashing.Texts, automaton: Automaton) -> tuple[np.ndarray, ...]:
     """(text, entry, edited, features) of every occurrence."""
-    found = hashing.words(texts, inside=_INSIDE)
-    word, entry, edits = automaton.find(hashing.LOWER[texts.data], found)
+    plain = hashing.Texts(hashing.without_marks(texts.data), texts.offsets)
+    found = hashing.words(plain, inside=_INSIDE)
+    word, entry, edits = automaton.find(hashing.LOWER[plain.data], found)
     rows = []
     for w in word:
         t = found.text[w]

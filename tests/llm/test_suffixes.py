@@ -1,0 +1,88 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from roadpulse.llm import hashing, repeats, suffixes
+
+
+def _common(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("budget", [0, 10**8])
+def test_order_and_common_prefixes_against_sorting(tmp_path, monkeypatch, budget):
+    """Also with every queue on disk and scans of a few tuples."""
+    rng = random.Random(3)
+    for trial in range(60):
+        monkeypatch.setattr(suffixes, "WAVE", rng.choice([2, 7, 1 << 18]))
+        letters = rng.choice([b"ab", b"abc", bytes(range(256)), b"a"])
+        strings = [bytes(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(1, 6))]
+        strings.append(strings[0] + bytes(rng.choice(letters) for _ in range(3)))
+        folder = tmp_path / f"{budget}-{trial}"
+        folder.mkdir()
+        found = suffixes.Suffixes(suffixes.closed(strings), str(folder), budget)
+        got = [(int(p), int(c)) for places, common in found.in_order() for p, c in zip(places, common)]
+        starts = np.cumsum([0] + [len(s) + 1 for s in strings])
+        want = sorted((s[i:], k, i) for k, s in enumerate(strings) for i in range(len(s)))
+        assert [p for p, _ in got] == [int(starts[k] + i) for _, k, i in want]
+        assert [c for _, c in got] == [0] + [_common(a[0], b[0]) for a, b in zip(want, want[1:])]
+
+
+def test_repeated_windows_against_counting():
+    rng = random.Random(4)
+    for _ in range(60):
+        size, gram = rng.choice([12, 20]), 4
+        pool = ["".join(rng.choice("abcd") for _ in range(rng.randint(15, 60))) for _ in range(4)]
+        docs = [
+            "".join(rng.choice(pool) if rng.random() < 0.6 else rng.choice("abcdefg") for _ in range(rng.randint(0, 8)))
+            for _ in range(rng.randint(1, 8))
+        ]
+        counts = Counter(d[i : i + size] for d in docs for i in range(len(d) - size + 1))
+        want = {(k, i) for k, d in enumerate(docs) for i in range(len(d) - size + 1) if counts[d[i : i + size]] > 1}
+        text, low, many, ahead, _, _ = repeats.segments(hashing.as_texts(pa.array(docs)), size, gram)
+        assert many.sum() == sum(counts.values())
+        parts = [docs[t][a : a + m + size - 1].encode() for t, a, m in zip(text, low, many)]
+        got = set()
+        if parts:
+            part, window = repeats.repeated_windows(parts, ahead, size, gram, rng.choice([2, 4, 8]))
+            got = {(int(text[a]), int(low[a] + b)) for a, b in zip(part, window)}
+        assert got == want
+
+
+def test_crowded_anchors_are_counted_to_the_same_result(spark):
+    rng = random.Random(5)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(90))
+    rows = [(n, "".join(rng.choice("xyz") for _ in range(n % 7 + 30)) + shared[n % 3 :] + "q" * (n % 2)) for n in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def covered(crowd):
+        found = {}
+        for r in repeats.spans(df, 70, crowd).collect():
+            found.setdefault(r["doc"], set()).update(range(r["a"], r["b"]))
+        return found
+
+    counts = Counter(t[i : i + 70] for _, t in rows for i in range(len(t) - 69))
+    want = {}
+    for n, t in rows:
+        for i in range(len(t) - 69):
+            if counts[t[i : i + 70]] > 1:
+                want.setdefault(n, set()).update(range(i, i + 70))
+    assert covered(1) == covered(1000) == want
+
+
+def test_long_texts_in_parts(monkeypatch):
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcd") for _ in range(500))
+    whole = hashing.as_texts(pa.array([text]))
+    monkeypatch.setattr(repeats, "PART", 100)
+    seen = []
+    for part, base in repeats._parts(whole, 20):
+        _, low, many, *_ = repeats.segments(part, 20, 4)
+        seen += [base + a + k for a, m in zip(low, many) for k in range(m)]
+    assert sorted(seen) == list(range(481))

@@ -34,10 +34,10 @@ SEEDS = 5
 #: Edits allowed, in percent of an item's length.
 EDITS = 10
 SHORTEST = 24
-SAMPLED = 3
+SAMPLED = 2
 RECALL = 0.98
 #: Chance, at the allowed edits, that a sampled step of two walks agrees; taken low, measured in the tests.
-AGREE = 0.55
+AGREE = 0.45
 REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLED))
 #: Items are handed out in blocks of about so many bytes.
 BLOCK_BYTES = 4_000_000

@@ -373,16 +373,16 @@ def repeats(documents: DataFrame, size: int = SIZE) -> DataFrame:
 def without_repeats(documents: DataFrame, size: int = SIZE) -> DataFrame:
     """The documents with repeated bytes cut from ``text`` (a character cut in two goes whole) and
     ``n_chars``, where there is one, counted anew. No row goes."""
-    cut = cut_texts(documents, size, keep_rest=True).dropDuplicates(["doc", "key"]).select(
-        F.col("doc").alias("_doc"), F.col("key").alias("_key"), F.col("rest").alias("_rest")
-    )
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
-    joined = documents.join(cut, (doc == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left")
-    # Damaged characters decode to U+FFFD; a text of its own may hold one, so only cut texts lose them.
-    mended = F.replace(F.decode(F.col("_rest"), "UTF-8"), F.lit("�"), F.lit(""))
-    changed = {"text": F.when(F.col("_rest").isNull(), F.col("text")).otherwise(mended)}
-    if "n_chars" in documents.columns:
-        changed["n_chars"] = F.when(F.col("_rest").isNull(), F.col("n_chars")).otherwise(
-            F.length(mended).cast("long")
-        )
-    return joined.withColumns(changed).select(*[F.col(f"`{c}`") for c in documents.columns])
+    cut = cut_texts(documents, size, keep_rest=True).dropDuplicates(["doc", "key"])
+    doc = F.coalesce(documents["doc_id"].cast("long"), F.lit(_NO_ID))
+    same = (doc == cut["doc"]) & (F.xxhash64(documents["text"]) == cut["key"])
+    # What is left of a cut character turns into U+FFFD.
+    left = F.replace(F.make_valid_utf8(cut["rest"].cast("string")), F.lit("\ufffd"), F.lit(""))
+    changed = {"text": left, "n_chars": F.length(left).cast("long")}
+    columns = []
+    for name in documents.columns:
+        own = documents[f"`{name}`"]
+        if name in changed:
+            own = F.when(cut["rest"].isNull(), own).otherwise(changed[name]).alias(name)
+        columns.append(own)
+    return documents.join(cut, same, "left").select(*columns)

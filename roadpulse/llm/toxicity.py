@@ -2,7 +2,7 @@
 
 The lexicon is learned from a bounded sample of labelled documents: words, and beginnings of words that
 many words share, that occur in toxic ones and hardly ever in others, beyond what chance allows over
-all terms tried. Levenshtein automata over a trie of the lexicon find its terms in every word of every text,
+all terms tried. Copies are no evidence: a term must occur between as many different neighbours. Levenshtein automata over a trie of the lexicon find its terms in every word of every text,
 with one edit where a term is long enough. Each occurrence gets a probability: how often occurrences of that
 entry, spelt so, stood in toxic sample documents, moved by its context window (inside quotation marks,
 after a verb of saying, words around it). A document has the probability of its worst occurrence.
@@ -32,6 +32,8 @@ FOLDS, HELD = 3, 1
 #: Bounds of the training sample, in documents, and of the lexicon, in entries.
 TOXIC, CLEAN = 6_000, 18_000
 ENTRIES = 300
+#: So large a share of an entry's occurrences must stand between different words.
+VARIED = 0.2
 LIMIT = 0.7
 NOTHING = 0.02
 LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\xBF\u2000-\u207F]+"
@@ -77,11 +79,16 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: _PRIOR.copy())
 
 
-def occurrences(texts: hashing.Texts, automaton: Automaton) -> tuple[np.ndarray, ...]:
-    """(text, entry, edited, features) of every occurrence."""
+def _hits(texts: hashing.Texts, automaton: Automaton) -> tuple[hashing.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts; (word, entry, edits) of every occurrence."""
     plain = hashing.Texts(hashing.without_marks(texts.data), texts.offsets)
     found = hashing.words(plain, inside=_INSIDE)
-    word, entry, edits = automaton.find(hashing.LOWER[plain.data], found)
+    return found, *automaton.find(hashing.LOWER[plain.data], found)
+
+
+def occurrences(texts: hashing.Texts, automaton: Automaton) -> tuple[np.ndarray, ...]:
+    """(text, entry, edited, features) of every occurrence."""
+    found, word, entry, edits = _hits(texts, automaton)
     rows = []
     for w in word:
         t = found.text[w]
@@ -104,12 +111,17 @@ def score(texts: hashing.Texts, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return out, n
 
 
+def needed(toxic: int, clean: int, tried: int) -> float:
+    """How often a term must occur, only in toxic documents, for this to be no chance among all tried: seen a
+    times, it has probability share ** a."""
+    return math.log(max(tried, 2) / 0.05) / math.log((toxic + clean) / toxic)
+
+
 def choose(terms: list[tuple[str, bool, int, int, int]], toxic: int, clean: int, tried: int) -> list[Entry]:
     """Entries among (term, stem, in toxic, in clean, most in toxic of one word)."""
     if not toxic or not clean:
         return []
-    # By chance a term seen a times, only in toxic documents, has probability share ** a.
-    least = math.log(max(tried, 2) / 0.05) / math.log((toxic + clean) / toxic)
+    least = needed(toxic, clean, tried)
     chosen: list[Entry] = []
     for term, stem, a, b, top in sorted(terms, key=lambda t: (-t[2], t[1], -len(t[0]), t[0])):
         if a < least or b > 0.02 * a or (stem and a < 2 * top):
@@ -120,6 +132,25 @@ def choose(terms: list[tuple[str, bool, int, int, int]], toxic: int, clean: int,
     return chosen[:ENTRIES]
 
 
+def _neighbours(automaton: Automaton):
+    """Of each occurrence: its entry, and a hash of the words before and after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in hashing.pieces(batch):
+                found, word, entry, _ = _hits(hashing.as_texts(piece.column("text")), automaton)
+                beside = np.zeros(len(word), np.uint64)
+                for step in (-1, 1):
+                    at = np.clip(word + step, 0, max(len(found.hash) - 1, 0))
+                    inside = (at == word + step) & (found.text[at] == found.text[word])
+                    beside = hashing.mix(beside + np.where(inside, found.hash[at], np.uint64(0)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(entry), pa.array(beside.view(np.int64))], names=["entry", "beside"]
+                )
+
+    return run
+
+
 def _learn_occurrences(automaton: Automaton):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,6 +220,19 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         .collect()
     )
     entries = choose([tuple(r) for r in likely], sizes.get(1, 0), sizes.get(0, 0), tried)
+    if not entries:
+        return Model()
+    exact = Automaton([Entry(e.term, e.stem) for e in entries])
+    places = (
+        sample.filter("mark = 1")
+        .mapInArrow(_neighbours(exact), "entry long, beside long")
+        .groupBy("entry")
+        .agg(F.count_distinct("beside").alias("different"), F.count("*").alias("n"))
+        .collect()
+    )
+    least = needed(sizes[1], sizes[0], tried)
+    varied = {r["entry"] for r in places if r["different"] >= max(least, VARIED * r["n"])}
+    entries = [e for k, e in enumerate(entries) if k in varied]
     if not entries:
         return Model()
     automaton = Automaton(entries)

@@ -62,10 +62,17 @@ def hash_limit(most: int, n: int | Column) -> Column:
 
 _shipped: set[str] = set()
 
+#: Rows that travel to a Python worker at a time; whole texts make long rows.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
-    """Give the workers this package, as --py-files would; once for each application."""
+    """Give the workers this package, as --py-files would, once for each application; and see that batches
+    of whole texts stay small."""
     context = spark.sparkContext
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         folder = tempfile.mkdtemp(prefix="roadpulse-code-")  # of the driver, which serves it

@@ -13,7 +13,7 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
 
 #: Text is worked on in pieces of about so many bytes, whatever the size of a batch.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True

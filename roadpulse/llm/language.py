@@ -29,12 +29,12 @@ from roadpulse.llm.common import fold, hash_limit, id_hash, ship
 
 FOLDS, HELD = 3, 1
 UNDETERMINED = "und"
-#: Bounds of the sample: documents and frequent words for each language.
-DOCUMENTS, WORDS = 1_500, 5_000
+#: Bounds of the sample: languages, the most frequent ones; documents and frequent words for each.
+LANGUAGES, DOCUMENTS, WORDS = 200, 1_500, 5_000
 ROUNDS = 4
 LONGEST = 48
-#: Words a task remembers at most.
-REMEMBERED = 600_000
+#: Numbers a task remembers at most, some for each word and language.
+REMEMBERED = 3_000_000
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁".encode()
 
@@ -230,7 +230,7 @@ def train(documents: DataFrame, path: str | None = None) -> Model | None:
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD)
     )
     first = Window.partitionBy("lang").orderBy(id_hash(), "doc_id")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     sample = (
         known.select("doc_id", "lang")
         .join(sizes, "lang")
@@ -272,7 +272,7 @@ class _Memory:
 
     def look(self, data: np.ndarray, found: hashing.Words, begins: np.ndarray) -> np.ndarray:
         distinct, first, back = np.unique(found.hash, return_index=True, return_inverse=True)
-        if len(self.hash) > REMEMBERED:
+        if self.value.size + self.hash.size > REMEMBERED:
             self.hash, self.value = self.hash[:0], self.value[:0]
         at = np.searchsorted(self.hash, distinct)
         new = np.ones(len(distinct), bool)

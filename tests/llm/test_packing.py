@@ -86,3 +86,30 @@ def test_a_frequent_length_is_ranked_in_groups(spark, monkeypatch):
     rows = packing.pack(df, limit=8).collect()
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows) == 300
     assert len({r["sequence_id"] for r in rows}) == 150
+
+
+def test_added_token_and_long_white_space_have_the_ids_of_the_tokenizer(monkeypatch):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+    def same(text):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        return packing.token_ids(text).tolist() == [*want, packing.END_ID]
+
+    end = "<|endoftext|>"
+    assert all(same(t) for t in (end, f"a {end} b", f" {end}\n{end}{end} x", f"a  {end}  b", "<|endoftext |>"))
+    assert all(same("a" + c * 1_000_000 + "b c") for c in (" ", "\n"))
+    monkeypatch.setattr(packing, "LONG_SPACE", 3)
+    rng = random.Random(2)
+    letters = [" ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u200b", "\u3000", "a", "1", "'s", end]
+    for _ in range(3000):
+        weights = [rng.random() ** 3 for _ in letters]
+        assert same("".join(rng.choices(letters, weights, k=rng.randint(1, 30))))
+
+
+def test_white_space_is_that_of_the_pattern():
+    split = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).pre_tokenizer.pre_tokenize_str
+    for n in range(0x10000):
+        if not 0xD800 <= n < 0xE000:
+            ends = [b for _, (_, b) in split(f"a{chr(n) * 3}")]
+            alone = len(split(f"a{chr(n) * 3}a")) > 2 and 3 in [b for _, (_, b) in split(f"a{chr(n) * 3}!")]
+            assert bool(packing.re.fullmatch(packing._SPACE, chr(n))) == (alone and ends == [1, 4]), hex(n)

@@ -20,9 +20,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("quality_score") >= pu_quality.LIMIT).select(*docs.columns)
 
 
+#: Near copies are texts whose sets of five-word shingles are at least so similar, in percent.
+SIMILAR = 80
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
-    return near.without_near_duplicates(docs)
+    return near.without_near_duplicates(docs, percent=SIMILAR)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import WORD, first_by_hash, labelled
+from roadpulse.llm.common import WORD, labelled
 
 BINS = 10_000
-#: Trusted documents are a sample of at most this many of those labelled good.
+#: Bound that the SQL alone still has: up to so many documents labelled good, it agrees.
 TRUSTED = 20_000
 #: Mean log ratio in millionths from which a document is kept.
 THRESHOLD = -70_000
@@ -50,10 +50,11 @@ def _grams(ids: Column) -> Column:
 def weights(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: array of the log ratios of all bins, in millionths, with add-one smoothing."""
     spark = documents.sparkSession
-    trusted = first_by_hash(labelled(labels, "quality").filter("mark = 1").select("doc_id"), TRUSTED)
-    flagged = _with_words(documents).join(
-        F.broadcast(trusted.withColumn("trusted", F.lit(1))), "doc_id", "left"
-    )
+    trusted = labelled(labels, "quality").filter("mark = 1").select("doc_id", F.lit(1).alias("trusted"))
+    # One plan for tables of every size: texts are exchanged, not their words, which are longer, and not sorted.
+    joined = documents.select("doc_id", "text").join(trusted.hint("shuffle_hash"), "doc_id", "left")
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    flagged = joined.select(F.transform(words, lambda w: F.crc32(w.cast("binary"))).alias("ids"), "trusted")
     counts = (
         flagged.select(F.explode(_grams(F.col("ids"))).alias("bin"), "trusted")
         .groupBy("bin")

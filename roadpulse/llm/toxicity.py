@@ -3,7 +3,8 @@
 The lexicon is learned from a bounded sample of labelled documents: words, and beginnings of words that
 many words share, that occur in toxic ones and hardly ever in others, beyond what chance allows over
 all terms tried. Copies are no evidence: a term must occur between as many different neighbours. Levenshtein automata over a trie of the lexicon find its terms in every word of every text,
-with one edit where a term is long enough. Each occurrence gets a probability: how often occurrences of that
+with one edit where a term is long enough. Beginnings are matched as they are; the words of the sample that have one stand
+beside it, for words misspelt in the beginning itself. Each occurrence gets a probability: how often occurrences of that
 entry, spelt so, stood in toxic sample documents, moved by its context window (inside quotation marks,
 after a verb of saying, words around it). A document has the probability of its worst occurrence.
 
@@ -132,6 +133,14 @@ def choose(terms: list[tuple[str, bool, int, int, int]], toxic: int, clean: int,
     return chosen[:ENTRIES]
 
 
+def with_families(entries: list[Entry], words: list[str]) -> list[Entry]:
+    """The entries, and with one edit the words that begin with a stem among them."""
+    have = {e.term for e in entries if not e.stem}
+    stems = tuple(e.term for e in entries if e.stem)
+    family = sorted({w for w in words if len(w) >= EDIT_FROM and w.startswith(stems)} - have)
+    return entries + [Entry(w, False, 1) for w in family]
+
+
 def _neighbours(automaton: Automaton):
     """Of each occurrence: its entry, and a hash of the words before and after it."""
 
@@ -235,6 +244,11 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     entries = [e for k, e in enumerate(entries) if k in varied]
     if not entries:
         return Model()
+    stems = [e.term for e in entries if e.stem]
+    if stems:
+        begins = [F.substring("word", 1, k).isin([t for t in stems if len(t) == k]) for k in STEMS]
+        family = counted.filter("a > 0 and b <= 0.02 * a").filter(begins[0] | begins[1] | begins[2]).select("word")
+        entries = with_families(entries, [r["word"] for r in family.collect()])
     automaton = Automaton(entries)
     seen = sample.mapInArrow(
         _learn_occurrences(automaton), "entry long, edited long, exact boolean, mark long, x binary"

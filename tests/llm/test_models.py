@@ -159,3 +159,26 @@ def test_language_model_is_normalised_and_learns():
     assert np.allclose(np.exp(table_.astype(np.float64)).sum(1), 1, atol=1e-3)
     unigram = np.log(pairs.sum(0) / pairs.sum())[4]
     assert table_[3, 4] > unigram
+
+
+def test_a_word_misspelt_in_its_stem_is_found(spark):
+    """The family of words is frequent enough only together, so its beginning becomes the entry."""
+    rng = np.random.default_rng(6)
+    prose = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(400)]
+    family = ["idiot", "idiots", "idiotic", "idiocy", "idiotically", "idioten"]
+    docs, labels = [], []
+    for n in range(600):
+        words = [str(w) for w in rng.choice(prose, 20)]
+        if n % 10 == 0:
+            words.insert(int(rng.integers(1, 19)), family[n // 10 % len(family)])
+        docs.append((n, " ".join(words)))
+        labels.append((n, int(n % 10 == 0)))
+    # Two letters that change places are two edits.
+    said = ["abc idjot def", "abc odiotic def", "abc idiotisch def", "abc def", "abc idoit def"]
+    docs += [(1000 + k, text) for k, text in enumerate(said)]
+    tables = [spark.createDataFrame(docs, "doc_id long, text string")]
+    tables.append(spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert any(e.stem and "idiot".startswith(e.term) for e in toxicity.train(*tables).automaton.entries)
+    got = {r["doc_id"] - 1000: r for r in toxicity.toxicity(*tables).collect() if r["doc_id"] >= 1000}
+    assert [got[k]["n_found"] for k in range(5)] == [1, 1, 1, 0, 0]
+    assert [got[k]["predicted"] for k in range(5)] == [1, 1, 1, 0, 0]

@@ -100,3 +100,37 @@ def test_items_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(n, f"x {s} y") for n, s in ITEMS[:8]], "doc_id long, text string")
     rows = decontamination.leaks(df, table(spark, SF, "benchmark")).collect()
     assert {(n, n) for n, _ in ITEMS[:8]} <= {(r["doc_id"], r["item_id"]) for r in rows}
+
+
+def test_short_items_against_dynamic_programming():
+    """Every copy with up to the allowed edits is found, whatever the item's length, and nothing else."""
+    rng = random.Random(4)
+    alphabet = "abcdefghijklmnopqrst   é漢"
+    lengths = [1, 2, 4, 9, 10, 15, 19, 20, 24, 28, 33, 40, 50, 60, 64, 65, 72, 80]
+    words = ["".join(rng.choice(alphabet) for _ in range(n)) for n in lengths for _ in range(3)]
+    items = [(n, w) for n, w in enumerate(words) if len(w.encode()) < decontamination.SHORT]
+    texts, planted = ["", "a", "漢"], []
+    for number, item in items * 4:
+        text = list(item)
+        for _ in range(len(item) * decontamination.EDITS // 100):
+            k, way = rng.randrange(len(text)), rng.random()
+            text[k : k + (way < 0.67)] = rng.choice(alphabet) * (way > 0.33)
+        host = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))
+        at = rng.randint(0, len(host))
+        planted.append((len(texts), number))
+        whole = host[:at] + "".join(text) + host[at:]
+        texts.append("".join(c.upper() if c.isascii() else c for c in whole))
+    found = decontamination.Index(items).matches(hashing.as_texts(pa.array(texts)))
+    got = {(t, n): e for t, hits in enumerate(found) for n, e in hits}
+    assert set(planted) <= got.keys() and sum(map(len, found)) == len(got)
+    lower = [hashing.LOWER[np.frombuffer(t.encode(), np.uint8)].tobytes().decode() for t in texts]
+    want = {(t, n): decontamination.distance(item, text) for t, text in enumerate(lower) for n, item in items}
+    assert got == {k: e for k, e in want.items() if 100 * e <= decontamination.EDITS * len(dict(items)[k[1]])}
+
+
+def test_places_of_short_items_in_parts(monkeypatch):
+    texts = hashing.as_texts(pa.array(["abc abc abcdefghijkl", "abcdefghijxl and abcdefghijk"]))
+    items = [(1, "abc"), (2, "abcdefghijkl"), (None, "zzz"), (4, "")]
+    whole = decontamination.Index(items).matches(texts)
+    monkeypatch.setattr(decontamination, "PLACES", 1)
+    assert decontamination.Index(items).matches(texts) == whole == [[(1, 0), (2, 0)], [(1, 0), (2, 1)]]

@@ -139,7 +139,10 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in hashing.pieces(batch):
             x = features(hashing.as_texts(piece.column("text")))
             rows = pa.array([r.tobytes() for r in x], pa.binary())
-            yield pa.RecordBatch.from_arrays([piece.column("positive"), rows], names=["positive", "x"])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), piece.column("positive"), piece.column("print"), rows],
+                names=["doc_id", "positive", "print", "x"],
+            )
 
 
 def _apply(net: Network | None):
@@ -163,11 +166,15 @@ def train(documents: DataFrame, labels: DataFrame) -> Network | None:
     ids = documents.filter(F.col("doc_id").isNotNull() & learn).select("doc_id").distinct()
     rest = first_by_hash(ids.join(marked, "doc_id", "left_anti"), UNLABELLED)
     sample = good.withColumn("positive", F.lit(True)).union(rest.withColumn("positive", F.lit(False)))
+    # An id may stand on many rows; one of its texts speaks for it, so that rows are as bounded as ids.
     rows = (
         documents.select("doc_id", "text")
         .join(F.broadcast(sample), "doc_id")
-        .select("positive", "text")
-        .mapInArrow(_features, "positive boolean, x binary")
+        .select(F.col("doc_id").cast("string").alias("doc_id"), "positive", "text", F.xxhash64("text").alias("print"))
+        .mapInArrow(_features, "doc_id string, positive boolean, print long, x binary")
+        .groupBy("doc_id", "positive")
+        .agg(F.min(F.struct("print", "x")).alias("least"))
+        .select("positive", "least.x")
         .toArrow()
     )
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float32).reshape(-1, WIDTH).astype(np.float64)

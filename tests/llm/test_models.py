@@ -182,3 +182,14 @@ def test_a_word_misspelt_in_its_stem_is_found(spark):
     got = {r["doc_id"] - 1000: r for r in toxicity.toxicity(*tables).collect() if r["doc_id"] >= 1000}
     assert [got[k]["n_found"] for k in range(5)] == [1, 1, 1, 0, 0]
     assert [got[k]["predicted"] for k in range(5)] == [1, 1, 1, 0, 0]
+
+
+def test_an_id_on_many_rows_is_learned_from_once(spark, monkeypatch):
+    rows = [(n, f"some text number {n} of {n % 5}") for n in range(60)]
+    labels = spark.createDataFrame([(n, 1, 0) for n in range(0, 60, 3)], "doc_id long, quality int, toxic int")
+    taken = []
+    monkeypatch.setattr(pu_quality, "fit", lambda p, u, prior: taken.append((len(p), len(u))))
+    monkeypatch.setattr(pu_quality, "estimate_prior", lambda p, u: 0.5)
+    for more in ([], [(n, f"other {k} {n}") for n in (1, 2, 3, 4) for k in range(50)], rows * 3):
+        pu_quality.train(spark.createDataFrame(rows + more, "doc_id long, text string"), labels)
+    assert len(taken) == 3 and len(set(taken)) == 1

@@ -15,6 +15,7 @@ table gives no rows; with no known language every text is `und`.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -254,6 +255,8 @@ def train(documents: DataFrame, path: str | None = None) -> Model | None:
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})
+    if len(languages) >= LANGUAGES and (found := known.agg(F.count_distinct("lang")).first()[0]) > LANGUAGES:
+        warnings.warn(f"{found} languages are given; the {LANGUAGES} most frequent are learned", stacklevel=2)
     words = sorted({bytes(r["word"]) for r in rows})
     of_word, of_lang = {w: k for k, w in enumerate(words)}, {g: k for k, g in enumerate(languages)}
     counts = np.zeros((len(words), len(languages)))

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -130,6 +131,8 @@ def choose(terms: list[tuple[str, bool, int, int, int]], toxic: int, clean: int,
         if any(c.stem and (term.startswith(c.term) or (stem and c.term.startswith(term))) for c in chosen):
             continue
         chosen.append(Entry(term, stem, int(not stem and len(term) >= EDIT_FROM)))
+    if len(chosen) > ENTRIES:
+        warnings.warn(f"{len(chosen)} toxic terms qualify; the {ENTRIES} most frequent are matched", stacklevel=2)
     return chosen[:ENTRIES]
 
 
@@ -224,10 +227,14 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     likely = (
         terms.filter("a >= 3 and b <= 0.02 * a")
         .orderBy(F.desc("a"), "t.stem", F.desc(F.length("t.term")), "t.term")
-        .limit(20 * ENTRIES)
+        .limit(20 * ENTRIES + 1)
         .select("t.term", "t.stem", "a", "b", "top")
         .collect()
     )
+    if len(likely) > 20 * ENTRIES:
+        least = needed(sizes.get(1, 0), sizes.get(0, 0), tried) if sizes.get(1) and sizes.get(0) else math.inf
+        if likely.pop()["a"] >= least:
+            warnings.warn(f"more than {20 * ENTRIES} terms may be toxic; the others are not looked at", stacklevel=2)
     entries = choose([tuple(r) for r in likely], sizes.get(1, 0), sizes.get(0, 0), tried)
     if not entries:
         return Model()

@@ -193,3 +193,15 @@ def test_an_id_on_many_rows_is_learned_from_once(spark, monkeypatch):
     for more in ([], [(n, f"other {k} {n}") for n in (1, 2, 3, 4) for k in range(50)], rows * 3):
         pu_quality.train(spark.createDataFrame(rows + more, "doc_id long, text string"), labels)
     assert len(taken) == 3 and len(set(taken)) == 1
+
+
+def test_bounds_of_lexicon_and_languages_are_told(spark, monkeypatch):
+    terms = [(f"term{n}", False, 50, 0, 50) for n in range(5)]
+    monkeypatch.setattr(toxicity, "ENTRIES", 4)
+    with pytest.warns(UserWarning, match="5 toxic terms"):
+        assert len(toxicity.choose(terms, 100, 900, 1000)) == 4
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    rows = [(n, f"l{n % 3}", f"some words of {n % 3} here") for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    with pytest.warns(UserWarning, match="3 languages"):
+        language.train(docs)

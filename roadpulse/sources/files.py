@@ -59,11 +59,12 @@ def table_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(target).getLength()
 
 
-def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One table of a folder as a stream, be it a single Parquet file or a folder of them."""
+def stream_table(spark: SparkSession, folder: str, name: str, **options: str | int) -> DataFrame:
+    """One table of a folder as a stream, be it a single Parquet file or a folder of them; ``options``
+    of the file source say how much a micro-batch takes."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema).option("maxFileAge", Options().max_file_age)
+    reader = spark.readStream.schema(schema).option("maxFileAge", Options().max_file_age).options(**options)
     files, target = _at(spark, path)
     if files.getFileStatus(target).isDirectory():
         return reader.parquet(path)

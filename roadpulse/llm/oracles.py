@@ -162,10 +162,73 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT
 FROM bytes LEFT JOIN kept USING (r)"""
 
 
+def filter_audit_sql() -> str:
+    return r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents),
+masks AS (
+  SELECT part,
+         (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+         + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, FALSE)::INT AS mask,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+         doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic
+  FROM texts),
+counts AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM masks GROUP BY part, mask),
+letters(l, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT p.l || q.l || r.l || s.l || t.l AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bits
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.b, q.b, r.b, s.b, t.b])) = 5),
+steps AS (
+  SELECT filter_order, step::INT AS step, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before, bits[step] AS now
+  FROM orders, range(1, 6) r(step)),
+found AS (
+  SELECT part, filter_order, step, now,
+         sum(CASE WHEN mask & (before | now) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN mask & before = 0 AND mask & now > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN mask & before > 0 AND mask & now > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN mask = now THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & now > 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN mask & before = 0 AND mask & now > 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, now)
+SELECT * EXCLUDE (now), (sum(removed) OVER (PARTITION BY part, now))::BIGINT AS shapley FROM found"""
+
+
+def fill_in_middle_sql() -> str:
+    return r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS y,
+         n = 0 OR regexp_matches(text, '<[PSM]>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 AS plain,
+         ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 AS spm
+  FROM texts),
+cut AS (
+  SELECT *, least(x, y) AS low, greatest(x, y) AS high, substr(text, 1, least(x, y)) AS prefix,
+         substr(text, least(x, y) + 1, greatest(x, y) - least(x, y)) AS middle, substr(text, greatest(x, y) + 1) AS suffix
+  FROM drawn)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN low END AS prefix_chars, CASE WHEN NOT plain THEN high - low END AS middle_chars,
+       sha256(CASE WHEN plain THEN text WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                   ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules_sql(),
         "op3_license_scan": license_scan_sql(),
         "op7_repeats": repeats_sql(repeats.SIZE),
         "op8_near_duplicates": near_duplicates_sql(),
+        "op11_filter_audit": filter_audit_sql(),
+        "op13_fill_in_middle": fill_in_middle_sql(),
     }

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadpulse.llm.best_fit import window_digests
 from roadpulse.llm.common import table
 from roadpulse.llm.decontamination import leaks
+from roadpulse.llm.filter_audit import filter_audit
+from roadpulse.llm.fim import fim_digests
 from roadpulse.llm.language import identify
 from roadpulse.llm.language_model import lm_scores
 from roadpulse.llm.licenses import license_scan
@@ -59,6 +62,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(spark, sf_dir, table(spark, sf_dir, "labels"))
+
+
+def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(table(spark, sf_dir, "documents"))
+
+
 _ALL = [
     op1_quality_rules,
     op2_pu_quality,
@@ -70,6 +85,9 @@ _ALL = [
     op8_near_duplicates,
     op9_language_model,
     op10_decontamination,
+    op11_filter_audit,
+    op12_window_packing,
+    op13_fill_in_middle,
 ]
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +95,27 @@ def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         start = stop
 
 
+def give_back() -> None:
+    """Return free memory to the system: a worker waits for its next task with all it has ever held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable) -> Callable:
+    """A function over batches that gives memory back when its task ends."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def without_marks(data: np.ndarray) -> np.ndarray:
     """With spaces for the marks and signs that stand next to letters: quotes, dashes and the like
     (U+0080 to U+00BF, U+2000 to U+207F)."""

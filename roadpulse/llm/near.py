@@ -1,7 +1,7 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
-1. Each text becomes its set of distinct five-word shingles (64-bit hashes); equal sets are one class,
-   whose smallest doc_id stands for it. A signature of MinHash values goes with it.
+1. Each text becomes its set of distinct five-word shingles (64-bit hashes); equal sets are one class, with a number
+   of its own and its smallest doc_id. A signature of MinHash values goes with it.
 2. Signatures are cut into bands; classes that share a band are candidates. Bands are joined into
    groups by their smallest member, so no pairs are written.
 3. A group is dealt out in chunks of bounded size; each pair of chunks is one task. There, candidates that
@@ -11,7 +11,8 @@
 
 Null and empty texts, or texts without a word: n_shingles 0, linked with nothing. A null doc_id is never
 linked: component null, kept true. Rows with the same doc_id and set are one document; with other sets, each row
-is answered by its own. Long texts cost their length; extra columns are ignored; empty tables give no rows.
+is answered by its own, and links of one do not become links of the other. Long texts cost their length; extra columns
+are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -80,6 +81,13 @@ def _fixed(rows: np.ndarray) -> pa.Array:
     )
 
 
+def _prints(value: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each whole set in 128 bits: two sums of independent hashes of its members."""
+    salted = (hashing.mix(value + np.uint64(k + 1)) for k in range(2))
+    return np.stack([np.add.reduceat(x, starts).view(np.int64) for x in salted], axis=1)
+
+
+@hashing.giving_back
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in hashing.pieces(batch):
@@ -90,20 +98,18 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands, prints = np.zeros((0, BANDS), np.uint64), np.zeros((len(size), 2), np.int64)
             if len(full):
                 bands = band_hashes(signatures(value, np.append(starts, len(value))))
-                # The whole set in 128 bits: two sums of independent hashes of its members.
-                for k in range(2):
-                    salted = hashing.mix(value + np.uint64(k + 1))
-                    prints[full, k] = np.add.reduceat(salted, starts).view(np.int64)
+                prints[full] = _prints(value, starts)
             owner = np.repeat(full, BANDS)
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"),
+                    piece.column("key"),
                     pa.array(size.astype(np.int64)),
                     pa.array(prints[:, 0]),
                     pa.array(prints[:, 1]),
                     hashing.lists(owner, pa.array(bands.ravel().view(np.int64)), len(size)),
                 ],
-                names=["doc_id", "n", "print1", "print2", "bands"],
+                names=["doc_id", "key", "n", "print1", "print2", "bands"],
             )
 
 
@@ -115,6 +121,7 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
     return out
 
 
+@hashing.giving_back
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Signature and whole set of each text that has one."""
     for batch in batches:
@@ -128,10 +135,10 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = pa.Array.from_buffers(
                 pa.binary(), len(full), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(value))]
             )
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("rep").take(pa.array(full)), _fixed(signatures(value, cuts)), sets],
-                names=["rep", "sig", "shingles"],
-            )
+            prints = _prints(value, cuts[:-1])
+            columns = [piece.column("rep").take(pa.array(full)), pa.array(np.diff(cuts).astype(np.int64))]
+            columns += [pa.array(prints[:, 0]), pa.array(prints[:, 1]), _fixed(signatures(value, cuts)), sets]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "n", "print1", "print2", "sig", "shingles"])
 
 
 class _Forest:
@@ -176,79 +183,110 @@ def block_links(
 
 def _verify(percent: int):
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("rep")
-        rep = group.column("rep").to_numpy()
+        group = group.sort_by("node")
+        node = group.column("node").to_numpy()
         own = group.column("chunk").to_numpy()
         sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, VALUES)
         sets = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
         low, high = (np.flatnonzero(own == group.column(c)[0].as_py()) for c in ("low", "high"))
         one = group.column("low")[0].as_py() == group.column("high")[0].as_py()
         links = block_links(sig, np.array([len(x) for x in sets]), sets, low, low if one else high, percent)
-        a, b = (rep[[x[k] for x in links]] if links else rep[:0] for k in (0, 1))
+        a, b = (node[[x[k] for x in links]] if links else node[:0] for k in (0, 1))
         return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
     return run
 
 
-def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row; linked where 100 * intersection >= percent * union."""
+_SET = ["n", "print1", "print2"]
+
+
+def answers(documents: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, key, n, print1, print2, component, least) per row. ``key`` is a hash of the text, ``component`` the smallest
+    doc_id of the texts linked with it, and ``least`` whether its set is the first of those that id has among them."""
     ship(documents.sparkSession)
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
     rows = materialize(
-        texts.mapInArrow(_digest, "doc_id long, n long, print1 long, print2 long, bands array<long>"), "near-digest"
+        texts.mapInArrow(_digest, "doc_id long, key long, n long, print1 long, print2 long, bands array<long>"),
+        "near-digest",
     )
     # Copies meet here, before anything is compared; their bands are the same.
     classes = materialize(
         rows.filter("doc_id is not null and n > 0")
-        .groupBy("n", "print1", "print2")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
+        .groupBy(*_SET)
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "near-classes",
     )
-    bands = classes.select("rep", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
+    bands = classes.select("node", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     # A band's classes hang on its smallest; no pairs.
-    stars = bands.join(shared.filter("least < most").select("band", "least"), "band").filter("rep > least")
-    groups = components(stars.select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct(), "near-groups")
-    grouped = groups.union(groups.select("component", "component").distinct()).toDF("rep", "group")
+    stars = bands.join(shared.filter("least < most").select("band", "least"), "band").filter("node > least")
+    groups = components(stars.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "near-groups")
+    grouped = groups.union(groups.select("component", "component").distinct()).toDF("node", "group")
     sizes = grouped.groupBy("group").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     chosen = materialize(
-        grouped.join(sizes, "group").withColumn("chunk", F.pmod(F.hash("rep"), "chunks")), "near-candidates"
+        grouped.join(sizes, "group")
+        .withColumn("chunk", F.pmod(F.hash("node"), "chunks"))
+        .join(classes.drop("bands"), "node"),
+        "near-candidates",
     )
     sets = (
-        texts.withColumnRenamed("doc_id", "rep")
+        texts.select(F.col("doc_id").alias("rep"), "text")
         .join(chosen.select("rep").hint("shuffle_hash"), "rep", "left_semi")
-        .mapInArrow(_set_rows, "rep long, sig binary, shingles binary")
+        .mapInArrow(_set_rows, "rep long, n long, print1 long, print2 long, sig binary, shingles binary")
     )
     blocks = (
-        sets.join(chosen, "rep")
+        sets.join(chosen, ["rep", *_SET])
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .withColumn("low", F.least("chunk", "other"))
         .withColumn("high", F.greatest("chunk", "other"))
-        .select("group", "low", "high", "chunk", "rep", "sig", "shingles")
+        .select("group", "low", "high", "chunk", "node", "sig", "shingles")
     )
     links = materialize(
         blocks.groupBy("group", "low", "high").applyInArrow(_verify(percent), "a long, b long"), "near-links"
     )
-    found = components(links, "near-components").withColumnRenamed("id", "rep")
-    named = materialize(
-        classes.drop("bands")
-        .join(found, "rep", "left")
-        .select("n", "print1", "print2", F.coalesce("component", "rep").alias("component")),
+    linked = components(links, "near-components")
+    members = linked.union(linked.select("component", "component").distinct()).toDF("node", "of")
+    first = F.struct("rep", *_SET)
+    named = materialize(members.join(classes.select("node", first.alias("own")), "node"), "near-members")
+    leasts = materialize(named.groupBy("of").agg(F.min("own").alias("first")), "near-leasts")
+    found = materialize(
+        named.join(leasts, "of").select(
+            *[F.col(f"own.{c}").alias(c) for c in _SET],
+            F.col("first.rep").alias("component"),
+            (F.col("own") == F.col("first")).alias("least"),
+        ),
         "near-named",
     )
-    answered = rows.drop("bands").join(named, ["n", "print1", "print2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return answered.select(
+    alone = classes.select(*_SET, F.col("rep").alias("own"))
+    answered = rows.drop("bands").join(alone, _SET, "left").join(found, _SET, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "own", "doc_id"))
+    return answered.select("doc_id", "key", *_SET, component.alias("component"), F.coalesce("least", F.lit(True)).alias("least"))
+
+
+def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per row; linked where 100 * intersection >= percent * union."""
+    return answers(documents, percent).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"),
     )
 
 
 def without_near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each component stays, the one of smallest doc_id; of rows with that id one,
-    unless the id is null."""
-    gone = near_duplicates(documents, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    left = documents.filter("doc_id is not null").join(gone, "doc_id", "left_anti").select(*documents.columns)
-    return left.dropDuplicates(["doc_id"]).unionByName(documents.filter("doc_id is null"))
+    """One row of each component stays: of the smallest doc_id, there of its first set, and of rows with
+    both the one of smallest hash of all its columns. Rows without words or doc_id stay, but for repeats of an id with the
+    same text. Another text of an id that goes is judged by itself."""
+    judged = materialize(answers(documents, percent).filter("doc_id is not null"), "near-judged")
+    stays = judged.filter((F.col("doc_id") == F.col("component")) & F.col("least"))
+    # Texts with one set may differ in white space; of those of an id, one.
+    chosen = F.when(F.col("n") > 0, F.lit(0)).otherwise(F.col("key"))
+    kept = stays.groupBy("doc_id", *_SET, chosen.alias("apart")).agg(F.min("key").alias("key"))
+    own = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    rows = documents.filter("doc_id is not null").select(
+        own.alias("own"), F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("key")
+    )
+    rows = rows.join(kept.select(F.col("doc_id").alias("doc"), "key").distinct(), ["doc", "key"], "left_semi")
+    single = rows.groupBy("doc", "key").agg(F.min_by("own", F.xxhash64("own")).alias("own"))
+    return single.select("own.*").unionByName(documents.filter("doc_id is null"))

@@ -134,6 +134,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(np.mean(ratios, 0).min(), 0.05, 0.98)) if ratios else 0.5
 
 
+@hashing.giving_back
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in hashing.pieces(batch):
@@ -146,6 +147,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _apply(net: Network | None):
+    @hashing.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in hashing.pieces(batch):
@@ -188,21 +190,24 @@ def train(documents: DataFrame, labels: DataFrame) -> Network | None:
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents' own columns with ``quality_score`` between 0 and 1 added."""
+    """(own, score): each row's own columns as a struct, and a score between 0 and 1."""
     net = train(documents, labels)
-    plain = documents.select(*[c for c in documents.columns if c != "quality_score"])
-    inner = plain.select(F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("own"), F.col("text").alias("text"))
+    inner = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"), F.col("text").alias("text"))
     schema = T.StructType([*inner.schema.fields, T.StructField("score", T.DoubleType())])
-    scored = inner.mapInArrow(_apply(net), schema)
-    return scored.select("own.*", F.col("score").alias("quality_score"))
+    return inner.mapInArrow(_apply(net), schema).select("own", "score")
+
+
+def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows that the classifier does not reject, as they are."""
+    return classify(documents, labels).filter(F.col("score") >= LIMIT).select("own.*")
 
 
 def pu_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) per row."""
     scored = classify(documents.select("doc_id", "text"), labels)
     return scored.select(
-        "doc_id",
-        (fold(F.col("doc_id"), FOLDS) == HELD).alias("held_out"),
-        F.col("quality_score").alias("score"),
-        (F.col("quality_score") >= LIMIT).cast("int").alias("predicted"),
+        "own.doc_id",
+        (fold(F.col("own.doc_id"), FOLDS) == HELD).alias("held_out"),
+        "score",
+        (F.col("score") >= LIMIT).cast("int").alias("predicted"),
     )

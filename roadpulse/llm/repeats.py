@@ -11,8 +11,8 @@ that share one anchor make a segment.
    core; only blocks of equal core can agree. A core becomes a mark and DIGITS letters, what stands left and right
    of it stays. These strings are sorted by external induced sorting (``suffixes``): a window repeats
    where the common prefix with a neighbour covers its left bytes, its core and its right bytes.
-4. An anchor with over CROWD classes would make a shard too large. Its windows are counted by their hash
-   instead, which needs no group; the result is the same.
+4. An anchor with over CROWD classes would make a shard too large. Its blocks are counted instead, and, where blocks of
+   equal core differ, their windows; that needs no group, and the result is the same.
 
 Null and empty texts, and texts shorter than SIZE: nothing removed. A null doc_id is answered like any other.
 Repeated rows repeat each other, also under one doc_id. Long texts are worked on in parts of PART
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,10 @@ from roadpulse.session import materialize
 SIZE = 400
 GRAM = 64
 #: Windows of a long text are found in parts of so many bytes.
-PART = 4_000_000
-CROWD = 8_000
-SHARD_BYTES = 2_000_000
+PART = hashing.PIECE_BYTES
+CROWD = 1_000
+#: Segments of a shard, about; with those of one anchor on top, at most CROWD segments more.
+SHARD_BYTES = 1_000_000
 BLOCK = 8
 DIGITS = 4
 MARK = 257
@@ -91,6 +93,7 @@ def segments(texts: hashing.Texts, size: int = SIZE, gram: int = GRAM) -> tuple[
 
 
 def _segments(size: int):
+    @hashing.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in hashing.pieces(batch):
@@ -130,30 +133,72 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select(doc.alias("doc"), F.xxhash64("text").alias("key"), text.alias("text"))
 
 
+def _part_bytes(batch: pa.RecordBatch, size: int) -> Iterator[tuple[list[bytes], dict[str, np.ndarray]]]:
+    """Bytes of the contested segments of a batch of texts with the columns that belong to them; about
+    PIECE_BYTES of text, and of segments, at a time."""
+    for piece in hashing.pieces(batch):
+        texts, parts = hashing.as_texts(piece.column("text")), piece.column("parts")
+        flat = parts.flatten()
+        columns = {n: flat.field(n).to_numpy(zero_copy_only=False) for n in ("low", "many", "ahead", "gram", "lone")}
+        owner = np.repeat(np.arange(piece.num_rows), parts.value_lengths().to_numpy())
+        for name in ("doc", "key"):
+            columns[name] = piece.column(name).to_numpy()[owner]
+        begin = texts.offsets[owner] + columns["low"]
+        end = begin + columns["many"] + size - 1
+        group = np.cumsum(end - begin) // hashing.PIECE_BYTES
+        data = memoryview(texts.data)
+        for rows in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(group)) + 1):
+            if len(rows):
+                cut = [bytes(data[x:y]) for x, y in zip(begin[rows].tolist(), end[rows].tolist(), strict=True)]
+                yield cut, {n: c[rows] for n, c in columns.items()}
+
+
 def _texts_of(size: int):
     """The text of every contested segment."""
-    schema = pa.schema(
-        [("gram", pa.int64()), ("lone", pa.bool_()), ("ahead", pa.int32()), ("doc", pa.int64()), ("key", pa.int64())]
-        + [("low", pa.int64()), ("part", pa.binary())]
-    )
 
+    @hashing.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            columns = (batch.column(c).to_pylist() for c in ("doc", "key", "text", "parts"))
-            for doc, key, text, parts in zip(*columns, strict=True):
-                data = text.encode()
-                for p in parts:
-                    part = data[p["low"] : p["low"] + p["many"] + size - 1]
-                    rows.append((p["gram"], p["lone"], p["ahead"], doc, key, p["low"], part))
-            columns = list(zip(*rows, strict=True)) or [()] * len(schema)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
-            )
+            for cut, columns in _part_bytes(batch, size):
+                names = ("gram", "lone", "ahead", "doc", "key", "low")
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(columns[n]) for n in names), pa.array(cut, pa.binary())], names=[*names, "part"]
+                )
 
     return run
 
 
+@dataclass
+class Blocks:
+    """BLOCK neighbouring windows each, or what a segment has of them; windows count from the segment's begin.
+
+    A block's windows have their anchor at ``number * block`` to ``number * block + block - 1`` bytes. Blocks of one
+    ``kind`` have equal cores at equal distances; of one ``whole``, all bytes.
+    """
+
+    of: np.ndarray  # the segment
+    number: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    core: np.ndarray  # place of the core in the data
+    kind: np.ndarray
+    whole: np.ndarray
+
+
+def blocks_of(data: np.ndarray, base: np.ndarray, many: np.ndarray, ahead: np.ndarray, size: int, block: int) -> Blocks:
+    """Blocks of segments that begin at ``base`` in the data; from the last windows' to the first ones'."""
+    running = hashing.running_hash(data)
+    low, high = (ahead - many + 1) // block, ahead // block
+    of = np.repeat(np.arange(len(base)), high - low + 1)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[of]
+    first = np.maximum(ahead[of] - block * number - block + 1, 0)
+    last = np.minimum(ahead[of] - block * number, many[of] - 1)
+    core = base[of] + ahead[of] - block * number
+    kind = hashing.mix(hashing.range_hash(running, core, core + size - block + 1) + number.astype(np.uint64))
+    whole = hashing.range_hash(running, base[of] + first, base[of] + last + size)
+    return Blocks(of, number, first, last, core, kind, hashing.mix(kind + whole + (last - first).astype(np.uint64)))
+
+
 def repeated_windows(
     parts: list[bytes], ahead: np.ndarray, size: int = SIZE, gram: int = GRAM, block: int = BLOCK
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -162,18 +207,9 @@ def repeated_windows(
     data = np.frombuffer(b"".join(parts), np.uint8)
     sizes = np.array([len(p) for p in parts], np.int64)
     base, many = np.cumsum(sizes) - sizes, sizes - size + 1
-    running = hashing.running_hash(data)
-    # Blocks by distance to the anchor: from that of the last window to that of the first.
-    low, high = (ahead - many + 1) // block, ahead // block
-    of = np.repeat(np.arange(len(parts)), high - low + 1)
-    number = np.arange(len(of)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[of]
-    first = np.maximum(ahead[of] - block * number - block + 1, 0)
-    last = np.minimum(ahead[of] - block * number, many[of] - 1)
-    core = base[of] + ahead[of] - block * number
+    found = blocks_of(data, base, many, ahead, size, block)
+    of, first, last, core, kind, whole = found.of, found.first, found.last, found.core, found.kind, found.whole
     width = size - block + 1
-    kind = hashing.mix(hashing.range_hash(running, core, core + width) + number.astype(np.uint64))
-    whole = hashing.range_hash(running, base[of] + first, base[of] + last + size)
-    whole = hashing.mix(kind + whole + (last - first).astype(np.uint64))
     _, same, copies = np.unique(whole, return_inverse=True, return_counts=True)
     agree = copies[same] > 1
     _, at, group = np.unique(whole, return_index=True, return_inverse=True)
@@ -220,30 +256,84 @@ def _sorted_shard(size: int):
     return run
 
 
-def _windows(size: int):
-    """Hash of every window of a segment, for anchors too common for a shard."""
+_CROWDED = "gram long, kind long, whole long, lone boolean, doc long, key long, place long, slot int, n int, left long, right long"
+
+
+def _packed(data: np.ndarray, start: np.ndarray, size: np.ndarray, width: int, at_end: bool) -> np.ndarray:
+    """Up to ``width`` bytes from each start as one number, zeros before them or, without ``at_end``, after."""
+    out = np.zeros(len(start), np.int64)
+    for k in range(width):
+        at = start + k - (width - size if at_end else 0)
+        here = (k >= width - size) if at_end else (k < size)
+        out = out << 8 | np.where(here, data[np.clip(at, 0, len(data) - 1)], 0)
+    return out
 
+
+def _crowded_blocks(size: int, block: int = BLOCK):
+    """Blocks of the segments of anchors too common for a shard, with the bytes left and right of their cores."""
+
+    @hashing.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                data = np.frombuffer(row["part"], np.uint8)
-                start = np.arange(len(data) - size + 1)
-                window = hashing.range_hash(hashing.running_hash(data), start, start + size).view(np.int64)
-                n = len(window)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(window),
-                        pa.array(np.repeat(row["lone"], n)),
-                        pa.array(np.repeat(np.int64(row["doc"]), n)),
-                        pa.array(np.repeat(np.int64(row["key"]), n)),
-                        pa.array(start + row["low"]),
-                    ],
-                    names=["window", "lone", "doc", "key", "a"],
-                )
+            for cut, columns in _part_bytes(batch, size):
+                data = np.frombuffer(b"".join(cut), np.uint8)
+                sizes = np.array([len(p) for p in cut], np.int64)
+                base, ahead = np.cumsum(sizes) - sizes, columns["ahead"].astype(np.int64)
+                found = blocks_of(data, base, sizes - size + 1, ahead, size, block)
+                of, right = found.of, found.core + size - block + 1
+                left_size = found.core - base[of] - found.first
+                right_size = base[of] + found.last + size - right
+                arrays = {
+                    "gram": columns["gram"][of],
+                    "kind": found.kind.view(np.int64),
+                    "whole": found.whole.view(np.int64),
+                    "lone": columns["lone"][of].astype(bool),
+                    "doc": columns["doc"][of],
+                    "key": columns["key"][of],
+                    "place": columns["low"][of] + found.first,
+                    "slot": (block - 1 - left_size).astype(np.int32),
+                    "n": (found.last - found.first + 1).astype(np.int32),
+                    "left": _packed(data, found.core - left_size, left_size, block - 1, True),
+                    "right": _packed(data, right, right_size, block - 1, False),
+                }
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in arrays.values()], names=list(arrays))
 
     return run
 
 
+def _crowded_spans(parts: DataFrame, size: int, block: int = BLOCK) -> DataFrame:
+    """(doc, key, a, b) of repeated windows of crowded anchors, by counting; no group is ever in one task.
+
+    Blocks of one whole repeat. Only where blocks of a kind differ are single windows counted, each known by
+    anchor, core and the bytes it has left and right of it.
+    """
+    blocks = materialize(parts.mapInArrow(_crowded_blocks(size, block), _CROWDED), "crowded-blocks")
+    same = ["gram", "kind", "whole"]
+    classes = materialize(blocks.groupBy(*same).agg(F.count("*").alias("copies")), "crowded-classes")
+    rivals = materialize(
+        classes.groupBy("gram", "kind").agg(F.count("*").alias("n")).filter("n > 1").select("gram", "kind"),
+        "crowded-rivals",
+    )
+    agree = blocks.filter("lone").join(classes.filter("copies > 1"), same, "left_semi")
+    whole = agree.select("doc", "key", F.col("place").alias("a"), (F.col("place") + F.col("n") - 1 + size).alias("b"))
+    at = F.expr("explode(sequence(slot, slot + n - 1))").alias("at")
+    bits = f"8 * ({block - 1} - at)"
+    windows = materialize(
+        blocks.join(rivals, ["gram", "kind"], "left_semi")
+        .select("gram", "kind", "lone", "doc", "key", "place", "slot", "left", "right", at)
+        .withColumn("left", F.expr(f"left & (shiftleft(1L, {bits}) - 1)"))
+        .withColumn("right", F.expr(f"shiftright(right, {bits})"))
+        .withColumn("a", F.col("place") + F.col("at") - F.col("slot")),
+        "crowded-windows",
+    )
+    window = ["gram", "kind", "at", "left", "right"]
+    again = materialize(
+        windows.groupBy(*window).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "crowded-repeats"
+    )
+    single = windows.filter("lone").join(again, window, "left_semi")
+    return whole.union(single.select("doc", "key", "a", (F.col("a") + size).alias("b")))
+
+
 def spans(documents: DataFrame, size: int = SIZE, crowd: int = CROWD) -> DataFrame:
     """(doc, key, a, b): byte ranges covered by repeated windows; they may touch and overlap."""
     ship(documents.sparkSession)
@@ -254,7 +344,8 @@ def spans(documents: DataFrame, size: int = SIZE, crowd: int = CROWD) -> DataFra
         ),
         "segments",
     )
-    common = found.groupBy("gram").count().filter("count > 1").select("gram")
+    # Written, as the other small sides of joins are: a common anchor's rows are then split among tasks.
+    common = materialize(found.groupBy("gram").count().filter("count > 1").select("gram"), "common-grams")
     shared = materialize(found.join(common, "gram", "left_semi"), "shared-segments")
     classes = materialize(
         shared.groupBy("gram", "content").agg(
@@ -262,9 +353,9 @@ def spans(documents: DataFrame, size: int = SIZE, crowd: int = CROWD) -> DataFra
         ),
         "segment-classes",
     )
-    rivals = classes.groupBy("gram").agg(F.count("*").alias("rivals"))
+    rivals = materialize(classes.groupBy("gram").agg(F.count("*").alias("rivals")).filter("rivals > 1"), "rivals")
     contested = materialize(
-        classes.join(rivals.filter("rivals > 1"), "gram").select(
+        classes.join(rivals, "gram").select(
             "gram", "first.*", (F.col("copies") == 1).alias("lone"), "rivals"
         ),
         "contested-segments",
@@ -280,59 +371,60 @@ def spans(documents: DataFrame, size: int = SIZE, crowd: int = CROWD) -> DataFra
     cut = texts.join(by_text.hint("shuffle_hash"), ["doc", "key"])
 
     def parts(which: Column) -> DataFrame:
-        chosen = cut.withColumn("parts", F.filter("parts", lambda p: which(p))).filter(F.size("parts") > 0)
-        return chosen.mapInArrow(
-            _texts_of(size), "gram long, lone boolean, ahead int, doc long, key long, low long, part binary"
-        )
+        return cut.withColumn("parts", F.filter("parts", lambda p: which(p))).filter(F.size("parts") > 0)
 
     total = contested.filter(F.col("rivals") <= crowd).agg(F.sum(F.col("many") + size)).first()[0] or 0
     shards = int(total // SHARD_BYTES) + 1
     sorted_out = (
         parts(lambda p: p["rivals"] <= crowd)
+        .mapInArrow(_texts_of(size), "gram long, lone boolean, ahead int, doc long, key long, low long, part binary")
         .withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(_sorted_shard(size), "doc long, key long, a long, b long")
     )
-    windows = parts(lambda p: p["rivals"] > crowd).mapInArrow(
-        _windows(size), "window long, lone boolean, doc long, key long, a long"
-    )
-    again = windows.groupBy("window").count().filter("count > 1").select("window")
-    counted = windows.join(again, "window", "left_semi").filter("lone").select(
-        "doc", "key", "a", (F.col("a") + size).alias("b")
-    )
-    return whole.union(sorted_out).union(counted)
+    found = whole.union(sorted_out)
+    if not contested.filter(F.col("rivals") > crowd).isEmpty():
+        found = found.union(_crowded_spans(parts(lambda p: p["rivals"] > crowd), size))
+    return found
 
 
-def _merged(ranges: list[dict]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted((r["a"], r["b"]) for r in ranges):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def _merged(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges that touch or overlap as one."""
+    order = np.argsort(start, kind="stable")
+    start, stop = start[order], np.maximum.accumulate(stop[order])
+    new = np.append(True, start[1:] > stop[:-1])
+    return list(zip(start[new].tolist(), stop[np.append(new[1:], True)].tolist(), strict=True))
 
 
+@hashing.giving_back
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for doc, key, text, ranges in zip(*(batch.column(c).to_pylist() for c in ("doc", "key", "text", "ranges")), strict=True):
-            data, runs = text.encode(), _merged(ranges)
-            edges = [0, *(x for r in runs for x in r), len(data)]
-            rest = b"".join(data[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
-            rows.append((doc, key, len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest))
-        doc, key, removed, many, sha, rest = zip(*rows, strict=True) if rows else ((),) * 6
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(doc, pa.int64()),
-                pa.array(key, pa.int64()),
-                pa.array(removed, pa.int64()),
-                pa.array(many, pa.int64()),
-                pa.array(sha, pa.string()),
-                pa.array(rest, pa.binary()),
-            ],
-            names=["doc", "key", "n_removed", "n_spans", "kept_sha256", "rest"],
-        )
+        for piece in hashing.pieces(batch):
+            texts, ranges = hashing.as_texts(piece.column("text")), piece.column("ranges")
+            flat, lengths = ranges.flatten(), ranges.value_lengths().to_numpy()
+            a, b = (flat.field(n).to_numpy() for n in ("a", "b"))
+            ends = np.cumsum(lengths)
+            removed, many, sha, left = [], [], [], []
+            for row, (start, stop) in enumerate(zip((ends - lengths).tolist(), ends.tolist(), strict=True)):
+                data = texts.data[texts.offsets[row] : texts.offsets[row + 1]].tobytes()
+                runs = _merged(a[start:stop], b[start:stop])
+                edges = [0, *(x for r in runs for x in r), len(data)]
+                rest = b"".join(data[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
+                removed.append(len(data) - len(rest))
+                many.append(len(runs))
+                sha.append(hashlib.sha256(rest).hexdigest())
+                left.append(rest)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column("doc"),
+                    piece.column("key"),
+                    pa.array(removed, pa.int64()),
+                    pa.array(many, pa.int64()),
+                    pa.array(sha, pa.string()),
+                    pa.array(left, pa.binary()),
+                ],
+                names=["doc", "key", "n_removed", "n_spans", "kept_sha256", "rest"],
+            )
 
 
 def cut_texts(documents: DataFrame, size: int = SIZE, keep_rest: bool = False) -> DataFrame:

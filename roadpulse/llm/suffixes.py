@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,78 +35,100 @@ _VALUES = hashing.mix(np.arange(1, LETTERS + 1, dtype=np.uint64) * np.uint64(has
 
 
 class _Store:
-    """Arrays that stay in memory up to a budget; later ones are files of a temporary folder."""
+    """What stays in memory up to a budget; beyond it, queues go to a file each, arrays over the text to one each."""
 
     def __init__(self, folder: str, budget: int):
         self.folder, self.left, self.files = folder, budget, 0
+        self.queues: list[_Queue] = []
 
-    def keep(self, values: np.ndarray) -> np.ndarray:
-        self.left -= values.nbytes
-        if self.left >= 0 or not len(values):
-            return values
-        path = os.path.join(self.folder, str(self.files))
+    def path(self) -> str:
         self.files += 1
-        np.save(path, values)
-        self.left += values.nbytes
-        return np.load(f"{path}.npy", mmap_mode="r")
-
-    def free(self, values: np.ndarray) -> None:
-        if isinstance(values, np.memmap):
-            os.unlink(values.filename)
-        else:
-            self.left += values.nbytes
+        return os.path.join(self.folder, str(self.files))
 
+    def keep(self, values: np.ndarray) -> np.ndarray:
+        if values.nbytes <= self.left or not len(values):
+            self.left -= values.nbytes
+            return values
+        path = self.path()
+        values.tofile(path)
+        return np.memmap(path, values.dtype, "r", shape=values.shape)
 
-def _part(chunks: list[np.ndarray], start: int, stop: int) -> np.ndarray:
-    """Columns from start to stop of the chunks side by side; no more of a file is read than that."""
-    cut, at = [], 0
-    for chunk in chunks:
-        low, high = max(start - at, 0), min(stop - at, chunk.shape[1])
-        if low < high:
-            cut.append(np.asarray(chunk[:, low:high]))
-        at += chunk.shape[1]
-    return np.concatenate(cut, axis=1) if len(cut) > 1 else cut[0].copy()
+    def took(self, size: int) -> None:
+        """A queue holds so much more; over the budget, the largest ones give way."""
+        self.left -= size
+        while self.left < 0:
+            largest = max(self.queues, key=lambda q: q.held)
+            if not largest.held:
+                break
+            largest.spill()
 
 
 class _Queue:
-    """Tuples (place, common prefix) in the order they came."""
+    """Tuples (place, common prefix) in the order they came: the older ones in a file, which is open only while it is
+    read or added to, the newer ones in memory."""
 
     def __init__(self, store: _Store):
-        self.store, self.chunks = store, []
+        self.store, self.path, self.filed = store, None, 0
+        self.chunks: list[np.ndarray] = []
+        self.ends = [0]  # of the chunks, counted from the first in memory
+        self.held = 0  # bytes in memory
+        store.queues.append(self)
+
+    @property
+    def size(self) -> int:
+        return self.filed + self.ends[-1]
 
     def push(self, place: np.ndarray, common: np.ndarray) -> None:
-        self.chunks.append(self.store.keep(np.stack([place, common]).astype(np.int32)))
+        chunk = np.stack([place, common], axis=1).astype(np.int32)
+        self.chunks.append(chunk)
+        self.ends.append(self.ends[-1] + len(chunk))
+        self.held += chunk.nbytes
+        self.store.took(chunk.nbytes)
+
+    def spill(self) -> None:
+        self.path = self.path or self.store.path()
+        with open(self.path, "ab") as out:
+            for chunk in self.chunks:
+                out.write(chunk.tobytes())
+        self.filed += self.ends[-1]
+        self.store.left += self.held
+        self.chunks, self.ends, self.held = [], [0], 0
+
+    def _read(self, start: int, stop: int) -> np.ndarray:
+        cut = []
+        if start < self.filed:
+            many = min(stop, self.filed) - start
+            cut.append(np.fromfile(self.path, np.int32, 2 * many, offset=8 * start).reshape(-1, 2))
+        low, high = max(start - self.filed, 0), stop - self.filed
+        at = bisect_right(self.ends, low) - 1
+        while low < high:
+            chunk = self.chunks[at][low - self.ends[at] : high - self.ends[at]]
+            cut.append(chunk)
+            low, at = low + len(chunk), at + 1
+        return np.concatenate(cut)
 
     def waves(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Also what is pushed meanwhile."""
         at = 0
-        while at < len(self.chunks):
-            taken, size = [], 0
-            while at < len(self.chunks) and size < WAVE:
-                taken.append(self.chunks[at])
-                size += taken[-1].shape[1]
-                at += 1
-            for start in range(0, size, WAVE):
-                yield tuple(_part(taken, start, min(start + WAVE, size)))
+        while at < self.size:
+            wave = self._read(at, min(at + WAVE, self.size))
+            at += len(wave)
+            yield wave[:, 0].copy(), wave[:, 1].copy()
 
     def backwards(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        at = len(self.chunks)
-        while at:
-            taken, size = [], 0
-            while at and size < WAVE:
-                at -= 1
-                taken.insert(0, self.chunks[at])
-                size += taken[0].shape[1]
-            for stop in range(size, 0, -WAVE):
-                yield tuple(_part(taken, max(0, stop - WAVE), stop)[:, ::-1])
+        for stop in range(self.size, 0, -WAVE):
+            wave = self._read(max(0, stop - WAVE), stop)[::-1]
+            yield wave[:, 0].copy(), wave[:, 1].copy()
 
     def last(self) -> int | None:
-        return int(self.chunks[-1][0, -1]) if self.chunks else None
+        return int(self._read(self.size - 1, self.size)[0, 0]) if self.size else None
 
     def close(self) -> None:
-        for chunk in self.chunks:
-            self.store.free(chunk)
-        self.chunks = []
+        if self.path is not None:
+            os.unlink(self.path)
+        self.store.left += self.held
+        self.store.queues.remove(self)
+        self.chunks, self.ends, self.held, self.filed, self.path = [], [0], 0, 0, None
 
 
 def _range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:

@@ -123,4 +123,12 @@ def test_filters_keep_the_columns(spark, tables):
     assert clean.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in clean.select("doc_id").collect()) == ["3", "4", "5", "7", "7", "8", "None"]
     scored = pu_quality.classify(docs, labels)
-    assert scored.columns == [*docs.columns, "quality_score"] and scored.count() == len(ROWS)
+    assert scored.select("own.*").columns == docs.columns and scored.count() == len(ROWS)
+
+
+def test_own_columns_named_like_a_result_stay(spark, tables):
+    docs, labels, _ = tables
+    own = docs.withColumns({c: F.lit(7.5) for c in ("quality_score", "score", "own")})
+    kept = pu_quality.accepted(own, labels)
+    assert kept.columns == own.columns and kept.count()
+    assert {(r["quality_score"], r["score"], r["own"]) for r in kept.collect()} == {(7.5, 7.5, 7.5)}

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from roadpulse.llm import components, hashing, near
 
@@ -62,3 +63,32 @@ def test_signatures_estimate_similarity():
     sig = near.signatures(value, cuts)
     a, b = set(value[: cuts[1]].tolist()), set(value[cuts[1] :].tolist())
     assert abs((sig[0] == sig[1]).mean() - len(a & b) / len(a | b)) < 0.12
+
+
+def test_ids_that_repeat_with_other_texts(spark):
+    """Rows go, not ids: against all pairs of rows."""
+    rng = random.Random(12)
+
+    def text(name, n=60):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    near_copy = text("a").replace("a30", "x")
+    rows = [
+        (5, text("a"), "first"), (9, near_copy, "near copy of 5"), (9, text("b"), "unique, same id"),
+        (7, text("c"), "one text of 7"), (7, text("d"), "another of 7"), (8, text("c"), "copy of 7's"),
+        (6, text("d").replace("d30", "y"), "near 7's, smaller id"),
+        (3, text("e"), "same row"), (3, text("e"), "same row"), (3, text("e") + "\n", "same set, other text"),
+        (4, None, "no text"), (4, None, "no text"), (4, "", "empty"), (None, text("a"), "no id"), (None, None, "neither"),
+    ]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string").withColumn("key", F.lit("own"))
+    for _ in range(2):
+        kept = near.without_near_duplicates(docs.repartition(rng.randint(1, 5)), 80)
+        assert kept.columns == docs.columns
+        got = sorted((r["doc_id"] or 0, r["note"]) for r in kept.collect())
+        want = [(0, "neither"), (0, "no id"), (3, got[2][1]), (4, "empty"), (4, "no text"), (5, "first")]
+        want += [(6, "near 7's, smaller id"), (7, "one text of 7"), (9, "unique, same id")]
+        assert got == sorted(want) and got[2][1] in ("same row", "same set, other text")
+    found = {(r["doc_id"], r["component_id"]) for r in near.near_duplicates(docs, 80).collect()}
+    # The groups of 7's two texts stay apart.
+    assert {(7, 7), (7, 6), (8, 7), (6, 6), (9, 5), (9, 9)} <= found and (8, 6) not in found

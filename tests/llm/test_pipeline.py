@@ -26,7 +26,7 @@ def test_stages_take_effect_in_order(spark):
     assert {r["doc_id"] for r in first.collect()} == {k for k, v in scores.items() if v}
 
     second = stages[1](spark, first, SF).cache()
-    kept = near.near_duplicates(first).filter("kept").select("doc_id").collect()
+    kept = near.near_duplicates(first, corpus_pipeline.SIMILAR).filter("kept").select("doc_id").collect()
     assert sorted(r["doc_id"] for r in second.collect()) == sorted(r["doc_id"] for r in kept)
 
     third = stages[2](spark, second, SF).cache()

@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter
 
@@ -86,3 +87,35 @@ def test_long_texts_in_parts(monkeypatch):
         _, low, many, *_ = repeats.segments(part, 20, 4)
         seen += [base + a + k for a, m in zip(low, many) for k in range(m)]
     assert sorted(seen) == list(range(481))
+
+
+def test_a_shard_far_over_the_budget(tmp_path, monkeypatch):
+    """What queues hold in memory stays within the budget, and a queue that went to disk keeps no file open."""
+    rng = np.random.default_rng(7)
+    letters = rng.integers(1, 200, 300_000).astype(np.int16)
+    letters[100_000:100_400] = letters[200_000:200_400]
+    letters = np.append(letters, np.int16(0))
+    budget, most, files = 100_000, [0], [0]
+    push = suffixes._Queue.push
+
+    def watched(queue, place, common):
+        push(queue, place, common)
+        most[0] = max(most[0], sum(q.held for q in queue.store.queues))
+        files[0] = max(files[0], len(os.listdir("/proc/self/fd")))
+
+    monkeypatch.setattr(suffixes._Queue, "push", watched)
+    before = len(os.listdir("/proc/self/fd"))
+    found = suffixes.repeated(letters, 40, budget)
+    want = [*range(100_000, 100_361), *range(200_000, 200_361)]
+    assert found.tolist() == want
+    assert most[0] <= budget and files[0] < before + 20
+    assert letters.nbytes * 12 > 10 * budget
+
+
+def test_numbers_of_left_and_right_bytes():
+    data = np.frombuffer(b"abcdefghij", np.uint8)
+    start, size = np.array([0, 2, 8]), np.array([3, 0, 2])
+    left = repeats._packed(data, start, size, 3, True)
+    assert left.tolist() == [int.from_bytes(b"abc"), 0, int.from_bytes(b"ij")]
+    right = repeats._packed(data, start, size, 3, False)
+    assert right.tolist() == [int.from_bytes(b"abc"), 0, int.from_bytes(b"ij\0")]

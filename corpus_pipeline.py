@@ -7,7 +7,6 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the las
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roadpulse.llm import decontamination, near, packing, pu_quality, repeats
 from roadpulse.llm.common import table
@@ -16,8 +15,7 @@ from roadpulse.session import materialize
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    scored = pu_quality.classify(docs, table(spark, sf_dir, "labels"))
-    return scored.filter(F.col("quality_score") >= pu_quality.LIMIT).select(*docs.columns)
+    return pu_quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 #: Near copies are texts whose sets of five-word shingles are at least so similar, in percent.

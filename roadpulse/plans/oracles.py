@@ -209,6 +209,7 @@ def all_oracles() -> dict[str, str]:
             f"SELECT * FROM ({_EMERGENCY_SERIES}) WHERE bucket_start + INTERVAL 1 HOUR "
             "<= (SELECT max(timestamp) - INTERVAL 2 MINUTES FROM emergency_data)"
         ),
+        "series_emergency_live": _EMERGENCY_SERIES,
         **{f"land_{t}": _topic_rows(t) for t in TOPICS},
         "resume_no_duplicates": _topic_rows(GPS),
         "land_all_topics": _each_topic(
@@ -288,6 +289,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "parse_position": f"SELECT id, camera_id, lat, lon FROM {TRAFFIC}",
         "quarantine": _QUARANTINE,
+        "checked_sound": f"SELECT id, vehicle_id, timestamp, speed FROM ({_DAMAGED}) WHERE problem IS NULL",
         "dedup_by_id": (
             f"SELECT * FROM ({_topic_rows(GPS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 17 <> 0 "
             f"UNION ALL SELECT NULL AS id, g.* EXCLUDE (id, copy) FROM "

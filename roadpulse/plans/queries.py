@@ -45,8 +45,9 @@ from roadpulse.schemas import (
 from roadpulse.session import materialize, pin_utc, scratch_path
 from roadpulse.sources.files import read_log_topic, write_log
 from roadpulse.sources.landed import read_landed, register_tables, sql
+from roadpulse.streaming.batches import land_checked, land_series, read_checked, read_series
 from roadpulse.streaming.ingest import ingest, run, start_all, supervise
-from roadpulse.streaming.live import gps_position_stream, quarantine
+from roadpulse.streaming.live import gps_position_stream
 from roadpulse.streaming.sinks import parquet_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,6 +212,16 @@ def series_emergency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_written(series(rows, emergency_measures()), "series"))
 
 
+def series_emergency_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hours, also the one under way, after three runs over a log that grows by late rows as well."""
+    pin_utc(spark)
+    base = scratch_path(spark, "series-live")
+    for path in _waves(spark, sf_dir, "series-log"):
+        rows = decode(read_log_topic(spark, path, EMERGENCY), EMERGENCY, ("timestamp", "type"))
+        run(land_series(rows, emergency_measures(), base, trigger="available"))
+    return _plain(read_series(spark, rows, emergency_measures(), base))
+
+
 # Producer operations
 
 
@@ -349,12 +360,23 @@ def parse_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Hardening
 
 
-def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the damaged messages leave in the side table."""
+def checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The damaged messages, landed with their checks in one pass."""
     pin_utc(spark)
+    base = scratch_path(spark, "checked")
     rows = damaged(stream_steps(spark, sf_dir), "event_id")
-    _, unsound = quarantine(rows, GPS, "event_id")
-    return _written(unsound, "quarantine").select("event_id", "value", "problem")
+    run(land_checked(rows, GPS, base, "event_id", trigger="available"))
+    return read_checked(spark, GPS, base, "event_id BIGINT")
+
+
+def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the damaged messages leave in the side table."""
+    return checked(spark, sf_dir)[1]
+
+
+def checked_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What they leave in the table itself."""
+    return _plain(checked(spark, sf_dir)[0].select("id", "vehicle_id", "timestamp", "speed"))
 
 
 def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +423,7 @@ def all_queries() -> dict[str, Query]:
         "decode_edge_cases": decode_edge_cases,
         "late_rows_kept": late_rows_kept,
         "series_emergency_stream": series_emergency_stream,
+        "series_emergency_live": series_emergency_live,
         **{f"land_{t}": land_topic(t) for t in TOPICS},
         "resume_no_duplicates": resume_no_duplicates,
         "land_all_topics": land_all_topics,
@@ -429,6 +452,7 @@ def all_queries() -> dict[str, Query]:
         "sql_adhoc": sql_adhoc,
         "parse_position": parse_position,
         "quarantine": quarantined,
+        "checked_sound": checked_sound,
         "dedup_by_id": dedup_by_id,
         "late_rows": late_rows,
         "range_violations": range_violations,

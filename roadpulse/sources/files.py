@@ -47,6 +47,12 @@ def same_place(spark: SparkSession, one: str, other: str) -> bool:
     return full[0].rstrip("/") == full[1].rstrip("/")
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files and folders that a pattern names, in order."""
+    files, target = _at(spark, pattern)
+    return sorted(str(status.getPath()) for status in files.globStatus(target) or ())
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """When a file or folder was last changed."""
     files, target = _at(spark, path)

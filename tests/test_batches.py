@@ -1,0 +1,141 @@
+"""Streams written batch by batch: runs that are cut short and started again, and batches that come twice."""
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from roadpulse.operators.decode import decode, decode_checked
+from roadpulse.operators.series import emergency_measures, series
+from roadpulse.plans.steps import damaged, messages, read_steps
+from roadpulse.schemas import EMERGENCY, GPS
+from roadpulse.session import scratch_path
+from roadpulse.sources.files import read_log_topic, write_log
+from roadpulse.streaming import batches
+from roadpulse.streaming.ingest import run
+
+FILES = 4
+
+
+@pytest.fixture
+def damaged_files(spark, sf_dir):
+    """Damaged messages in several files, as a stream that takes one at a time; and as a table."""
+    path = scratch_path(spark, "damaged")
+    damaged(read_steps(spark, sf_dir), "event_id").repartition(FILES, "event_id").write.parquet(path)
+    table = spark.read.parquet(path)
+    return table, lambda: spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _rows(df):
+    return sorted(str(tuple(r)) for r in df.collect())  # as text, in which NaN equals itself
+
+
+def _expected(table):
+    all_rows = decode_checked(table, GPS, "event_id")
+    sound = all_rows.where("problem is null").drop("value", "problem", "event_id")
+    return _rows(sound), _rows(all_rows.where("problem is not null").select("event_id", "value", "problem"))
+
+
+def test_one_query_lands_sound_rows_and_bad_messages(spark, damaged_files):
+    table, stream = damaged_files
+    base = scratch_path(spark, "checked")
+    query = batches.land_checked(stream(), GPS, base, "event_id", trigger="available")
+    run(query)
+    sound, bad = batches.read_checked(spark, GPS, base, "event_id BIGINT")
+    assert (_rows(sound), _rows(bad)) == _expected(table)
+    assert sound.count() + bad.count() == table.count() and bad.count() > 0
+    # Each message is read once for both tables.
+    read = [p["numInputRows"] for p in query.recentProgress]
+    assert len([n for n in read if n]) == FILES and sum(read) == table.count()
+
+
+@pytest.mark.parametrize("when", ["before", "half", "after"])
+def test_a_batch_cut_short_is_neither_lost_nor_doubled(spark, damaged_files, monkeypatch, when):
+    table, stream = damaged_files
+    base = scratch_path(spark, f"cut-{when}")
+    whole = batches.write_batch
+
+    def failing(df, folder, number, partition_by=()):
+        if number == 1:
+            if when == "half":  # some files of the batch, no mark of success
+                part = df.where("event_id % 2 = 0").write.mode("overwrite").partitionBy(*partition_by)
+                part.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{folder}/batch=1")
+            elif when == "after":
+                whole(df, folder, number, partition_by)
+            raise RuntimeError("lost")
+        whole(df, folder, number, partition_by)
+
+    monkeypatch.setattr(batches, "write_batch", failing)
+    with pytest.raises(StreamingQueryException):
+        run(batches.land_checked(stream(), GPS, base, "event_id", trigger="available"))
+    sound, bad = batches.read_checked(spark, GPS, base, "event_id BIGINT")
+    seen = sound.count() + bad.count()
+    assert 0 < seen < table.count()  # whole batches only
+    monkeypatch.setattr(batches, "write_batch", whole)
+    run(batches.land_checked(stream(), GPS, base, "event_id", trigger="available"))
+    sound, bad = batches.read_checked(spark, GPS, base, "event_id BIGINT")
+    assert (_rows(sound), _rows(bad)) == _expected(table)
+
+
+def test_nothing_landed_yet(spark):
+    sound, bad = batches.read_checked(spark, GPS, scratch_path(spark, "nothing"), "event_id BIGINT")
+    assert sound.count() == bad.count() == 0 and bad.columns == ["event_id", "value", "problem"]
+
+
+def _waves(spark, sf_dir, path, n=3):
+    for wave in range(n):
+        part = read_steps(spark, sf_dir).where(F.col("event_id") % n == wave)
+        write_log(messages(part, EMERGENCY), path)
+        yield wave
+
+
+def _emergencies(spark, path):
+    return decode(read_log_topic(spark, path, EMERGENCY), EMERGENCY, ("timestamp", "type"))
+
+
+def test_the_table_equals_the_batch_after_every_run(spark, sf_dir):
+    """Each run brings rows to hours that are closed, open and new; none is left out."""
+    path, base = scratch_path(spark, "series-log"), scratch_path(spark, "series-live")
+    measures = emergency_measures()
+    for _ in _waves(spark, sf_dir, path):
+        stream = _emergencies(spark, path)
+        run(batches.land_series(stream, measures, base, trigger="available"))
+        so_far = decode(spark.read.parquet(f"{path}/topic={EMERGENCY}"), EMERGENCY, ("timestamp", "type"))
+        got = _rows(batches.read_series(spark, stream, measures, base))
+        assert got == _rows(series(so_far, measures)) and got
+
+
+def test_a_batch_of_buckets_that_comes_twice_changes_nothing(spark, sf_dir, monkeypatch):
+    path, base = scratch_path(spark, "twice-log"), scratch_path(spark, "twice")
+    measures = emergency_measures()
+    list(_waves(spark, sf_dir, path, 2))
+    stream = _emergencies(spark, path)
+    foreach = type(stream.writeStream).foreachBatch
+
+    def twice(writer, function):
+        def write(batch, number):
+            function(batch, number)
+            function(batch, number)
+            if not failed:
+                failed.append(number)
+                raise RuntimeError("lost after the write")
+
+        return foreach(writer, write)
+
+    failed = []
+    monkeypatch.setattr(type(stream.writeStream), "foreachBatch", twice)
+    with pytest.raises(StreamingQueryException):
+        run(batches.land_series(stream, measures, base, trigger="available"))
+    run(batches.land_series(stream, measures, base, trigger="available"))
+    so_far = decode(spark.read.parquet(f"{path}/topic={EMERGENCY}"), EMERGENCY, ("timestamp", "type"))
+    assert _rows(batches.read_series(spark, stream, measures, base)) == _rows(series(so_far, measures))
+
+
+def test_rows_behind_a_declared_delay_are_left_out(spark):
+    path, base = scratch_path(spark, "late-log"), scratch_path(spark, "late")
+    measures = [F.count("*").alias("n_records")]
+    for clock in ("10:00", "12:30", "10:10", "12:40"):
+        text = f'{{"id":"x","timestamp":"2024-01-01T{clock}:00","type":"Fire"}}'
+        write_log(spark.createDataFrame([(bytearray(text.encode()), EMERGENCY)], "value binary, topic string"), path)
+        run(batches.land_series(_emergencies(spark, path), measures, base, delay="2 minutes", trigger="available"))
+    got = batches.read_series(spark, _emergencies(spark, path), measures, base).collect()
+    assert sorted((r["bucket_start"].hour, r["n_records"]) for r in got) == [(10, 1), (12, 2)]

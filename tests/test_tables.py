@@ -57,47 +57,63 @@ def _key(row):
     return tuple((v is not None, v) for v in row)
 
 
-@pytest.mark.parametrize("partitions", ["1", "3", "16"])
-def test_routes_against_brute_force(spark, conf, partitions):
-    conf("spark.sql.shuffle.partitions", partitions)
-    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    rows = _hot_fleet()
-    got = places.routes(_vehicles(spark, rows)).collect()
-    want = []
+def _routes_by_hand(rows):
     by_vehicle = collections.defaultdict(list)
     for id_, v, t, loc, _ in rows:
         if v is not None and _position(loc) is not None:
             by_vehicle[v].append((t, id_, *_position(loc)))
+    want = []
     for v, points in by_vehicle.items():
-        for seq, point in enumerate(sorted(points, key=_key), 1):
-            want.append((v, seq, *point))
-    assert sorted(map(tuple, got), key=_key) == sorted(want, key=_key)
+        want += [(v, seq, *point) for seq, point in enumerate(sorted(points, key=_key), 1)]
+    return sorted(want, key=_key)
 
 
-def test_routes_slices_are_even_whatever_the_skew(spark, conf):
-    """No slice of the sorted points holds much more than its part, copies or not."""
+@pytest.mark.parametrize("range_rows", [10**6, 40, 7])
+@pytest.mark.parametrize("partitions", ["1", "3", "16"])
+def test_routes_against_brute_force(spark, conf, partitions, range_rows):
+    conf("spark.sql.shuffle.partitions", partitions)
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = _hot_fleet()
+    got = places.routes(_vehicles(spark, rows), range_rows).collect()
+    assert sorted(map(tuple, got), key=_key) == _routes_by_hand(rows)
+
+
+def _counts(df, *columns):
+    return [r["count"] for r in df.groupBy(*columns).count().collect()]
+
+
+def test_a_busy_vehicle_is_cut_into_even_ranges(spark):
+    """By time, however unevenly its records lie in it."""
+    rows = [(f"i{n}", "hot", START + dt.timedelta(seconds=n if n % 3 else n * n), "[51.9,-1.0]", 1.0) for n in range(20000)]
+    rows += [(f"c{n}", f"cold{n % 50}", START + dt.timedelta(seconds=n), "[51.9,-1.0]", 1.0) for n in range(5000)]
+    ranged, instants = places.in_ranges(_vehicles(spark, rows), 1000)
+    hot = _counts(ranged.where("vehicle_id = 'hot'"), "_range")
+    assert not instants and sum(hot) == 20000 and len(hot) >= 18 and max(hot) < 1500
+    assert _counts(ranged.where("vehicle_id <> 'hot'"), "vehicle_id", "_range") == [100] * 50
+    assert sorted(map(tuple, places.routes(_vehicles(spark, rows), 1000).collect()), key=_key) == _routes_by_hand(rows)
+
+
+def test_copies_of_one_record_are_counted_and_spread(spark, conf, monkeypatch):
+    """A third of all rows is one record, another lot has no time; no task sorts or sends out a pile of copies."""
+    monkeypatch.setattr(places, "COPY_ROWS", 500)
     conf("spark.sql.shuffle.partitions", "8")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    rows = [("same", "hot", START, "[51.9,-1.0]", 1.0)] * 20000
-    seen = []
-    original = places.materialize
-
-    def watched(df, name):
-        table = original(df, name)
-        if name != "routes":
-            return table
-        seen.extend(r["count"] for r in table.groupBy("_slice").count().collect())
-        return table
-
-    places.materialize = watched
-    try:
-        routes = places.routes(_vehicles(spark, rows))
-    finally:
-        places.materialize = original
-    assert sum(seen) == 20000 and len(seen) == 8
-    assert max(seen) < 3 * 20000 / 8
-    numbered = routes.agg(F.count_distinct("seq"), F.min("seq"), F.max("seq")).first()
-    assert tuple(numbered) == (20000, 1, 20000)
+    rows = [("same", "hot", START, "[51.9,-1.0]", 1.0)] * 10000
+    rows += [("none", "hot", None, "[51.9,-1.0]", 1.0)] * 5000
+    rows += [(f"i{n}", "hot", START + dt.timedelta(seconds=n - 3000), "[51.9,-1.0]", 1.0) for n in range(6000)]
+    vehicle = _vehicles(spark, rows)
+    ranged, instants = places.in_ranges(vehicle, 1000)
+    assert instants and max(_counts(ranged.where("not _single"), "_range")) < 1500
+    routes = places.routes(vehicle, 1000)
+    assert sorted(map(tuple, routes.collect()), key=_key) == _routes_by_hand(rows)
+    copies = places._numbered_copies(ranged, ["vehicle_id", "_range"], ("timestamp", "id", "lat", "lon"))
+    per_task = _counts(copies.withColumn("task", F.spark_partition_id()), "task")
+    assert sum(per_task) >= 15000 and len(per_task) == 8 and max(per_task) < 0.4 * sum(per_task)
+
+
+def test_routes_write_nothing(spark, monkeypatch):
+    monkeypatch.setattr(places, "materialize", None)
+    assert places.routes(_vehicles(spark, _hot_fleet()), 20).count() > 0
 
 
 def test_latest_position_against_brute_force(spark):

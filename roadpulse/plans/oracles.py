@@ -224,6 +224,10 @@ def all_oracles() -> dict[str, str]:
         "envelope": _each_topic(
             "SELECT id AS message_key, '{topic}' AS topic, id, vehicle_id, timestamp FROM {topic}"
         ),
+        "delivery_report": _each_topic(
+            "SELECT '{topic}' AS topic, count(*) AS n_messages, 0::BIGINT AS n_keyless, 0::BIGINT AS bytes_apart "
+            "FROM {topic}"
+        ),
         "first_arrival": _ARRIVALS,
         "trim_at_arrival": (
             f"SELECT v.id, v.vehicle_id, v.timestamp FROM vehicle_data v LEFT JOIN ({_ARRIVALS}) a "

@@ -46,8 +46,10 @@ from roadpulse.session import materialize, pin_utc, scratch_path
 from roadpulse.sources.files import read_log_topic, write_log
 from roadpulse.sources.landed import read_landed, register_tables, sql
 from roadpulse.streaming.batches import land_checked, land_series, read_checked, read_series
+from roadpulse.streaming.delivery import read_report
 from roadpulse.streaming.ingest import ingest, run, start_all, supervise
 from roadpulse.streaming.live import gps_position_stream
+from roadpulse.streaming.publish import publish_reported
 from roadpulse.streaming.sinks import parquet_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,6 +263,27 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was reported of publishing all messages, and by how much its bytes differ from those that arrived."""
+    pin_utc(spark)
+    base = scratch_path(spark, "delivery")
+    sent = envelopes(stream_steps(spark, sf_dir), "partition", "offset", "timestamp")
+    query, report = publish_reported(
+        sent, fresh_options(spark, "delivery"), f"{base}/checkpoint", f"{base}/report", f"{base}/log"
+    )
+    run(query)
+    if not report.close():
+        raise TimeoutError("no end of the query was reported")
+    arrived = spark.read.parquet(f"{base}/log").groupBy("topic").agg(F.sum(F.octet_length("value")).alias("arrived"))
+    return (
+        read_report(spark, f"{base}/report")
+        .groupBy("topic")
+        .agg(F.sum("messages").alias("n_messages"), F.sum("keyless").alias("n_keyless"), F.sum("bytes").alias("bytes"))
+        .join(arrived, "topic", "left")
+        .select("topic", "n_messages", "n_keyless", (F.col("bytes") - F.col("arrived")).alias("bytes_apart"))
+    )
+
+
 def first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(places.first_arrival(landed(spark, sf_dir, VEHICLE)))
 
@@ -430,6 +453,7 @@ def all_queries() -> dict[str, Query]:
         "fanout_counts": fanout_counts,
         "json_roundtrip": json_roundtrip,
         "envelope": envelope,
+        "delivery_report": delivery_report,
         "first_arrival": first_arrival,
         "trim_at_arrival": trim_at_arrival,
         "entries_per_table": entries_per_table,

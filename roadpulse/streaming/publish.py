@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.options import Options
 from roadpulse.sources import kafka
+from roadpulse.streaming.delivery import DeliveryReport, observed
 from roadpulse.streaming.sinks import parquet_writer, with_trigger
 
 
@@ -20,3 +21,15 @@ def publish(
     if log is None:
         return with_trigger(kafka.stream_publisher(messages, options, checkpoint), options.trigger).start()
     return parquet_writer(messages, log, checkpoint, options.trigger).partitionBy("topic").start()
+
+
+def publish_reported(
+    messages: DataFrame, options: Options, checkpoint: str, report: str, log: str | None = None
+) -> tuple[StreamingQuery, DeliveryReport]:
+    """`publish`, with a table of what was delivered under ``report``. Close the report after the query."""
+    spark = messages.sparkSession
+    listener = DeliveryReport(spark, report, options)
+    spark.streams.addListener(listener)
+    query = publish(observed(messages, options), options, checkpoint, log)
+    listener.follow(query)
+    return query, listener

@@ -9,16 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from roadpulse.operators.encode import envelopes
 from roadpulse.options import Options
 from roadpulse.plans.steps import events_path, messages, read_steps, stream_steps
-from roadpulse.schemas import TOPICS
+from roadpulse.schemas import STEP_KEY, TOPICS
 from roadpulse.session import pin_utc, scratch_path
 from roadpulse.sources.files import modified, write_log
-from roadpulse.sources.landed import read_landed
+from roadpulse.sources.landed import analyze, bucketed, read_landed
 from roadpulse.streaming.ingest import start_all, supervise
 
 # By application, folder and the time the events last changed.
 _options: dict[tuple[str, str, int], Options] = {}
 _landed: dict[tuple[str, str, int], set[str]] = {}
 _logs: dict[tuple[str, str, int], str] = {}
+_buckets: dict[tuple[str, str, int, str], str] = {}
+
+#: Enough for the tables at hand; a bucket should come to some 256 MB.
+BUCKETS = 8
 
 
 def _version(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
@@ -57,6 +61,19 @@ def landed(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return read_landed(spark, landed_options(spark, sf_dir, [topic]), topic)
 
 
+def landed_buckets(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """A topic's landed set as a table in buckets of steps, with statistics; made once per process."""
+    options = landed_options(spark, sf_dir, [topic])
+    key = (*_version(spark, sf_dir), topic)
+    if key not in _buckets:
+        path = scratch_path(spark, f"bucketed-{topic}")
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        bucketed(spark, options, topic, name, path, BUCKETS)
+        analyze(spark, [name], {name: STEP_KEY})
+        _buckets[key] = name
+    return spark.table(_buckets[key])
+
+
 def log_path(spark: SparkSession, sf_dir: str) -> str:
     """A message log of all five topics, written once per process in one pass over the events."""
     pin_utc(spark)

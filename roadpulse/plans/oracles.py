@@ -55,6 +55,12 @@ SELECT vehicle_id, min(timestamp) AS arrival FROM vehicle_data
 WHERE lat >= 52.4862 AND lon <= -1.8904 GROUP BY vehicle_id
 """
 
+_DENSITY = """
+SELECT CAST(floor(v.lat / 0.05) AS BIGINT) AS cell_lat, CAST(floor(v.lon / 0.05) AS BIGINT) AS cell_lon,
+       count(*) AS n_points
+FROM gps_data g JOIN vehicle_data v ON g.vehicle_id = v.vehicle_id AND g.timestamp = v.timestamp GROUP BY 1, 2
+"""
+
 _EMERGENCY_SERIES = """
 SELECT date_trunc('hour', timestamp) AS bucket_start, count(*) AS n_records,
        CAST(count(*) FILTER (WHERE type <> 'None') AS BIGINT) AS n_incidents
@@ -268,12 +274,8 @@ def all_oracles() -> dict[str, str]:
             "PARTITION BY vehicle_id ORDER BY timestamp DESC, id DESC) AS n FROM vehicle_data) "
             "WHERE n = 1"
         ),
-        "gps_density": (
-            "SELECT CAST(floor(v.lat / 0.05) AS BIGINT) AS cell_lat, "
-            "CAST(floor(v.lon / 0.05) AS BIGINT) AS cell_lon, count(*) AS n_points "
-            "FROM gps_data g JOIN vehicle_data v "
-            "ON g.vehicle_id = v.vehicle_id AND g.timestamp = v.timestamp GROUP BY 1, 2"
-        ),
+        "gps_density": _DENSITY,
+        "gps_density_bucketed": _DENSITY,
         "share_weather": _share(WEATHER, "weatherCondition"),
         "share_incident_type": _share(EMERGENCY, "type"),
         "share_incident_status": _share(EMERGENCY, "status"),

@@ -22,6 +22,7 @@ from roadpulse.plans.landing import (
     fresh_options,
     land_topics,
     landed,
+    landed_buckets,
     landed_options,
     log_path,
 )
@@ -333,6 +334,11 @@ def gps_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.gps_density(tables[GPS], tables[VEHICLE])
 
 
+def gps_density_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables laid out for it: both sides are counted and joined without an exchange."""
+    return places.gps_density(landed_buckets(spark, sf_dir, GPS), landed_buckets(spark, sf_dir, VEHICLE))
+
+
 def share(topic: str, column: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         shares = fleet.category_share(landed(spark, sf_dir, topic), column)
@@ -466,6 +472,7 @@ def all_queries() -> dict[str, Query]:
         "vehicle_route": vehicle_route,
         "latest_position": latest_position,
         "gps_density": gps_density,
+        "gps_density_bucketed": gps_density_bucketed,
         "share_weather": share(WEATHER, "weatherCondition"),
         "share_incident_type": share(EMERGENCY, "type"),
         "share_incident_status": share(EMERGENCY, "status"),

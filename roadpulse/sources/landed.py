@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.options import Options
-from roadpulse.schemas import DATE_COLUMN, EVENT_TIME, TOPICS, get_schema
+from roadpulse.schemas import DATE_COLUMN, EVENT_TIME, STEP_KEY, TOPICS, get_schema
 from roadpulse.sources.files import same_place, table_bytes
 
 
@@ -105,3 +105,41 @@ def compact(
     else:
         table.repartition(parts).write.parquet(target)
     return spark.read.schema(get_schema(topic)).parquet(target)
+
+
+def bucketed(
+    spark: SparkSession,
+    options: Options,
+    topic: str,
+    table: str,
+    target: str,
+    buckets: int,
+    by: Sequence[str] = STEP_KEY,
+) -> DataFrame:
+    """Rewrite a landed table as a catalog table of buckets under ``target``, one sorted file each.
+
+    Tables with the same buckets by the same columns are joined, and grouped, by these without an exchange. The step
+    of a record is its vehicle and time, so that a busy vehicle lies in all buckets, as if its key were salted; buckets
+    by ``vehicle_id`` alone would put it into one. The number of buckets is for good: choose some 256 MB a bucket.
+    """
+    (
+        read_landed(spark, options, topic)
+        .repartition(buckets, *by)
+        .write.bucketBy(buckets, *by)
+        .sortBy(*by)
+        .option("path", target)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
+
+
+def analyze(spark: SparkSession, tables: Sequence[str], columns: Mapping[str, Sequence[str]] | None = None) -> None:
+    """Count rows and measure columns of catalog tables, for the cost-based planner (``spark.sql.cbo.enabled``).
+
+    To be called after landing or compaction: statistics do not follow the files. ``columns`` names those of
+    a table to be measured; others get distinct counts, nulls and ranges of all columns, in one pass each.
+    """
+    for table in tables:
+        of = (columns or {}).get(table)
+        which = "ALL COLUMNS" if of is None else "COLUMNS " + ", ".join(f"`{c}`" for c in of)
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR {which}")

@@ -70,13 +70,24 @@ def drop_repeats(table: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     return single.unionByName(table.where(~_known(keys)))
 
 
-def late_rows(decoded: DataFrame, delay: str = "2 minutes", chunk: int = CHUNK) -> DataFrame:
+ORIGIN_KEY = ("source_topic", "source_partition")
+
+
+def late_rows(
+    decoded: DataFrame, delay: str = "2 minutes", chunk: int = CHUNK, before: DataFrame | None = None
+) -> DataFrame:
     """Rows decoded with their origin, labelled ``late`` where the event time is behind the latest
-    one seen so far on the same topic partition by more than ``delay``."""
-    key = ["source_topic", "source_partition"]
-    seen = running(decoded, key, "source_offset", maxima={"_seen": EVENT_TIME}, chunk=chunk)
+    one seen so far on the same topic partition by more than ``delay``.
+
+    ``before`` has the latest time ``seen`` ahead of these rows, one row per topic partition.
+    """
+    seen = running(decoded, ORIGIN_KEY, "source_offset", maxima={"_seen": EVENT_TIME}, chunk=chunk)
+    if before is not None:
+        earlier = before.toDF("_topic", "_partition", "_before")
+        same = F.col("source_topic").eqNullSafe(F.col("_topic")) & F.col("source_partition").eqNullSafe(F.col("_partition"))
+        seen = seen.join(earlier, same, "left").withColumn("_seen", F.greatest("_seen", "_before"))
     late = F.col(EVENT_TIME) < F.col("_seen") - F.expr(f"INTERVAL {delay}")
-    return seen.withColumn("late", F.coalesce(late, F.lit(False))).drop("_seen")
+    return seen.select(*decoded.columns, F.coalesce(late, F.lit(False)).alias("late"))
 
 
 def range_violations(

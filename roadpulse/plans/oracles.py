@@ -303,6 +303,7 @@ def all_oracles() -> dict[str, str]:
             f"AS copy FROM ({_topic_rows(GPS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 17 = 0) g"
         ),
         "late_rows": _LATE,
+        "late_rows_stream": _LATE,
         "range_violations": " UNION ALL ".join(_outside(*r) for r in _RANGES),
         "gps_position_stream": (
             "SELECT g.id, g.vehicle_id, g.timestamp, g.speed, v.lat, v.lon "

@@ -46,7 +46,14 @@ from roadpulse.schemas import (
 from roadpulse.session import materialize, pin_utc, scratch_path
 from roadpulse.sources.files import read_log_topic, write_log
 from roadpulse.sources.landed import read_landed, register_tables, sql
-from roadpulse.streaming.batches import land_checked, land_series, read_checked, read_series
+from roadpulse.streaming.batches import (
+    land_checked,
+    land_late,
+    land_series,
+    read_checked,
+    read_late,
+    read_series,
+)
 from roadpulse.streaming.delivery import read_report
 from roadpulse.streaming.ingest import ingest, run, start_all, supervise
 from roadpulse.streaming.live import gps_position_stream
@@ -429,6 +436,22 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same live, from a log that grows in three parts by offset."""
+    pin_utc(spark)
+    path, base = scratch_path(spark, "late-log"), scratch_path(spark, "late-stream")
+    sent = messages(read_steps(spark, sf_dir), EMERGENCY)
+    third = (sent.agg(F.max("offset")).first()[0] + 3) // 3
+    for part in range(3):
+        write_log(sent.where(F.floor(F.col("offset") / third) == part), path)
+        rows = decode(read_log_topic(spark, path, EMERGENCY), EMERGENCY, keep_origin=True)
+        run(land_late(rows, base, trigger="available"))
+    labelled = read_late(spark, rows, base)
+    return labelled.select(
+        "id", "source_partition", "source_offset", F.col("late").cast("int").alias("late")
+    )
+
+
 def range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.range_violations(_tables(spark, sf_dir, *quality.RANGES))
 
@@ -486,6 +509,7 @@ def all_queries() -> dict[str, Query]:
         "checked_sound": checked_sound,
         "dedup_by_id": dedup_by_id,
         "late_rows": late_rows,
+        "late_rows_stream": late_rows_stream,
         "range_violations": range_violations,
         "gps_position_stream": position_stream,
     }

@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from roadpulse.operators.decode import decode_checked
+from roadpulse.operators.quality import ORIGIN_KEY, late_rows
+from roadpulse.operators.running import CHUNK
 from roadpulse.operators.series import WIDTH, series
 from roadpulse.schemas import EVENT_TIME, get_schema
 from roadpulse.sources.files import matching
@@ -35,6 +37,14 @@ def read_batches(spark: SparkSession, base: str, schema: StructType) -> DataFram
     return spark.read.schema(schema).option("basePath", base).parquet(*whole).select(*schema.names)
 
 
+def read_batch(spark: SparkSession, base: str, number: int, schema: StructType) -> DataFrame:
+    """Rows of one batch, none if it was not written whole."""
+    path = f"{base}/{BATCH}={number}"
+    if not matching(spark, f"{path}/_SUCCESS"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def _checked(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
     """Decoded rows with their outcome; the text is kept of bad messages only."""
     bad = F.col("problem").isNotNull()
@@ -76,6 +86,34 @@ def read_checked(spark: SparkSession, topic: str, base: str, keep: str = "") ->
     return sound, rows.where(F.col(OUTCOME) == QUARANTINED).select(*kept.names, "value", "problem")
 
 
+def land_late(
+    decoded: DataFrame, base: str, delay: str = "2 minutes", chunk: int = CHUNK, trigger: str | None = None
+) -> StreamingQuery:
+    """Start landing rows decoded with their origin, each labelled ``late`` or not as `late_rows` does.
+
+    The state between batches is one row per topic partition, the latest time seen; within a batch, a busy
+    partition is cut into chunks of offsets. Batches must bring the offsets of a partition in order, as a broker's do.
+    Where they begin and end does not show in the labels.
+    """
+    spark = decoded.sparkSession
+    state = StructType([*(decoded.schema[c] for c in ORIGIN_KEY), decoded.schema[EVENT_TIME]])
+
+    def write(batch: DataFrame, number: int) -> None:
+        before = read_batch(spark, f"{base}/seen", number - 1, state)
+        write_batch(late_rows(batch, delay, chunk, before), f"{base}/data", number)
+        rows = read_batch(spark, f"{base}/data", number, decoded.schema).select(*state.names)
+        seen = before.unionByName(rows).groupBy(*ORIGIN_KEY).agg(F.max(EVENT_TIME).alias(EVENT_TIME))
+        write_batch(seen, f"{base}/seen", number)
+
+    writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
+    return with_trigger(writer, trigger).start()
+
+
+def read_late(spark: SparkSession, decoded: DataFrame, base: str) -> DataFrame:
+    """What `land_late` has landed of such rows."""
+    return read_batches(spark, f"{base}/data", StructType([*decoded.schema.fields, *StructType.fromDDL("late BOOLEAN").fields]))
+
+
 def land_series(
     decoded: DataFrame,
     measures: Sequence[Column],

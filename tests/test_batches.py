@@ -1,5 +1,7 @@
 """Streams written batch by batch: runs that are cut short and started again, and batches that come twice."""
 
+import random
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -139,3 +141,39 @@ def test_rows_behind_a_declared_delay_are_left_out(spark):
         run(batches.land_series(_emergencies(spark, path), measures, base, delay="2 minutes", trigger="available"))
     got = batches.read_series(spark, _emergencies(spark, path), measures, base).collect()
     assert sorted((r["bucket_start"].hour, r["n_records"]) for r in got) == [(10, 1), (12, 2)]
+
+
+def _arrivals(seed=5, partitions=3, per_partition=40):
+    """(topic, partition, offset, second): times that jump back, missing times, a partition with most rows."""
+    rng = random.Random(seed)
+    rows = []
+    for p in range(partitions):
+        for offset in range(per_partition * (5 if p == 0 else 1)):
+            second = None if rng.random() < 0.1 else max(0, offset * 20 + rng.randint(-600, 100))
+            rows.append(("t", p, offset, second))
+    return rows
+
+
+@pytest.mark.parametrize("borders", [[20], [1, 2, 3, 40, 41], [199]])
+def test_labels_do_not_depend_on_where_batches_end(spark, borders):
+    arrivals = _arrivals()
+    base, path = scratch_path(spark, "late"), scratch_path(spark, "late-in")
+    ddl = "source_topic string, source_partition int, source_offset long, second long"
+
+    def frame(rows):
+        df = spark.createDataFrame(rows, ddl)
+        return df.withColumn("timestamp", F.timestamp_seconds(F.col("second") + 1704067200)).drop("second")
+
+    schema = frame([]).schema
+    for low, high in zip([0, *borders], [*borders, 10**6]):
+        rows = [r for r in arrivals if low <= r[2] < high]
+        frame(rows).repartition(2).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        run(batches.land_late(stream, base, "5 minutes", chunk=16, trigger="available"))
+    want, seen = [], {}
+    for topic, p, offset, second in sorted(arrivals, key=lambda r: r[1:3]):
+        if second is not None:
+            seen[p] = max(seen.get(p, second), second)
+        want.append((p, offset, second is not None and second < seen[p] - 300))
+    got = batches.read_late(spark, stream, base).select("source_partition", "source_offset", "late")
+    assert sorted(map(tuple, got.collect())) == sorted(want) and any(late for *_, late in want)

@@ -124,3 +124,24 @@ class Automaton:
         first[1:] = word[order][1:] != word[order][:-1]
         order = order[first]
         return word[order], entry[order], edits[order]
+
+
+class Lexicon:
+    """Automata over blocks of the entries: a table's states grow faster than its entries, so these are not all in one."""
+
+    def __init__(self, entries: list[Entry], block: int = 200):
+        self.entries = entries
+        self.blocks = [(k, Automaton(entries[k : k + block])) for k in range(0, len(entries), block)]
+
+    def find(self, data: np.ndarray, found: hashing.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As one automaton over all entries finds them: of a word, the entry of fewest edits, the first of equals."""
+        hits = []
+        for base, automaton in self.blocks:
+            word, entry, edits = automaton.find(data, found)
+            hits.append((word, entry + base, edits))
+        word, entry, edits = (np.concatenate([h[k] for h in hits]) for k in range(3))
+        order = np.lexsort((entry, edits, word))
+        first = np.ones(len(order), bool)
+        first[1:] = word[order][1:] != word[order][:-1]
+        order = order[first]
+        return word[order], entry[order], edits[order]

@@ -6,7 +6,8 @@ its words; no piece crosses from one word into the next, so the sum over the tex
 over its words. Piece probabilities are fitted by expectation maximisation (forward and backward) on
 the frequent words of a bounded sample of documents of known language.
 
-Runs of letters are the words; capitals are lowered. A run of over LONGEST bytes is cut there.
+Runs of letters are the words; capitals are lowered. Long runs, as scripts without spaces have them, are scored over
+all their segmentations too; for learning they are cut into parts of LONGEST bytes.
 
 Null texts and texts without a letter: `und`, score 0. A null doc_id counts as empty text in the fold and is not
 learned from. Repeated rows are answered each. Long texts are whole. Extra columns are ignored; an empty
@@ -33,7 +34,10 @@ UNDETERMINED = "und"
 #: Bounds of the sample: languages, the most frequent ones; documents and frequent words for each.
 LANGUAGES, DOCUMENTS, WORDS = 200, 1_500, 5_000
 ROUNDS = 4
+#: Longer runs of letters are learned from in parts of so many bytes, and scored whole: so many runs and bytes at a time,
+#: with numbers brought back into range after so many.
 LONGEST = 48
+TOGETHER, STEP, RESCALE = 256, 64, 16
 #: Numbers a task remembers at most, some for each word and language.
 REMEMBERED = 3_000_000
 VOCABULARY = "piece_bpe_32k.model"
@@ -144,13 +148,45 @@ class Model:
     def log_probabilities(self, words: list[bytes]) -> np.ndarray:
         """Of each word, in each language."""
         out = np.zeros((len(words), len(self.languages)))
-        for part, rows in by_length(words):
+        sizes = np.array([len(w) for w in words], np.int64)
+        # The mark that a run begins with comes on top.
+        long = np.flatnonzero(sizes > LONGEST + len(SPACE))
+        for part in np.array_split(long[np.argsort(sizes[long])], -(-len(long) // TOGETHER)) if len(long) else ():
+            out[part] = self._long([words[k] for k in part])
+        short = np.flatnonzero(sizes <= LONGEST + len(SPACE))
+        for part, rows in by_length([words[k] for k in short]):
+            part = short[part]
             size = rows.shape[1]
             total = forward(self.pieces.lattice(rows), self.p, len(rows), size)[size]
             out[part] = np.log(np.maximum(total, 1e-300)) - size * np.log(_SCALE)
         return out
 
 
+    def _long(self, words: list[bytes]) -> np.ndarray:
+        """The same for long words: the forward pass keeps what the longest piece reaches back to, brought back into
+        range now and then, and looks up pieces for STEP bytes at a time."""
+        sizes = np.array([len(w) for w in words])
+        back, n = self.pieces.longest, len(words)
+        out, scale = np.zeros((n, len(self.languages))), np.zeros((n, len(self.languages)))
+        ahead = [np.ones_like(out)]  # of the last ends, the newest first
+        for step in range(0, int(sizes.max()), STEP):
+            low = max(0, step - back + 1)
+            rows = np.stack([np.frombuffer(w[low : step + STEP].ljust(step + STEP - low, b"\0"), np.uint8) for w in words])
+            lattice = self.pieces.lattice(rows)
+            for end in range(step + 1, min(step + STEP, int(sizes.max())) + 1):
+                total = np.zeros_like(out)
+                for size in range(1, min(len(ahead), len(lattice)) + 1):
+                    total += ahead[size - 1] * self.p[lattice[size][:, end - size - low]]
+                ahead = [total, *ahead[: back - 1]]
+                done = sizes == end
+                out[done] = np.log(np.maximum(total[done], 1e-300)) + scale[done]
+                if end % RESCALE == 0:
+                    most = np.maximum(np.max(ahead, axis=0), 1e-300)
+                    ahead = [a / most for a in ahead]
+                    scale += np.log(most)
+        return out - sizes[:, None] * np.log(_SCALE)
+
+
 def _scaled(counts: np.ndarray, pieces: Pieces) -> np.ndarray:
     used = (pieces.length > 0)[:, None]
     p = np.where(used, counts + 0.02, 0)
@@ -186,13 +222,13 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def units(texts: hashing.Texts) -> tuple[np.ndarray, hashing.Words, np.ndarray]:
-    """(data, words, whether each begins a run of letters)."""
+def units(texts: hashing.Texts, cut: bool = False) -> tuple[np.ndarray, hashing.Words, np.ndarray]:
+    """(data, words, whether each begins a run of letters); with ``cut``, of LONGEST bytes at most."""
     data = hashing.without_marks(lowered(texts.data)) if len(texts.data) else texts.data
     found = hashing.words(hashing.Texts(data, texts.offsets), lower=False, inside=_INSIDE)
     parts = -(-(found.end - found.start) // LONGEST)
-    if not len(parts) or parts.max() == 1:
-        return data, found, np.ones(len(parts), bool)
+    if not cut or not len(parts) or parts.max() == 1:
+        return data, found, np.ones(len(found.start), bool)
     of = np.repeat(np.arange(len(parts)), parts)
     k = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
     start = found.start[of] + k * LONGEST
@@ -210,7 +246,7 @@ def _spelt(data: np.ndarray, found: hashing.Words, begins: np.ndarray, at: np.nd
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in hashing.pieces(batch):
-            data, found, begins = units(hashing.as_texts(piece.column("text")))
+            data, found, begins = units(hashing.as_texts(piece.column("text")), cut=True)
             langs, of = np.unique(np.array(piece.column("lang").to_pylist(), dtype=object).astype(str), return_inverse=True)
             both, first, times = np.unique(
                 np.stack([of[found.text].astype(np.uint64), found.hash]), axis=1, return_index=True, return_counts=True

@@ -20,7 +20,7 @@ crc AS (
 
 
 def quality_rules_sql() -> str:
-    bins, most = quality_rules.BINS, quality_rules.TRUSTED
+    bins = quality_rules.BINS
     return rf"""
 WITH words AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
@@ -29,15 +29,14 @@ WITH words AS (
 marked AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL
            GROUP BY doc_id HAVING min(quality) = 1),
 spot AS (SELECT r, doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
-strings AS (SELECT DISTINCT w[i] AS s FROM spot UNION SELECT doc_id::VARCHAR FROM marked),{_CRC},
-trusted AS (SELECT doc_id FROM marked JOIN crc ON s = doc_id::VARCHAR ORDER BY h, doc_id LIMIT {most}),
+strings AS (SELECT DISTINCT w[i] AS s FROM spot),{_CRC},
 ids AS (SELECT r, doc_id, i, h, lead(h) OVER (PARTITION BY r ORDER BY i) AS after FROM spot JOIN crc ON s = w[i]),
 grams AS (
   SELECT r, doc_id, h % {bins} AS bin FROM ids
   UNION ALL SELECT r, doc_id, (h * 31 + after) % {bins} FROM ids WHERE after IS NOT NULL),
 counts AS (
   SELECT bin, count(*) AS raw, count(t.doc_id) AS good
-  FROM grams g LEFT JOIN trusted t ON g.doc_id = t.doc_id GROUP BY bin),
+  FROM grams g LEFT JOIN marked t ON g.doc_id = t.doc_id GROUP BY bin),
 weights AS (
   SELECT bin, round(1e6 * (ln((good + 1) / ((SELECT sum(good) FROM counts) + {bins}))
                          - ln((raw + 1) / ((SELECT sum(raw) FROM counts) + {bins}))))::BIGINT AS weight

@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import WORD, labelled
 
 BINS = 10_000
-#: Bound that the SQL alone still has: up to so many documents labelled good, it agrees.
-TRUSTED = 20_000
 #: Mean log ratio in millionths from which a document is kept.
 THRESHOLD = -70_000
 SYMBOL = "[#*$%&|<>]"

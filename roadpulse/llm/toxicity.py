@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 import re
-import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm import hashing
-from roadpulse.llm.automaton import Automaton, Entry
+from roadpulse.llm.automaton import Entry, Lexicon
 from roadpulse.llm.common import first_by_hash, fold, labelled, lower_ascii, ship
+from roadpulse.session import materialize
 
 FOLDS, HELD = 3, 1
-#: Bounds of the training sample, in documents, and of the lexicon, in entries.
+#: Bounds of the training sample, in documents.
 TOXIC, CLEAN = 6_000, 18_000
-ENTRIES = 300
+#: Of the terms taken into the lexicon, so large a share may be there by chance; a term is seen LEAST times at least.
+BY_CHANCE, LEAST, MOST = 0.02, 3, 64
 #: So large a share of an entry's occurrences must stand between different words.
 VARIED = 0.2
 LIMIT = 0.7
@@ -75,20 +76,20 @@ def context(data: bytes, start: int, end: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    automaton: Automaton | None = None
+    automaton: Lexicon | None = None
     #: Log odds of an occurrence of each entry: exact, edited.
     odds: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))
     weights: np.ndarray = field(default_factory=lambda: _PRIOR.copy())
 
 
-def _hits(texts: hashing.Texts, automaton: Automaton) -> tuple[hashing.Words, np.ndarray, np.ndarray, np.ndarray]:
+def _hits(texts: hashing.Texts, automaton: Lexicon) -> tuple[hashing.Words, np.ndarray, np.ndarray, np.ndarray]:
     """Words of the texts; (word, entry, edits) of every occurrence."""
     plain = hashing.Texts(hashing.without_marks(texts.data), texts.offsets)
     found = hashing.words(plain, inside=_INSIDE)
     return found, *automaton.find(hashing.LOWER[plain.data], found)
 
 
-def occurrences(texts: hashing.Texts, automaton: Automaton) -> tuple[np.ndarray, ...]:
+def occurrences(texts: hashing.Texts, automaton: Lexicon) -> tuple[np.ndarray, ...]:
     """(text, entry, edited, features) of every occurrence."""
     found, word, entry, edits = _hits(texts, automaton)
     rows = []
@@ -113,27 +114,37 @@ def score(texts: hashing.Texts, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return out, n
 
 
-def needed(toxic: int, clean: int, tried: int) -> float:
-    """How often a term must occur, only in toxic documents, for this to be no chance among all tried: seen a
-    times, it has probability share ** a."""
-    return math.log(max(tried, 2) / 0.05) / math.log((toxic + clean) / toxic)
+def needed(terms: dict[tuple[int, bool], int], toxic: int, clean: int) -> float:
+    """How often a term must occur, only in toxic documents, for few of the terms found so to be chance.
 
+    ``terms`` counts them by how often they occur (up to MOST) and whether only in toxic ones. Seen a times, a
+    term has probability share ** a of standing in toxic documents alone; so rare terms need as much evidence as there are
+    terms that rare, not as there are terms at all.
+    """
+    share = toxic / (toxic + clean)
+    for a in range(LEAST, MOST + 1):
+        seen = sum(n for (k, _), n in terms.items() if k >= a)
+        alone = sum(n for (k, only), n in terms.items() if k >= a and only)
+        if alone and seen * share**a <= BY_CHANCE * alone:
+            return a
+    return math.inf
 
-def choose(terms: list[tuple[str, bool, int, int, int]], toxic: int, clean: int, tried: int) -> list[Entry]:
+
+def choose(terms: list[tuple[str, bool, int, int, int]], least: float) -> list[Entry]:
     """Entries among (term, stem, in toxic, in clean, most in toxic of one word)."""
-    if not toxic or not clean:
-        return []
-    least = needed(toxic, clean, tried)
     chosen: list[Entry] = []
+    stems: set[str] = set()
+    begun: set[str] = set()  # by the stems chosen
     for term, stem, a, b, top in sorted(terms, key=lambda t: (-t[2], t[1], -len(t[0]), t[0])):
         if a < least or b > 0.02 * a or (stem and a < 2 * top):
             continue
-        if any(c.stem and (term.startswith(c.term) or (stem and c.term.startswith(term))) for c in chosen):
+        if any(term[:k] in stems for k in STEMS if k <= len(term)) or (stem and term in begun):
             continue
         chosen.append(Entry(term, stem, int(not stem and len(term) >= EDIT_FROM)))
-    if len(chosen) > ENTRIES:
-        warnings.warn(f"{len(chosen)} toxic terms qualify; the {ENTRIES} most frequent are matched", stacklevel=2)
-    return chosen[:ENTRIES]
+        if stem:
+            stems.add(term)
+            begun |= {term[:k] for k in STEMS if k <= len(term)}
+    return chosen
 
 
 def with_families(entries: list[Entry], words: list[str]) -> list[Entry]:
@@ -144,7 +155,7 @@ def with_families(entries: list[Entry], words: list[str]) -> list[Entry]:
     return entries + [Entry(w, False, 1) for w in family]
 
 
-def _neighbours(automaton: Automaton):
+def _neighbours(automaton: Lexicon):
     """Of each occurrence: its entry, and a hash of the words before and after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +174,7 @@ def _neighbours(automaton: Automaton):
     return run
 
 
-def _learn_occurrences(automaton: Automaton):
+def _learn_occurrences(automaton: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in hashing.pieces(batch):
@@ -198,7 +209,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     marked = labelled(labels, "toxic").filter(fold(F.col("doc_id"), FOLDS) != HELD)
     bad = first_by_hash(marked.filter("mark = 1"), TOXIC)
     good = first_by_hash(marked.filter("mark = 0"), CLEAN)
-    sample = documents.select("doc_id", "text").join(F.broadcast(bad.union(good)), "doc_id").select("text", "mark")
+    chosen = documents.select("doc_id", "text").join(F.broadcast(bad.union(good)), "doc_id").select("text", "mark")
+    # The one pass over the documents; all that follows reads the sample.
+    sample = materialize(chosen, "toxicity-sample")
     words = sample.select(
         "mark", F.explode(F.array_distinct(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(LETTERS), F.lit(0)))).alias("word")
     )
@@ -223,22 +236,17 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     ).filter("t is not null")
     terms = begun.groupBy("t").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.max("a").alias("top"))
     sizes = {r["mark"]: r["count"] for r in sample.groupBy("mark").count().collect()}
-    tried = terms.count()
-    likely = (
-        terms.filter("a >= 3 and b <= 0.02 * a")
-        .orderBy(F.desc("a"), "t.stem", F.desc(F.length("t.term")), "t.term")
-        .limit(20 * ENTRIES + 1)
-        .select("t.term", "t.stem", "a", "b", "top")
-        .collect()
-    )
-    if len(likely) > 20 * ENTRIES:
-        least = needed(sizes.get(1, 0), sizes.get(0, 0), tried) if sizes.get(1) and sizes.get(0) else math.inf
-        if likely.pop()["a"] >= least:
-            warnings.warn(f"more than {20 * ENTRIES} terms may be toxic; the others are not looked at", stacklevel=2)
-    entries = choose([tuple(r) for r in likely], sizes.get(1, 0), sizes.get(0, 0), tried)
+    if not sizes.get(1) or not sizes.get(0):
+        return Model()
+    only = (F.col("a") >= LEAST) & (F.col("b") <= 0.02 * F.col("a"))
+    often = terms.groupBy(F.least(F.col("a") + F.col("b"), F.lit(MOST)).alias("n"), only.alias("only")).count().collect()
+    least = needed({(r["n"], r["only"]): r["count"] for r in often}, sizes[1], sizes[0])
+    # As many as the sample gives, which is bounded.
+    likely = terms.filter(only & (F.col("a") >= least)).select("t.term", "t.stem", "a", "b", "top").collect()
+    entries = choose([tuple(r) for r in likely], least)
     if not entries:
         return Model()
-    exact = Automaton([Entry(e.term, e.stem) for e in entries])
+    exact = Lexicon([Entry(e.term, e.stem) for e in entries])
     places = (
         sample.filter("mark = 1")
         .mapInArrow(_neighbours(exact), "entry long, beside long")
@@ -246,7 +254,6 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         .agg(F.count_distinct("beside").alias("different"), F.count("*").alias("n"))
         .collect()
     )
-    least = needed(sizes[1], sizes[0], tried)
     varied = {r["entry"] for r in places if r["different"] >= max(least, VARIED * r["n"])}
     entries = [e for k, e in enumerate(entries) if k in varied]
     if not entries:
@@ -256,7 +263,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         begins = [F.substring("word", 1, k).isin([t for t in stems if len(t) == k]) for k in STEMS]
         family = counted.filter("a > 0 and b <= 0.02 * a").filter(begins[0] | begins[1] | begins[2]).select("word")
         entries = with_families(entries, [r["word"] for r in family.collect()])
-    automaton = Automaton(entries)
+    automaton = Lexicon(entries)
     seen = sample.mapInArrow(
         _learn_occurrences(automaton), "entry long, edited long, exact boolean, mark long, x binary"
     )

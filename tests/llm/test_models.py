@@ -195,13 +195,83 @@ def test_an_id_on_many_rows_is_learned_from_once(spark, monkeypatch):
     assert len(taken) == 3 and len(set(taken)) == 1
 
 
-def test_bounds_of_lexicon_and_languages_are_told(spark, monkeypatch):
-    terms = [(f"term{n}", False, 50, 0, 50) for n in range(5)]
-    monkeypatch.setattr(toxicity, "ENTRIES", 4)
-    with pytest.warns(UserWarning, match="5 toxic terms"):
-        assert len(toxicity.choose(terms, 100, 900, 1000)) == 4
+def test_a_bound_of_languages_is_told(spark, monkeypatch):
     monkeypatch.setattr(language, "LANGUAGES", 2)
     rows = [(n, f"l{n % 3}", f"some words of {n % 3} here") for n in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     with pytest.warns(UserWarning, match="3 languages"):
         language.train(docs)
+
+
+def test_long_runs_are_scored_over_all_segmentations():
+    """Against a plain sum in logarithms; from one byte below the border to runs of some hundred."""
+    rng = np.random.default_rng(3)
+    pieces = language.Pieces()
+    words = [("▁" + "".join(rng.choice(list("abcdeést語"), n))).encode() for n in (9, 20, 30, 31, 32, 33, 34, 35, 36, 60, 200, 333)]
+    p = rng.random((pieces.size + 1, 2)) * (pieces.length > 0)[:, None]
+    p = p / p.sum(0) * language._SCALE ** pieces.length[:, None]
+    p[-1] = 0
+    model = language.Model(pieces, ["x", "y"], p)
+    got = model.log_probabilities(words)
+    assert any(len(w) <= language.LONGEST for w in words) and any(len(w) > 300 for w in words)
+    for word, row in zip(words, got):
+        lattice = pieces.lattice(np.frombuffer(word, np.uint8)[None])
+        for lang in range(2):
+            total = [0.0]
+            for end in range(1, len(word) + 1):
+                ways = [
+                    total[end - size] + np.log(p[at, lang]) - size * np.log(language._SCALE)
+                    for size in range(1, min(end, pieces.longest) + 1)
+                    if p[at := lattice[size][0, end - size], lang] > 0
+                ]
+                total.append(float(np.logaddexp.reduce(ways)))
+            assert abs(total[-1] - row[lang]) < 1e-6 * abs(total[-1])
+
+
+def test_a_lexicon_in_blocks_finds_what_one_automaton_does():
+    rng = np.random.default_rng(4)
+    terms = sorted({"".join(rng.choice(list("abc"), rng.integers(3, 8))) for _ in range(60)})
+    entries = [automaton.Entry(t, stem=n % 7 == 0, edits=int(n % 7 and len(t) > 4)) for n, t in enumerate(terms)]
+    texts = hashing.as_texts(pa.array([" ".join("".join(rng.choice(list("abcd"), rng.integers(1, 9))) for _ in range(2000))]))
+    found = hashing.words(texts)
+    want = automaton.Automaton(entries).find(texts.data, found)
+    for block in (1, 7, 100):
+        got = automaton.Lexicon(entries, block).find(texts.data, found)
+        assert all((a == b).all() for a, b in zip(got, want)) and len(want[0])
+
+
+def test_evidence_by_how_often_a_term_occurs():
+    """Of many rare terms some stand in toxic texts by chance; of few, hardly any."""
+    many = {(3, False): 100_000, (3, True): 150, (10, False): 500, (10, True): 40}
+    assert toxicity.needed(many, 100, 900) == 4
+    assert toxicity.needed({(3, False): 200, (3, True): 30}, 100, 900) == 3
+    assert toxicity.needed({(3, False): 10**6}, 100, 900) == float("inf")
+
+
+def test_toxic_terms_of_rare_languages_and_one_pass(spark):
+    """Held-out recall by language; the documents are read once to learn."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    marked = docs.join(labels, "doc_id").select("doc_id", "text", "lang", "toxic")
+    rows = {r["doc_id"]: r for r in marked.select("doc_id", "lang", "toxic").collect()}
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    watched = docs.select("doc_id", "text").mapInArrow(counted, "doc_id long, text string")
+    model = toxicity.train(watched, labels)
+    assert read.value == docs.count()
+    hits, n = Counter(), Counter()
+    held = marked.filter("doc_id is not null").select("doc_id", "text").toPandas()
+    held = held[[_fold(d, 3) == 1 for d in held["doc_id"]]]
+    scores, _ = toxicity.score(hashing.as_texts(pa.array(held["text"].tolist(), pa.string())), model)
+    for doc, value in zip(held["doc_id"], scores):
+        kind = (rows[doc]["lang"], rows[doc]["toxic"])
+        n[kind] += 1
+        hits[kind] += value >= toxicity.LIMIT
+    recall = {lang: hits[lang, 1] / n[lang, 1] for lang in ("en", "fr", "de", "es")}
+    assert all(r >= 0.75 for r in recall.values()), recall
+    assert sum(hits[k] for k in hits if not k[1]) <= 0.02 * sum(n[k] for k in n if not k[1])

@@ -8,9 +8,7 @@ from collections import Counter
 from roadpulse.llm import quality_rules
 
 
-def test_every_trusted_document_is_counted(spark, monkeypatch):
-    """However many there are; TRUSTED bounds the SQL only."""
-    monkeypatch.setattr(quality_rules, "TRUSTED", 5)
+def test_every_trusted_document_is_counted(spark):
     bins = quality_rules.BINS
     texts = {n: f"w{n} common w{n % 7}\nx{n * n}" for n in range(300)}
     good = {n for n in texts if n % 3}

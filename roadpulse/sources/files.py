@@ -53,6 +53,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(status.getPath()) for status in files.globStatus(target) or ())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all in it, if there is one."""
+    files, target = _at(spark, path)
+    files.delete(target, True)
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """When a file or folder was last changed."""
     files, target = _at(spark, path)

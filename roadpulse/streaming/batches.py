@@ -1,7 +1,7 @@
 """Tables that a stream writes micro-batch by micro-batch, so that a batch run again changes nothing.
 
-The engine repeats the batch that was under way when a query ended. Its rows therefore go to places that the batch itself
-decides: a folder of the batch's number, or partitions that its rows name. Either is replaced as a whole.
+The engine repeats the batch that was under way when a query ended. Its rows therefore go to a folder of the batch's
+number, which is replaced as a whole: as one more part of a table, or as the table's next state.
 """
 
 from __future__ import annotations
@@ -11,14 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from roadpulse.operators.decode import decode_checked
 from roadpulse.operators.quality import ORIGIN_KEY, late_rows
 from roadpulse.operators.running import CHUNK
 from roadpulse.operators.series import WIDTH, series
 from roadpulse.schemas import EVENT_TIME, get_schema
-from roadpulse.sources.files import matching
+from roadpulse.sources.files import matching, remove
 from roadpulse.streaming.sinks import with_trigger
 
 BATCH, OUTCOME = "batch", "outcome"
@@ -114,6 +114,10 @@ def read_late(spark: SparkSession, decoded: DataFrame, base: str) -> DataFrame:
     return read_batches(spark, f"{base}/data", StructType([*decoded.schema.fields, *StructType.fromDDL("late BOOLEAN").fields]))
 
 
+#: A series has few rows; so many files are enough for each of its states, of which the last ones are kept.
+SERIES_FILES, STATES = 4, 3
+
+
 def land_series(
     decoded: DataFrame,
     measures: Sequence[Column],
@@ -125,21 +129,25 @@ def land_series(
     """Start keeping a table of measures per time bucket that includes the buckets still open.
 
     Takes the stream before its watermark is declared. After each micro-batch the table equals the batch `series`
-    over all rows so far: a batch gives the buckets it has changed, and each replaces its partition of the table. Without
+    over all rows so far: a batch gives the buckets it has changed, which replace those of the table before it. Without
     ``delay`` every row counts, however late, and state has one row per bucket; with it, state ends with
     the watermark, and rows behind that are left out.
     """
+    spark = decoded.sparkSession
     rows = decoded if delay is None else decoded.withWatermark(EVENT_TIME, delay)
     # Rows without event time are in no bucket.
     changed = series(rows.where(F.col(EVENT_TIME).isNotNull()), measures, width)
+    schema = StructType([StructField(f.name, f.dataType) for f in changed.schema.fields])
 
     def write(batch: DataFrame, number: int) -> None:
-        (
-            batch.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket_start")
-            .parquet(f"{base}/data")
-        )
+        before = read_batch(spark, f"{base}/data", number - 1, schema)
+        # Both are as small as the table; that of the batch is read twice, so it is written before.
+        write_batch(batch.coalesce(SERIES_FILES), f"{base}/changed", number)
+        new = read_batch(spark, f"{base}/changed", number, schema)
+        kept = before.join(new.select("bucket_start"), "bucket_start", "left_anti")
+        write_batch(kept.unionByName(new).coalesce(SERIES_FILES), f"{base}/data", number)
+        for folder in ("data", "changed"):
+            remove(spark, f"{base}/{folder}/{BATCH}={number - STATES}")
 
     writer = (
         changed.writeStream.foreachBatch(write)
@@ -150,8 +158,8 @@ def land_series(
 
 
 def read_series(spark: SparkSession, decoded: DataFrame, measures: Sequence[Column], base: str, width: str = WIDTH) -> DataFrame:
-    """The table that `land_series` keeps of such rows."""
+    """The table that `land_series` keeps of such rows, as its last whole state has it."""
     schema = series(decoded, measures, width).schema
-    if not matching(spark, f"{base}/data"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{base}/data").select(*schema.names)
+    whole = matching(spark, f"{base}/data/{BATCH}=*/_SUCCESS")
+    last = max((int(path.split("/")[-2].partition("=")[2]) for path in whole), default=-1)
+    return read_batch(spark, f"{base}/data", last, schema)

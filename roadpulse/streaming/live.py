@@ -33,7 +33,9 @@ def gps_position_stream(
     join of `places.gps_density`. The rows of a much-used step are spread over ``salts`` tasks. As
     event time is part of the join key, state is dropped when the watermark passes.
     """
-    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")
+    # Rows without an id are dealt out by their place, the same if a task is run again.
+    by_id = F.pmod(F.xxhash64("id"), F.lit(salts))
+    salt = F.when(F.col("id").isNotNull(), by_id).otherwise(F.floor(F.rand(salts) * salts)).cast("int")
     left = _once(gps, delay).withColumn("_salt", salt)
     places = vehicle.where(F.col("location").isNotNull()).select("id", *STEP_KEY, "location")
     right = _once(places, delay).drop("id").withColumn(

@@ -1,9 +1,9 @@
 """Toxicity: a learned lexicon, matched with spelling errors, and context that tells quotation from abuse.
 
 The lexicon is learned from a bounded sample of labelled documents: words, and beginnings of words that
-many words share, that occur in toxic ones and hardly ever in others, beyond what chance allows over
-all terms tried. Copies are no evidence: a term must occur between as many different neighbours. Levenshtein automata over a trie of the lexicon find its terms in every word of every text,
-with one edit where a term is long enough. Beginnings are matched as they are; the words of the sample that have one stand
+many words share, that occur in toxic ones and hardly ever in others, more of them than chance gives among
+terms as rare. Copies are no evidence: a term must occur between as many different neighbours. Levenshtein automata over
+tries of the lexicon find its terms in every word of every text, with one edit where a term is long enough. Beginnings are matched as they are; the words of the sample that have one stand
 beside it, for words misspelt in the beginning itself. Each occurrence gets a probability: how often occurrences of that
 entry, spelt so, stood in toxic sample documents, moved by its context window (inside quotation marks,
 after a verb of saying, words around it). A document has the probability of its worst occurrence.

@@ -275,3 +275,64 @@ def test_toxic_terms_of_rare_languages_and_one_pass(spark):
     recall = {lang: hits[lang, 1] / n[lang, 1] for lang in ("en", "fr", "de", "es")}
     assert all(r >= 0.75 for r in recall.values()), recall
     assert sum(hits[k] for k in hits if not k[1]) <= 0.02 * sum(n[k] for k in n if not k[1])
+
+
+def _risk(net, p, u, prior):
+    """The two parts of the positive-unlabelled risk under the sigmoid loss, by their definition."""
+    p, u = (1 / (1 + np.exp(-net.margin(x))) for x in (p, u))
+    return prior * (1 - p).mean(), u.mean() - prior * p.mean()
+
+
+@pytest.mark.parametrize("below", [False, True])
+def test_a_step_follows_the_non_negative_risk(monkeypatch, below):
+    """The first step of `fit` moves each number against its slope by finite differences: of the whole risk, or, where its
+    second part is below zero, of that part turned round."""
+    monkeypatch.setattr(pu_quality, "EPOCHS", 1)
+    monkeypatch.setattr(pu_quality, "LEAST_STEPS", 1)
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (120, 4))
+    start = pu_quality._network(x, 3)
+    order = np.argsort(start.margin(x))
+    p, u = (x[order[60:]], x[order[:60]]) if below else (x[order[:60]], x[order[60:]])
+    prior = 0.9
+    start = pu_quality._network(np.concatenate([p, u]), 3)
+    assert (_risk(start, p, u, prior)[1] < 0) == below
+    after = pu_quality.fit(p, u, prior)
+
+    def wanted():
+        first, second = _risk(start, p, u, prior)
+        return -second if below else first + second
+
+    checked = 0
+    for value, moved in zip(start.values(), after.values()):
+        for at in np.ndindex(value.shape):
+            held = value[at]
+            value[at] = held + 1e-5
+            up = wanted()
+            value[at] = held - 1e-5
+            down = wanted()
+            value[at] = held
+            slope = (up - down) / 2e-5 + 1e-4 * held
+            if abs(slope) > 1e-6:
+                assert np.isclose(moved[at] - held, -0.005 * np.sign(slope), rtol=0.05)
+                checked += 1
+    assert checked > 60
+
+
+def test_prior_by_a_plain_recount(monkeypatch):
+    """Smallest ratio of the shares above a cut, with each half scored by the other half's model."""
+    rng = np.random.default_rng(7)
+    p, u = rng.normal(1, 1, (80, 3)), rng.normal(0, 1.2, (140, 3))
+    models = []
+    fit = pu_quality.fit
+    monkeypatch.setattr(pu_quality, "fit", lambda *a: models.append(fit(*a)) or models[-1])
+    got = pu_quality.estimate_prior(p, u)
+    sums = np.zeros(26)
+    for k, net in enumerate(models):
+        scores_p, scores_u = net.margin(p[k::2]).tolist(), net.margin(u[k::2]).tolist()
+        for n, share in enumerate(np.linspace(0.5, 1, 26)):
+            cut = np.quantile(scores_p, 1 - share)
+            in_p, in_u = (sum(s >= cut for s in scores) / len(scores) for scores in (scores_p, scores_u))
+            error = math.sqrt(in_p * (1 - in_p) / len(scores_p) + in_u * (1 - in_u) / len(scores_u)) / in_p
+            sums[n] += in_u / in_p + pu_quality.MARGIN * error
+    assert len(models) == 2 and abs(got - min(max(min(sums / 2), 0.05), 0.98)) < 1e-9

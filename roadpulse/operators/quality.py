@@ -39,11 +39,12 @@ def _first_of_each(keys: Sequence[str]):
     return reduce
 
 
-def _known(keys: Sequence[str]) -> Column:
-    known = F.lit(True)
+def known(keys: Sequence[str]) -> Column:
+    """Whether no key is null."""
+    every = F.lit(True)
     for key in keys:
-        known = known & F.col(key).isNotNull()
-    return known
+        every = every & F.col(key).isNotNull()
+    return every
 
 
 def drop_repeats_stream(
@@ -56,18 +57,18 @@ def drop_repeats_stream(
     Arrow batch first, so that one much-repeated record does not travel to a single task whole; it
     sends every row through Python, so it is for streams that have such records.
     """
-    known = decoded.where(_known(keys))
+    keyed = decoded.where(known(keys))
     if thin:
-        known = known.mapInArrow(_first_of_each([*keys, EVENT_TIME]), known.schema)
-    single = known.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(keys))
+        keyed = keyed.mapInArrow(_first_of_each([*keys, EVENT_TIME]), keyed.schema)
+    single = keyed.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(keys))
     # No watermark on the rest: with hardly a row, it would hold back that of the whole query.
-    return single.unionByName(decoded.where(~_known(keys)))
+    return single.unionByName(decoded.where(~known(keys)))
 
 
 def drop_repeats(table: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Landed table without repeats. Rows with a null key are all kept."""
-    single = table.where(_known(keys)).dropDuplicates(list(keys))
-    return single.unionByName(table.where(~_known(keys)))
+    single = table.where(known(keys)).dropDuplicates(list(keys))
+    return single.unionByName(table.where(~known(keys)))
 
 
 ORIGIN_KEY = ("source_topic", "source_partition")

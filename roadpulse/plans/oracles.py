@@ -302,6 +302,12 @@ def all_oracles() -> dict[str, str]:
             f"(SELECT *, unnest(range(CASE WHEN CAST(substr(id, 2) AS BIGINT) % 10 = 0 THEN 12 ELSE 2 END)) "
             f"AS copy FROM ({_topic_rows(GPS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 17 = 0) g"
         ),
+        "dedup_days_apart": (
+            f"SELECT * FROM ({_topic_rows(GPS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 17 <> 0 "
+            f"UNION ALL SELECT NULL AS id, g.* EXCLUDE (id, copy) FROM "
+            f"(SELECT *, unnest(range(CASE WHEN CAST(substr(id, 2) AS BIGINT) % 3 = 1 THEN 3 ELSE 2 END)) "
+            f"AS copy FROM ({_topic_rows(GPS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 17 = 0) g"
+        ),
         "late_rows": _LATE,
         "late_rows_stream": _LATE,
         "range_violations": " UNION ALL ".join(_outside(*r) for r in _RANGES),

@@ -57,6 +57,7 @@ from roadpulse.streaming.batches import (
 from roadpulse.streaming.delivery import read_report
 from roadpulse.streaming.ingest import ingest, run, start_all, supervise
 from roadpulse.streaming.live import gps_position_stream
+from roadpulse.streaming.once import land_once, read_once
 from roadpulse.streaming.publish import publish_reported
 from roadpulse.streaming.sinks import parquet_writer
 
@@ -427,6 +428,21 @@ def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_written(quality.drop_repeats_stream(decoded), "dedup"))
 
 
+def dedup_days_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that grows in three parts; every message comes in two or three of them, long after any watermark has
+    passed its first copy. Every seventeenth has no id, and its copies stay."""
+    pin_utc(spark)
+    path, base = scratch_path(spark, "apart-log"), scratch_path(spark, "apart")
+    event = F.col("event_id")
+    name = F.when(event % 17 != 0, F.col(f"{GPS}.id"))
+    sent = read_steps(spark, sf_dir).withColumn(GPS, F.col(GPS).withField("id", name))
+    for part in (event % 3 != 2, event % 3 != 0, F.lit(True)):
+        write_log(messages(sent.where(part), GPS), path)
+        rows = decode(read_log_topic(spark, path, GPS), GPS)
+        run(land_once(rows, base, trigger="available"))
+    return _plain(read_once(spark, rows, base))
+
+
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = messages(_steps(spark, sf_dir), EMERGENCY)
     table = materialize(decode(sent, EMERGENCY, keep_origin=True), "arrivals-in-order")
@@ -508,6 +524,7 @@ def all_queries() -> dict[str, Query]:
         "quarantine": quarantined,
         "checked_sound": checked_sound,
         "dedup_by_id": dedup_by_id,
+        "dedup_days_apart": dedup_days_apart,
         "late_rows": late_rows,
         "late_rows_stream": late_rows_stream,
         "range_violations": range_violations,

@@ -29,9 +29,19 @@ def write_batch(df: DataFrame, base: str, number: int, partition_by: Sequence[st
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{base}/{BATCH}={number}")
 
 
-def read_batches(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
-    """Rows of the batches that were written whole; ``schema`` includes the columns they are partitioned by."""
-    whole = [path.removesuffix("/_SUCCESS") for path in matching(spark, f"{base}/{BATCH}=*/_SUCCESS")]
+def whole_batches(spark: SparkSession, base: str) -> dict[int, str]:
+    """Number and folder of the batches that were written whole."""
+    folders = [path.removesuffix("/_SUCCESS") for path in matching(spark, f"{base}/{BATCH}=*/_SUCCESS")]
+    return {int(folder.rpartition("=")[2]): folder for folder in folders}
+
+
+def read_batches(
+    spark: SparkSession, base: str, schema: StructType, after: int = -1, before: int | None = None
+) -> DataFrame:
+    """Rows of the batches that were written whole, if need be only of those numbered between two others; ``schema``
+    includes the columns they are partitioned by."""
+    found = whole_batches(spark, base).items()
+    whole = [folder for n, folder in found if n > after and (before is None or n < before)]
     if not whole:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", base).parquet(*whole).select(*schema.names)
@@ -160,6 +170,4 @@ def land_series(
 def read_series(spark: SparkSession, decoded: DataFrame, measures: Sequence[Column], base: str, width: str = WIDTH) -> DataFrame:
     """The table that `land_series` keeps of such rows, as its last whole state has it."""
     schema = series(decoded, measures, width).schema
-    whole = matching(spark, f"{base}/data/{BATCH}=*/_SUCCESS")
-    last = max((int(path.split("/")[-2].partition("=")[2]) for path in whole), default=-1)
-    return read_batch(spark, f"{base}/data", last, schema)
+    return read_batch(spark, f"{base}/data", max(whole_batches(spark, f"{base}/data"), default=-1), schema)

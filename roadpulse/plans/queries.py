@@ -56,8 +56,8 @@ from roadpulse.streaming.batches import (
 )
 from roadpulse.streaming.delivery import read_report
 from roadpulse.streaming.ingest import ingest, run, start_all, supervise
-from roadpulse.streaming.live import gps_position_stream
 from roadpulse.streaming.once import land_once, read_once
+from roadpulse.streaming.positions import land_positions, read_positions
 from roadpulse.streaming.publish import publish_reported
 from roadpulse.streaming.sinks import parquet_writer
 
@@ -477,10 +477,10 @@ def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     source = event_source(spark, sf_dir)
     places_only = ("id", *STEP_KEY, "location")
-    joined = gps_position_stream(
-        decode(source(GPS), GPS), decode(source(VEHICLE), VEHICLE, columns=places_only)
-    )
-    rows = with_position(_written(joined, "position"))
+    gps, vehicle = decode(source(GPS), GPS), decode(source(VEHICLE), VEHICLE, columns=places_only)
+    base = scratch_path(spark, "positions")
+    run(land_positions(gps, vehicle, base, trigger="available"))
+    rows = with_position(read_positions(spark, gps, vehicle, base))
     return _plain(rows.select("id", "vehicle_id", "timestamp", "speed", "lat", "lon"))
 
 

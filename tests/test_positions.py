@@ -1,0 +1,144 @@
+"""Live positions kept as a table, against a plain pass over the arrivals."""
+
+import random
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from roadpulse.schemas import GPS, VEHICLE
+from roadpulse.session import scratch_path
+from roadpulse.streaming import positions
+from roadpulse.streaming.batches import whole_batches
+from roadpulse.streaming.ingest import run
+
+START, DELAY = 1704067200, 120
+GPS_DDL = "id string, vehicle_id string, second long, speed double"
+VEHICLE_DDL = "id string, vehicle_id string, second long, make string, location string"
+
+
+def _arrivals(batches=5, size=60, seed=3):
+    """Per batch the rows of both sides: steps in order with some late, repeats within and across batches, missing ids,
+    vehicles, times and locations, and a step with a third of all rows."""
+    rng = random.Random(seed)
+    out, sent = [], {GPS: [], VEHICLE: []}
+    for b in range(batches):
+        part = {GPS: [], VEHICLE: []}
+        for i in range(size):
+            for side, letter, more in ((GPS, "g", (1.5,)), (VEHICLE, "v", ("m", f"[{i}.0,{b}.0]" if rng.random() < 0.9 else None))):
+                if sent[side] and rng.random() < 0.2:
+                    part[side].append(rng.choice(sent[side]))
+                    continue
+                hot = rng.random() < 0.33
+                second = b * 100 if hot else b * 100 + rng.randrange(-250, 60)
+                row = (
+                    f"{letter}{b}-{i}" if rng.random() < 0.9 else None,
+                    "busy" if hot else rng.choice(["a", "b", "c", None]),
+                    START + (second if hot else second // 20 * 20) if rng.random() < 0.95 else None,
+                    *more,
+                )
+                part[side].append(row)
+                sent[side].append(row)
+        out.append((part[GPS], part[VEHICLE]))
+    return out
+
+
+def _expected(batches):
+    """(vehicle, second, gps id, location) of every meeting, by arrival; a late row is left out."""
+    latest, kept, names, out = {}, {GPS: [], VEHICLE: []}, {GPS: {}, VEHICLE: {}}, []
+    for gps, vehicle in batches:
+        ended = min(latest.values()) - DELAY if len(latest) == 2 else None
+        now = {GPS: [], VEHICLE: []}
+        for side, rows in ((GPS, gps), (VEHICLE, [r for r in vehicle if r[4] is not None])):
+            for row in rows:
+                name, of, second = row[:3]
+                if of is None or second is None or (ended is not None and second < ended):
+                    continue
+                if name is not None:
+                    if name in names[side]:
+                        continue
+                    names[side][name] = row
+                now[side].append(row)
+                latest[side] = max(latest.get(side, second), second)
+        for g in now[GPS]:
+            out += [(g[1], g[2], str(g[0]), v[4]) for v in kept[VEHICLE] + now[VEHICLE] if v[1:3] == g[1:3]]
+        for g in kept[GPS]:
+            out += [(g[1], g[2], str(g[0]), v[4]) for v in now[VEHICLE] if v[1:3] == g[1:3]]
+        for side in now:
+            kept[side] += now[side]
+    return sorted(out)
+
+
+def _frame(spark, rows, ddl):
+    return spark.createDataFrame(rows, ddl).withColumn("timestamp", F.timestamp_seconds("second")).drop("second")
+
+
+def _land(spark, batches, base, path):
+    for n, (gps, vehicle) in enumerate(batches):
+        for name, rows, ddl in (("gps", gps, GPS_DDL), ("vehicle", vehicle, VEHICLE_DDL)):
+            _frame(spark, rows, ddl).repartition(2).write.mode("append").parquet(f"{path}/{name}")
+        streams = [
+            spark.readStream.schema(_frame(spark, [], ddl).schema).parquet(f"{path}/{name}")
+            for name, ddl in (("gps", GPS_DDL), ("vehicle", VEHICLE_DDL))
+        ]
+        run(positions.land_positions(*streams, base, f"{DELAY} seconds", trigger="available"))
+    return streams
+
+
+def _got(spark, streams, base):
+    rows = positions.read_positions(spark, *streams, base)
+    seconds = F.unix_timestamp("timestamp").alias("second")
+    return sorted((r[0], r[1], str(r[2]), r[3]) for r in rows.select("vehicle_id", seconds, "id", "location").collect())
+
+
+def test_positions_equal_a_plain_pass(spark):
+    base, path, batches = scratch_path(spark, "positions"), scratch_path(spark, "positions-in"), _arrivals()
+    streams = _land(spark, batches, base, path)
+    want = _expected(batches)
+    assert _got(spark, streams, base) == want and len(want) > 1000
+    # What lies behind the watermark is gone: state does not grow with the log.
+    parts = whole_batches(spark, f"{base}/arrived")
+    assert 4 in parts and 0 not in parts
+
+
+@pytest.mark.parametrize("folder", ["arrived", "data"])
+def test_a_batch_cut_short_anywhere_loses_and_doubles_nothing(spark, monkeypatch, folder):
+    base, path, batches = scratch_path(spark, "positions"), scratch_path(spark, "positions-in"), _arrivals(4)
+    write, failed = positions.write_batch, []
+
+    def cut(df, where, number, *more):
+        write(df, where, number, *more)
+        if where.endswith(folder) and number == 2 and not failed:
+            failed.append(number)
+            raise RuntimeError("cut short")
+
+    monkeypatch.setattr(positions, "write_batch", cut)
+    with pytest.raises(StreamingQueryException):
+        _land(spark, batches[:3], base, path)
+    # Batch 2 comes again, as it was, before what has arrived since.
+    streams = _land(spark, batches[3:], base, path)
+    assert failed and _got(spark, streams, base) == _expected(batches)
+
+
+def test_a_step_with_a_third_of_the_rows_is_split(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10k")
+    n = 30_000
+    step = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    rows = spark.range(n, numPartitions=8).select(
+        F.concat(F.lit("g"), "id").alias("id"),
+        F.lit("v").alias("vehicle_id"),
+        F.timestamp_seconds(step).alias("timestamp"),
+        F.lit(GPS).alias("side"),
+        F.lit(None).cast("string").alias("location"),
+        F.lit(1).alias("batch"),
+    )
+    places = rows.dropDuplicates(["vehicle_id", "timestamp"]).withColumn("side", F.lit(VEHICLE)).withColumn("location", F.lit("[1.0,2.0]"))
+    path = scratch_path(spark, "arrived")
+    rows.unionByName(places).write.parquet(path)
+    met = positions.meetings(spark.read.parquet(path), ["id", "vehicle_id", "timestamp"], 1)
+    assert len(met.collect()) == n
+    assert "skew=true" in met._jdf.queryExecution().executedPlan().toString()

@@ -2,12 +2,14 @@
 
 1. Each text becomes its set of distinct five-word shingles (64-bit hashes); equal sets are one class, with a number
    of its own and its smallest doc_id. A signature of MinHash values goes with it.
-2. Signatures are cut into bands; classes that share a band are candidates. Bands are joined into
-   groups by their smallest member, so no pairs are written.
-3. A group is dealt out in chunks of bounded size; each pair of chunks is one task. There, candidates that
-   share a band are compared by batches of signature values; after each batch, pairs whose posterior chance
-   of reaching the limit is below MISS are dropped. Survivors are verified on the full sets.
-4. A task writes only a spanning forest of its verified links; these make the components.
+2. Signatures are cut into bands; classes that share a band are candidates and make a bucket. Buckets with the same
+   members are one, that of the first band.
+3. A bucket is dealt out in chunks of bounded size; each pair of chunks is one block, to which signatures travel. There,
+   pairs are compared by batches of signature values; after each batch, those whose posterior chance of reaching the limit
+   is below MISS are dropped. A pair counts in the bucket of its first shared band only.
+4. Whole sets travel only for classes with a pair left, and only to the blocks where they have one. There survivors are
+   verified, pairs already linked are skipped, and only a spanning forest of the links is written; these make
+   the components.
 
 Null and empty texts, or texts without a word: n_shingles 0, linked with nothing. A null doc_id is never
 linked: component null, kept true. Rows with the same doc_id and set are one document; with other sets, each row
@@ -19,10 +21,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm import hashing
@@ -36,8 +39,8 @@ VALUES = BANDS * ROWS
 BATCH = 20
 #: A pair is dropped when the chance that it reaches the limit is below this.
 MISS = 1e-6
-#: Members of a group that one side of a task holds, about.
-CHUNK = 512
+#: Members of a bucket that one side of a block holds, about, and the bytes of their sets.
+CHUNK, CHUNK_BYTES = 512, 16 << 20
 
 _MULTIPLIERS = hashing.mix(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -57,10 +60,12 @@ def fewest_matches(percent: int, seen: int) -> int:
 
 
 def signatures(value: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Smallest of each hash function over the runs of ``value`` between cuts, as 32-bit numbers."""
-    out = np.empty((len(cuts) - 1, VALUES), np.uint32)
+    """Smallest of each hash function over the runs of ``value`` between cuts: the last 16 of its bits, which
+    tell unequal ones apart but for one in 65,536."""
+    out = np.empty((len(cuts) - 1, VALUES), np.uint16)
     for k in range(VALUES):
-        out[:, k] = np.minimum.reduceat((value * _MULTIPLIERS[k]) >> np.uint64(32), cuts[:-1])
+        least = np.minimum.reduceat((value * _MULTIPLIERS[k]) >> np.uint64(32), cuts[:-1])
+        out[:, k] = least & np.uint64(0xFFFF)
     return out
 
 
@@ -95,11 +100,10 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.diff(cuts)
             full = np.flatnonzero(size)
             starts = cuts[:-1][full]
-            bands, prints = np.zeros((0, BANDS), np.uint64), np.zeros((len(size), 2), np.int64)
+            sig, prints = np.zeros((len(size), VALUES), np.uint16), np.zeros((len(size), 2), np.int64)
             if len(full):
-                bands = band_hashes(signatures(value, np.append(starts, len(value))))
+                sig[full] = signatures(value, np.append(starts, len(value)))
                 prints[full] = _prints(value, starts)
-            owner = np.repeat(full, BANDS)
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"),
@@ -107,23 +111,21 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(size.astype(np.int64)),
                     pa.array(prints[:, 0]),
                     pa.array(prints[:, 1]),
-                    hashing.lists(owner, pa.array(bands.ravel().view(np.int64)), len(size)),
+                    _fixed(sig),
                 ],
-                names=["doc_id", "key", "n", "print1", "print2", "bands"],
+                names=["doc_id", "key", "n", "print1", "print2", "sig"],
             )
 
 
-def band_hashes(sig: np.ndarray) -> np.ndarray:
-    cells = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
-    out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), cells.shape[:2]).copy()
-    for k in range(ROWS):
-        out = hashing.mix(out * np.uint64(hashing.BASE) + cells[:, :, k])
-    return out
+def _bands() -> Column:
+    """Hashes of a signature's bands, in order."""
+    width = 2 * ROWS
+    return F.array(*[F.xxhash64(F.lit(k), F.substring("sig", k * width + 1, width)) for k in range(BANDS)])
 
 
 @hashing.giving_back
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signature and whole set of each text that has one."""
+    """Whole set of each text that has one."""
     for batch in batches:
         for piece in hashing.pieces(batch):
             value, cuts = _sets(piece)
@@ -137,8 +139,8 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
             prints = _prints(value, cuts[:-1])
             columns = [piece.column("rep").take(pa.array(full)), pa.array(np.diff(cuts).astype(np.int64))]
-            columns += [pa.array(prints[:, 0]), pa.array(prints[:, 1]), _fixed(signatures(value, cuts)), sets]
-            yield pa.RecordBatch.from_arrays(columns, names=["rep", "n", "print1", "print2", "sig", "shingles"])
+            columns += [pa.array(prints[:, 0]), pa.array(prints[:, 1]), sets]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", *_SET, "shingles"])
 
 
 class _Forest:
@@ -157,42 +159,120 @@ class _Forest:
         return a != b
 
 
-def block_links(
-    sig: np.ndarray, n: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int
-) -> list[tuple[int, int]]:
-    """Spanning forest of the links between rows numbered in ``left`` and in ``right``."""
-    bands = band_hashes(sig)
-    forest, links = _Forest(len(n)), []
-    least = [(upto, fewest_matches(percent, upto)) for upto in range(BATCH, VALUES + 1, BATCH)]
-    for a in left:
-        others = right[right > a] if left is right else right
-        others = others[100 * np.minimum(n[others], n[a]) >= percent * np.maximum(n[others], n[a])]
-        others = others[(bands[others] == bands[a]).any(1)]
-        matches = np.zeros(len(others), np.int64)
-        for upto, needed in least:
-            matches += (sig[others, upto - BATCH : upto] == sig[a, upto - BATCH : upto]).sum(1)
-            others, matches = others[matches >= needed], matches[matches >= needed]
-        for b in others:
-            if forest.root(a) != forest.root(b):
-                shared = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if 100 * shared >= percent * (len(sets[a]) + len(sets[b]) - shared):
-                    forest.join(a, b)
-                    links.append((int(a), int(b)))
-    return links
-
-
-def _verify(percent: int):
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("node")
-        node = group.column("node").to_numpy()
-        own = group.column("chunk").to_numpy()
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, VALUES)
-        sets = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
-        low, high = (np.flatnonzero(own == group.column(c)[0].as_py()) for c in ("low", "high"))
-        one = group.column("low")[0].as_py() == group.column("high")[0].as_py()
-        links = block_links(sig, np.array([len(x) for x in sets]), sets, low, low if one else high, percent)
-        a, b = (node[[x[k] for x in links]] if links else node[:0] for k in (0, 1))
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+class Block:
+    """Two chunks of a bucket's members, or one with itself; ``nth`` is the band they share."""
+
+    def __init__(self, sig: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray | None, nth: int):
+        self.sig, self.n, self.left, self.right, self.nth = sig, n, left, right, nth
+
+    def survivors(self, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Members with those they may reach the limit with and share no earlier band with; each pair once."""
+        sig, n, least = self.sig, self.n, needed(percent)
+        for k, a in enumerate(self.left):
+            others = self.left[k + 1 :] if self.right is None else self.right
+            others = others[100 * np.minimum(n[others], n[a]) >= percent * np.maximum(n[others], n[a])]
+            matches = np.zeros(len(others), np.int64)
+            for upto, fewest in least:
+                if not len(others):
+                    break
+                matches += (sig[others, upto - BATCH : upto] == sig[a, upto - BATCH : upto]).sum(1)
+                others, matches = others[matches >= fewest], matches[matches >= fewest]
+            if len(others) and self.nth:
+                same = sig[others, : self.nth * ROWS] == sig[a, : self.nth * ROWS]
+                others = others[~same.reshape(len(others), self.nth, ROWS).all(2).any(1)]
+            if len(others):
+                yield int(a), others
+
+    def links(self, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+        """Spanning forest of the links."""
+        forest, found = _Forest(len(self.n)), []
+        for a, others in self.survivors(percent):
+            for b in others:
+                if forest.root(a) != forest.root(b):
+                    shared = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    if 100 * shared >= percent * (len(sets[a]) + len(sets[b]) - shared):
+                        forest.join(a, b)
+                        found.append((a, int(b)))
+        return found
+
+
+@lru_cache
+def needed(percent: int) -> list[tuple[int, int]]:
+    """Values seen, and the fewest equal ones among them, for each batch."""
+    return [(upto, fewest_matches(percent, upto)) for upto in range(BATCH, VALUES + 1, BATCH)]
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows that agree in ``keys``, from batches ordered by them."""
+    rows, key = [], None
+    for batch in batches:
+        values = np.stack([batch.column(k).to_numpy() for k in keys], axis=1).astype(np.int64)
+        cuts = np.flatnonzero((values[1:] != values[:-1]).any(1)) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(values)]):
+            if low == high:
+                continue
+            if rows and tuple(values[low]) != key:
+                yield pa.Table.from_batches(rows)
+                rows = []
+            key = tuple(values[low])
+            rows.append(batch.slice(low, high - low))
+    if rows:
+        yield pa.Table.from_batches(rows)
+
+
+def _block(rows: pa.Table) -> Block:
+    low, high, nth = (rows.column(c)[0].as_py() for c in ("low", "high", "nth"))
+    own = rows.column("chunk").to_numpy()
+    sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(-1, VALUES)
+    right = None if low == high else np.flatnonzero(own == high)
+    return Block(sig, rows.column("n").to_numpy(), np.flatnonzero(own == low), right, nth)
+
+
+def _gathered(tables: Iterator[pa.Table], most: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """The rows of many small tables in fewer batches."""
+    held, n = [], 0
+    for table in tables:
+        held.append(table)
+        n += table.num_rows
+        if n >= most:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+
+_BLOCK = ["nth", "band", "low", "high"]
+
+
+def _with_survivors(percent: int):
+    """Members of each block that have a pair left there."""
+
+    def kept(rows: pa.Table) -> pa.Table:
+        stays = np.zeros(rows.num_rows, bool)
+        for a, others in _block(rows).survivors(percent):
+            stays[a] = stays[others] = True
+        return rows.select([*_BLOCK, "chunk", "node"]).filter(pa.array(stays))
+
+    @hashing.giving_back
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _gathered(kept(rows) for rows in runs(batches, _BLOCK))
+
+    return run
+
+
+def _verified(percent: int):
+    def links(rows: pa.Table) -> pa.Table:
+        # An id on several rows brings its set as often.
+        first = np.unique(rows.column("node").to_numpy(), return_index=True)[1]
+        rows = rows.take(pa.array(first))
+        node = rows.column("node").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+        found = np.array(_block(rows).links(sets, percent), np.int64).reshape(-1, 2)
+        return pa.table({"a": node[found[:, 0]], "b": node[found[:, 1]]})
+
+    @hashing.giving_back
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _gathered(links(rows) for rows in runs(batches, _BLOCK))
 
     return run
 
@@ -200,50 +280,64 @@ def _verify(percent: int):
 _SET = ["n", "print1", "print2"]
 
 
+def _by_block(rows: DataFrame) -> DataFrame:
+    """Each block's rows in one task, one after the other."""
+    return rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+
+
 def answers(documents: DataFrame, percent: int) -> DataFrame:
     """(doc_id, key, n, print1, print2, component, least) per row. ``key`` is a hash of the text, ``component`` the smallest
     doc_id of the texts linked with it, and ``least`` whether its set is the first of those that id has among them."""
     ship(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
     rows = materialize(
-        texts.mapInArrow(_digest, "doc_id long, key long, n long, print1 long, print2 long, bands array<long>"),
-        "near-digest",
+        texts.mapInArrow(_digest, "doc_id long, key long, n long, print1 long, print2 long, sig binary"), "near-digest"
     )
-    # Copies meet here, before anything is compared; their bands are the same.
+    # Copies meet here, before anything is compared; their signatures are the same.
     classes = materialize(
         rows.filter("doc_id is not null and n > 0")
         .groupBy(*_SET)
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
         .withColumn("node", F.monotonically_increasing_id()),
         "near-classes",
     )
-    bands = classes.select("node", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    # A band's classes hang on its smallest; no pairs.
-    stars = bands.join(shared.filter("least < most").select("band", "least"), "band").filter("node > least")
-    groups = components(stars.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "near-groups")
-    grouped = groups.union(groups.select("component", "component").distinct()).toDF("node", "group")
-    sizes = grouped.groupBy("group").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    chosen = materialize(
-        grouped.join(sizes, "group")
+    bands = classes.select("node", "n", F.posexplode(_bands()).alias("nth", "band"))
+    members = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"members{k}") for k in range(2)]
+    shared = bands.groupBy("nth", "band").agg(F.count("*").alias("m"), F.sum("n").alias("total"), *members).filter("m > 1")
+    # Near copies share many bands; buckets of the same members are compared once, in that of the first band.
+    chunks = F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(8 * F.col("total") / CHUNK_BYTES)).cast("int")
+    buckets = materialize(
+        shared.groupBy("m", "total", "members0", "members1")
+        .agg(F.min(F.struct("nth", "band")).alias("first"))
+        .select("first.*", chunks.alias("chunks")),
+        "near-buckets",
+    )
+    blocks = (
+        bands.join(buckets, ["nth", "band"])
         .withColumn("chunk", F.pmod(F.hash("node"), "chunks"))
-        .join(classes.drop("bands"), "node"),
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("low", F.least("chunk", "other"))
+        .withColumn("high", F.greatest("chunk", "other"))
+        .select(*_BLOCK, "chunk", "node")
+    )
+    layout = "nth int, band long, low int, high int, chunk int, node long"
+    survivors = materialize(
+        _by_block(blocks.join(classes.select("node", "n", "sig"), "node")).mapInArrow(_with_survivors(percent), layout),
+        "near-survivors",
+    )
+    chosen = materialize(
+        classes.join(survivors.select("node").distinct(), "node", "left_semi").select("node", "rep", *_SET, "sig"),
         "near-candidates",
     )
     sets = (
         texts.select(F.col("doc_id").alias("rep"), "text")
         .join(chosen.select("rep").hint("shuffle_hash"), "rep", "left_semi")
-        .mapInArrow(_set_rows, "rep long, n long, print1 long, print2 long, sig binary, shingles binary")
-    )
-    blocks = (
-        sets.join(chosen, ["rep", *_SET])
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .withColumn("low", F.least("chunk", "other"))
-        .withColumn("high", F.greatest("chunk", "other"))
-        .select("group", "low", "high", "chunk", "node", "sig", "shingles")
+        .mapInArrow(_set_rows, "rep long, n long, print1 long, print2 long, shingles binary")
+        .join(chosen, ["rep", *_SET])
+        .select("node", "n", "sig", "shingles")
     )
     links = materialize(
-        blocks.groupBy("group", "low", "high").applyInArrow(_verify(percent), "a long, b long"), "near-links"
+        _by_block(survivors.join(sets, "node")).mapInArrow(_verified(percent), "a long, b long"), "near-links"
     )
     linked = components(links, "near-components")
     members = linked.union(linked.select("component", "component").distinct()).toDF("node", "of")
@@ -259,7 +353,7 @@ def answers(documents: DataFrame, percent: int) -> DataFrame:
         "near-named",
     )
     alone = classes.select(*_SET, F.col("rep").alias("own"))
-    answered = rows.drop("bands").join(alone, _SET, "left").join(found, _SET, "left")
+    answered = rows.drop("sig").join(alone, _SET, "left").join(found, _SET, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "own", "doc_id"))
     return answered.select("doc_id", "key", *_SET, component.alias("component"), F.coalesce("least", F.lit(True)).alias("least"))
 

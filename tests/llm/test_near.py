@@ -1,3 +1,5 @@
+import glob
+import os
 import random
 
 import numpy as np
@@ -5,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from roadpulse.llm import components, hashing, near
+from roadpulse.session import scratch_root
 
 
 def _similar(rng, base, edits):
@@ -34,6 +37,50 @@ def test_a_dense_group_in_chunks_against_all_pairs(spark, monkeypatch):
     assert len(set(want)) > 21
 
 
+def test_a_long_chain_moves_few_sets(spark):
+    """Texts each near the one before: one group by shared bands, but a set goes only where it has a pair left."""
+    rng = random.Random(6)
+    words = [f"b{n}" for n in range(120)]
+    texts = []
+    for _ in range(1500):
+        words = _similar(rng, words, 1)
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(df.repartition(4)).collect()}
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    want = list(range(len(texts)))
+    for b in range(len(texts)):  # links reach at most a few steps back
+        for a in range(max(0, b - 30), b):
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                want[b] = min(want[b], want[a])
+    assert [got[k] for k in range(len(texts))] == want
+    folder = scratch_root(spark) + "/roadpulse"
+    moved = max(glob.glob(f"{folder}/near-survivors-*"), key=os.path.getmtime)
+    assert spark.read.parquet(moved).count() < 25 * len(texts)
+
+
+def test_a_pair_counts_in_its_first_band_and_in_each_block_once():
+    rng = np.random.default_rng(8)
+    sig = rng.integers(0, 65536, (1, near.VALUES)).astype(np.uint16).repeat(40, 0)
+    for row in sig:
+        row[rng.permutation(near.VALUES)[: rng.integers(0, 20)]] = 1
+    n = np.full(40, 100)
+    bands = sig.reshape(40, near.BANDS, near.ROWS)
+    want = {(a, b) for a in range(40) for b in range(a + 1, 40) if (sig[a] == sig[b]).sum() >= near.fewest_matches(85, near.VALUES)}
+    found = []
+    for nth in range(near.BANDS):
+        _, of = np.unique(bands[:, nth], axis=0, return_inverse=True)
+        for bucket in range(of.max() + 1):
+            members = np.flatnonzero(of == bucket)
+            low, high = members[::2], members[1::2]
+            for left, right in ((low, None), (high, None), (low, high)):
+                for a, others in near.Block(sig, n, left, right, nth).survivors(85):
+                    found += [(min(a, b), max(a, b)) for b in others.tolist()]
+    assert len(found) == len(set(found)) and set(found) <= want and len(found) > 300
+    early = {(a, b) for a, b in want if all((sig[a, :u] == sig[b, :u]).sum() >= f for u, f in near.needed(85))}
+    assert set(found) == {(a, b) for a, b in early if (bands[a] == bands[b]).all(1).any()}
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(2)
     links = [(n, n + 1) for n in range(40)] + [(100, 100 + n) for n in range(1, 30)] + [(200, 201), (202, 201)]

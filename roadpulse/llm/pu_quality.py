@@ -150,12 +150,12 @@ def _apply(net: Network | None):
     @hashing.giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in hashing.pieces(batch):
+            own = batch.column("own")
+            text = own.field("text") if len(batch.columns) == 1 else batch.column("text")
+            for piece in hashing.pieces(pa.RecordBatch.from_arrays([own, text], names=["own", "text"])):
                 x = features(hashing.as_texts(piece.column("text"))).astype(np.float64)
                 score = _sigmoid(net.margin(x)) if net is not None else np.full(len(x), 0.5)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("own"), piece.column("text"), pa.array(score)], names=["own", "text", "score"]
-                )
+                yield pa.RecordBatch.from_arrays([piece.column("own"), pa.array(score)], names=["own", "score"])
 
     return run
 
@@ -189,12 +189,15 @@ def train(documents: DataFrame, labels: DataFrame) -> Network | None:
     return fit(p, u, estimate_prior(p, u))
 
 
-def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(own, score): each row's own columns as a struct, and a score between 0 and 1."""
+def classify(documents: DataFrame, labels: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(own, score): each row's own columns, or those named, as a struct, and a score between 0 and 1. A text travels
+    once, and back only if it is one of the columns."""
     net = train(documents, labels)
-    inner = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"), F.col("text").alias("text"))
-    schema = T.StructType([*inner.schema.fields, T.StructField("score", T.DoubleType())])
-    return inner.mapInArrow(_apply(net), schema).select("own", "score")
+    columns = documents.columns if columns is None else columns
+    own = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("own")
+    inner = documents.select(own, *([] if "text" in columns else ["text"]))
+    schema = T.StructType([inner.schema["own"], T.StructField("score", T.DoubleType())])
+    return inner.mapInArrow(_apply(net), schema)
 
 
 def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -204,7 +207,7 @@ def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def pu_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) per row."""
-    scored = classify(documents.select("doc_id", "text"), labels)
+    scored = classify(documents, labels, ["doc_id"])
     return scored.select(
         "own.doc_id",
         (fold(F.col("own.doc_id"), FOLDS) == HELD).alias("held_out"),

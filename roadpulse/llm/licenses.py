@@ -60,10 +60,100 @@ NOTICES = [
         ["released into the public domain"],
     ),
     ("all-rights-reserved", "all rights reserved", ["all rights reserved"]),
+    (
+        "apache-2",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance"
+        " with the license you may obtain a copy of the license at",
+        ["apache license version 2 0", "you may not use this file except in compliance with the license"],
+    ),
+    (
+        "gpl-3",
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by"
+        " the free software foundation either version 3 of the license or at your option any later version",
+        ["the gnu general public license as published by the free software foundation", "version 3 of the license"],
+    ),
+    (
+        "gpl-2",
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by"
+        " the free software foundation either version 2 of the license or at your option any later version",
+        ["the gnu general public license as published by the free software foundation", "version 2 of the license"],
+    ),
+    (
+        "agpl-3",
+        "under the terms of the gnu affero general public license as published by the free software foundation"
+        " either version 3 of the license",
+        ["gnu affero general public license"],
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
+        " granted provided that the above copyright notice and this permission notice appear in all copies",
+        ["distribute this software for any purpose with or without fee is hereby granted"],
+    ),
+    (
+        "bsd-3",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission",
+        ["may be used to endorse or promote products derived from this software"],
+    ),
+    (
+        "boost-1",
+        "distributed under the boost software license version 1 0",
+        ["boost software license version 1 0"],
+    ),
+    (
+        "boost-1",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"
+        " and accompanying documentation covered by this license",
+        ["any person or organization obtaining a copy of the software and accompanying documentation"],
+    ),
+    (
+        "zlib",
+        "in no event will the authors be held liable for any damages arising from the use of this software permission"
+        " is granted to anyone to use this software for any purpose",
+        ["held liable for any damages arising from the use of this software"],
+    ),
+    (
+        "epl-2",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+        ["eclipse public license 2 0"],
+    ),
+    (
+        "cc-by",
+        "licensed under a creative commons attribution 4 0 international license",
+        ["creative commons attribution 4 0"],
+    ),
+    (
+        "cc-by-nc",
+        "licensed under a creative commons attribution noncommercial 4 0 international license",
+        ["creative commons attribution noncommercial 4 0"],
+    ),
+    (
+        "cc-by-sa",
+        "licensed under a creative commons attribution sharealike 4 0 international license",
+        ["creative commons attribution sharealike 4 0"],
+    ),
+    ("cc-by-sa", "licensed under cc by sa 4 0", ["cc by sa 4 0"]),
+    ("cc0", "cc0 1 0 universal public domain dedication", ["cc0 1 0 universal"]),
 ]
 
+#: Label, and identifier of the short form as words.
+IDENTIFIERS = [
+    ("mit", "mit"), ("apache-2", "apache 2 0"), ("gpl-2", "gpl 2 0"), ("gpl-3", "gpl 3 0"), ("agpl-3", "agpl 3 0"),
+    ("lgpl", "lgpl 2 1"), ("lgpl", "lgpl 3 0"), ("bsd", "bsd 2 clause"), ("bsd-3", "bsd 3 clause"), ("isc", "isc"),
+    ("mpl-2", "mpl 2 0"), ("boost-1", "bsl 1 0"), ("zlib", "zlib"), ("epl-2", "epl 2 0"), ("unlicense", "unlicense"),
+    ("cc-by", "cc by 4 0"), ("cc-by-sa", "cc by sa 4 0"), ("cc-by-nc", "cc by nc 4 0"), ("cc0", "cc0 1 0"),
+]
+_SHORT = "spdx license identifier"
+NOTICES += [(label, f"{_SHORT} {name}", [f"{_SHORT} {name}"]) for label, name in IDENTIFIERS]
+
 #: Words too common to tell notices apart; they are never looked up.
-COMMON = "a all and any are by for free in into is nc of or public the this to under use v with without 0 2 3 4".split()
+COMMON = (
+    "a above all and any anyone appear are as at available be by can charge copies copy either event except file for"
+    " free from general have held in included into is it its later made materials may modify name names no nor not"
+    " notice obtain of option or organization person prior products program promote provided public purpose shall source"
+    " specific subject terms that the this to under use used v version will with without you 0 1 2 3 4"
+).split()
 
 #: So many of a notice's words, those of highest weight, are looked up in a document.
 LOOKUPS = 4
@@ -79,8 +169,9 @@ def vocabulary() -> list[str]:
     return sorted({w for _, notice, _ in NOTICES for w in _rare(notice)})
 
 
-def key_phrases() -> list[str]:
-    return sorted({p for _, _, phrases in NOTICES for p in phrases})
+def key_phrases() -> list[tuple[str, str]]:
+    """Key phrases, each with a word of it that is looked for first."""
+    return sorted({(p, max(_rare(p), key=len)) for _, _, phrases in NOTICES for p in phrases})
 
 
 def _strings(values: list[str]) -> Column:
@@ -111,7 +202,13 @@ def digest(documents: DataFrame) -> DataFrame:
         F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))),
         lambda x: F.array_contains(rare, x["word"]),
     )
-    phrases = F.filter(_strings(key_phrases()), lambda p: F.contains(spaced, F.concat(F.lit(" "), p, F.lit(" "))))
+    asked = F.array(*[F.struct(F.lit(p).alias("phrase"), F.lit(w).alias("word")) for p, w in key_phrases()])
+    here = F.filter(
+        asked,
+        lambda p: F.array_contains(rare, p["word"])
+        & F.contains(spaced, F.concat(F.lit(" "), p["phrase"], F.lit(" "))),
+    )
+    split = split.withColumn("phrases", F.when(F.size("rare") > 0, here["phrase"]))
     found = {label: _places(words, spaced, phrase) for phrase, label in BASE.items()}
     every = F.flatten(F.array(*found.values()))
     labels = F.array(*[F.when(F.size(at) > 0, F.lit(label)) for label, at in found.items()])
@@ -122,8 +219,9 @@ def digest(documents: DataFrame) -> DataFrame:
         every.alias("base_at"),
         F.array_compact(labels).alias("base"),
         "rare",
-        F.when(F.size(rare) > 0, placed).alias("placed"),
-        F.when(F.size(rare) > 0, phrases).alias("phrases"),
+        # No notice is confirmed without a key phrase.
+        F.when(F.size("phrases") > 0, placed).alias("placed"),
+        "phrases",
     )
 
 
@@ -141,8 +239,9 @@ def matches(rows: DataFrame) -> DataFrame:
     """Notices found in each digested row, with the share of looked-up words that stand in line."""
     spark = rows.sparkSession
     frequency = rows.select(F.explode("rare").alias("word")).groupBy("word").count()
+    likely = rows.filter(F.size("phrases") > 0)
     looked_up = (
-        rows.select("row", F.explode("rare").alias("word"))
+        likely.select("row", F.explode("rare").alias("word"))
         .join(F.broadcast(frequency), "word")
         .join(F.broadcast(_postings(spark).select("notice", "word").distinct()), "word")
         .groupBy("row", "notice")
@@ -150,7 +249,7 @@ def matches(rows: DataFrame) -> DataFrame:
         .agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "word"))), 1, LOOKUPS)["word"].alias("top"))
     )
     places = (
-        rows.select("row", "phrases", F.explode("placed").alias("x"))
+        likely.select("row", "phrases", F.explode("placed").alias("x"))
         .select("row", "phrases", "x.word", "x.at")
         .join(F.broadcast(_postings(spark)), "word")
         .filter(F.size(F.array_except("mandatory", "phrases")) == 0)

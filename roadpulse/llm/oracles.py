@@ -75,7 +75,7 @@ notices(notice, label, body, phrases) AS (VALUES
   {notices}),
 postings AS (
   SELECT * FROM (SELECT notice, label, phrases, p[i] AS word, i - 1 AS place
-                 FROM (SELECT *, string_split(body, ' ') AS p FROM notices), range(1, 40) t(i) WHERE i <= len(p))
+                 FROM (SELECT *, string_split(body, ' ') AS p FROM notices), range(1, 1 + {max(len(n.split()) for _, n, _ in licenses.NOTICES)}) t(i) WHERE i <= len(p))
   WHERE word NOT IN ({common})),
 spot AS (SELECT r, w[i] AS word, i - 1 AS spot
        FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM words) WHERE w[i] IN (SELECT word FROM postings)),

@@ -343,7 +343,7 @@ def test_landing_all_topics_reads_what_was_sent(spark, sf_dir):
     assert {t: read_landed(spark, options, t).count() for t in TOPICS} == {t: n for t in TOPICS}
     source = event_source(spark, sf_dir)
     assert ingest(source("gps_data"), "gps_data", options).isStreaming
-    assert len(all_queries()) == 50
+    assert len(all_queries()) == 51
 
 
 def test_landing_many_small_splits(spark, sf_dir, tmp_path, conf):

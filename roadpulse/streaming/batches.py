@@ -18,7 +18,7 @@ from roadpulse.operators.quality import ORIGIN_KEY, late_rows
 from roadpulse.operators.running import CHUNK
 from roadpulse.operators.series import WIDTH, series
 from roadpulse.schemas import EVENT_TIME, get_schema
-from roadpulse.sources.files import matching, remove
+from roadpulse.sources.files import matching, remove, side_by_side
 from roadpulse.streaming.sinks import with_trigger
 
 BATCH, OUTCOME = "batch", "outcome"
@@ -26,7 +26,8 @@ SOUND, QUARANTINED = "sound", "quarantined"
 
 
 def write_batch(df: DataFrame, base: str, number: int, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{base}/{BATCH}={number}")
+    with side_by_side(df.sparkSession) as options:
+        df.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(f"{base}/{BATCH}={number}")
 
 
 def whole_batches(spark: SparkSession, base: str) -> dict[int, str]:

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.options import Options
 from roadpulse.sources import kafka
+from roadpulse.sources.files import side_by_side
 from roadpulse.streaming.delivery import DeliveryReport, observed
 from roadpulse.streaming.sinks import parquet_writer, with_trigger
 
@@ -20,7 +21,9 @@ def publish(
     """
     if log is None:
         return with_trigger(kafka.stream_publisher(messages, options, checkpoint), options.trigger).start()
-    return parquet_writer(messages, log, checkpoint, options.trigger).partitionBy("topic").start()
+    with side_by_side(messages.sparkSession) as written:
+        writer = parquet_writer(messages, log, checkpoint, options.trigger).options(**written)
+        return writer.partitionBy("topic").start()
 
 
 def publish_reported(

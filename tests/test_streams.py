@@ -20,7 +20,7 @@ from roadpulse.operators.encode import envelopes
 from roadpulse.plans.steps import damaged, messages, read_events, steps, stream_steps
 from roadpulse.schemas import TOPICS
 from roadpulse.session import scratch_path
-from roadpulse.sources.files import read_log_topic, write_log
+from roadpulse.sources.files import read_log_topic, side_by_side, write_log
 from roadpulse.sources.landed import compact, read_landed, stream_landed
 from roadpulse.streaming.ingest import ingest, run, start_all, stop_all, supervise
 from roadpulse.streaming.live import gps_position_stream, quarantine
@@ -370,3 +370,27 @@ def test_publishing_goes_on_as_steps_come(spark, sf_dir):
     decoded = decode(read_log_topic(spark, path, "gps_data"), "gps_data")
     rows, _ = _run(spark, decoded, "sent-back")
     assert rows.select("id").distinct().count() == n
+
+
+def test_a_log_of_all_topics_is_written_without_a_sort(spark, tmp_path):
+    """A task's messages of all topics pass through; what it holds does not grow with them."""
+    rows = spark.range(3000).selectExpr(
+        "cast(cast(id as string) as binary) as value", "case when id % 7 < 6 then concat('t', id % 7) end as topic"
+    )
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    write_log(rows.coalesce(1), str(tmp_path / "log"))
+    assert spark.conf.get(setting) == before
+    back = spark.read.parquet(str(tmp_path / "log")).selectExpr("value", "topic")
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    assert len(list((tmp_path / "log").glob("topic=*/*.parquet"))) == 7
+
+    rows.createOrReplaceTempView("messages_in")
+    columns = f"(value BINARY, topic STRING) USING parquet PARTITIONED BY (topic) LOCATION '{tmp_path}/table'"
+    spark.sql(f"CREATE TABLE log_of_topics {columns}")
+    plan = "EXPLAIN INSERT INTO log_of_topics SELECT value, topic FROM messages_in"
+    sorted_first = spark.sql(plan).first()[0]
+    with side_by_side(spark):
+        held_open = spark.sql(plan).first()[0]
+    spark.sql("DROP TABLE log_of_topics")
+    assert "Sort [topic" in sorted_first and "Sort [topic" not in held_open

@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes covered by repeated long strings are cut; every document stays."""
+    """Bytes covered by repeated strings of some 50 words are cut; every document stays."""
     return repeats.without_repeats(docs)
 
 

@@ -70,3 +70,28 @@ def test_near_copies_from_four_fifths_on_go(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = corpus_pipeline.near_duplicates(spark, docs, SF)
     assert sorted(r["doc_id"] for r in got.collect()) == want
+
+
+def test_repeated_passages_of_over_fifty_words_go(spark):
+    """Also those shorter than what op7 asks for; no row and nothing else goes."""
+    rng = random.Random(6)
+
+    def prose(words):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 7))) for _ in range(words))
+
+    texts, own = [], []
+    for group in range(12):
+        passage = prose(51 + group)
+        for copy in range(2 + group % 3):
+            own.append((f"{prose(80)} {copy}", f"{copy} {prose(60)}"))
+            texts.append(passage.join(own[-1]))
+    assert min(len(t) - len(a) - len(b) for t, (a, b) in zip(texts, own)) < 300
+    rows = [(n, t, n % 2, len(t)) for n, t in enumerate(texts)] + [(None, None, 7, None), (90, "", 7, 0), (91, prose(90), 7, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `odd.name` int, n_chars long")
+    got = corpus_pipeline.repeated_passages(spark, docs, SF)
+    assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+    found = {r["doc_id"]: tuple(r) for r in got.collect()}
+    assert len(found) == len(rows)
+    assert {n: found[n][1] for n in range(len(own))} == {n: a + b for n, (a, b) in enumerate(own)}
+    assert all(found[n][2] == n % 2 and found[n][3] == len(found[n][1]) for n in range(len(own)))
+    assert [found[r[0]] for r in rows[-3:]] == rows[-3:]
